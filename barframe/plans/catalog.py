@@ -42,7 +42,8 @@ def round_half_up(c, digits: int = O.R):
     c = F.col(c) if isinstance(c, str) else c
     scale = float(10 ** digits)
     return F.when(F.abs(c) < F.lit(O.ROUND_LIMIT),
-                  F.floor(c * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)).otherwise(c)
+                  F.floor(c * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)) \
+        .otherwise(F.format_string("%.12e", c).cast("double"))
 
 
 def rounded(df: DataFrame, digits: int = O.R) -> DataFrame:
@@ -157,3 +158,7 @@ def q_feature_matrix(spark, sf):
                                                bars_ctes=[("bars", O.bars_lineitem())], market=False))
 def q_feature_matrix_brand(spark, sf):
     return rounded(FE.feature_matrix(brand_bars(spark, sf), None, include_market=False).drop("market_ok"))
+
+
+# more registered queries (import registers them)
+from . import queries_analytics  # noqa: E402,F401

@@ -14,13 +14,15 @@ R = 6  # decimals kept when comparing floating results
 
 
 def sql(ctes: list[tuple[str, str]], final: str) -> str:
+    if not ctes:
+        return final
     parts = [f"{name} AS (\n{body}\n)" for name, body in ctes]
     recursive = "RECURSIVE " if any("UNION ALL" in b and "JOIN" in b and "rn + 1" in b
                                     for _, b in ctes) else ""
     return f"WITH {recursive}" + ",\n".join(parts) + "\n" + final
 
 
-ROUND_LIMIT = 1e9  # |x| beyond this is compared unrounded (floor would overflow)
+ROUND_LIMIT = 1e9  # |x| beyond this keeps 12 significant digits instead
 
 
 def rnd_expr(expr: str, digits: int = R) -> str:
@@ -28,7 +30,7 @@ def rnd_expr(expr: str, digits: int = R) -> str:
     ``floor(x * 10^d + 0.5) / 10^d``."""
     scale = f"1e{digits}"
     return (f"(CASE WHEN abs({expr}) < {ROUND_LIMIT} THEN floor(({expr}) * {scale} + 0.5) / {scale} "
-            f"ELSE {expr} END)")
+            f"ELSE CAST(printf('%.12e', {expr}) AS DOUBLE) END)")
 
 
 def rnd(expr: str, alias: str, digits: int = R) -> str:
