@@ -41,7 +41,7 @@ def round_half_up(c, digits: int = O.R):
     """Same IEEE operations as ``oracle.rnd_expr`` so both engines agree bit for bit."""
     c = F.col(c) if isinstance(c, str) else c
     scale = float(10 ** digits)
-    return F.when(F.abs(c) < F.lit(O.ROUND_LIMIT),
+    return F.when(c.isNull(), F.lit(None).cast("double")).when(F.abs(c) < F.lit(O.ROUND_LIMIT),
                   F.floor(c * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)) \
         .otherwise(F.format_string("%.12e", c).cast("double"))
 
@@ -162,3 +162,4 @@ def q_feature_matrix_brand(spark, sf):
 
 # more registered queries (import registers them)
 from . import queries_analytics  # noqa: E402,F401
+from . import queries_models  # noqa: E402,F401

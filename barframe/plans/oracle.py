@@ -29,7 +29,7 @@ def rnd_expr(expr: str, digits: int = R) -> str:
     """Round half up as the same IEEE operations on both engines:
     ``floor(x * 10^d + 0.5) / 10^d``."""
     scale = f"1e{digits}"
-    return (f"(CASE WHEN abs({expr}) < {ROUND_LIMIT} THEN floor(({expr}) * {scale} + 0.5) / {scale} "
+    return (f"(CASE WHEN ({expr}) IS NULL THEN NULL WHEN abs({expr}) < {ROUND_LIMIT} THEN floor(({expr}) * {scale} + 0.5) / {scale} "
             f"ELSE CAST(printf('%.12e', {expr}) AS DOUBLE) END)")
 
 
