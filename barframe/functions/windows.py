@@ -41,12 +41,37 @@ def sdiv(a, b) -> Column:
     return F.try_divide(col_(a), col_(b))
 
 
-def full(x, n: int, agg, part=SYMBOL, order: str = DATE) -> Column:
+def full(x, n: int, agg, part=SYMBOL, order: str = DATE, count: Column | None = None) -> Column:
     """Rolling aggregate that is null until n non-null values fill the frame
-    (the ``min_periods=n`` rule)."""
+    (the ``min_periods=n`` rule). ``count`` may supply the frame's non-null
+    count (e.g. from ``prefix_count``) instead of a sliding count."""
     x = col_(x)
     w = trailing(n, part, order)
-    return F.when(F.count(x).over(w) == n, agg(x).over(w))
+    c = count if count is not None else F.count(x).over(w)
+    return F.when(c == n, agg(x).over(w))
+
+
+def prefix_columns(x, name: str, part=SYMBOL, order: str = DATE) -> list[Column]:
+    """Running sum and running non-null count of x (``{name}_s``, ``{name}_n``):
+    O(1) per row, the inputs of ``prefix_mean`` / ``prefix_count``."""
+    x = col_(x)
+    w = running(part, order)
+    return [F.sum(x).over(w).alias(f"{name}_s"), F.count(x).over(w).alias(f"{name}_n")]
+
+
+def prefix_count(name: str, n: int, part=SYMBOL, order: str = DATE) -> Column:
+    """Non-null count in the trailing n rows, from the running count."""
+    w = win(part, order)
+    return F.col(f"{name}_n") - F.coalesce(F.lag(f"{name}_n", n).over(w), F.lit(0))
+
+
+def prefix_mean(name: str, n: int, part=SYMBOL, order: str = DATE) -> Column:
+    """Trailing n-row mean, null unless all n values are present, as a
+    difference of running sums: O(n) instead of the O(n * w) a sliding frame
+    costs (Spark re-aggregates a sliding frame for every row)."""
+    w = win(part, order)
+    total = F.col(f"{name}_s") - F.coalesce(F.lag(f"{name}_s", n).over(w), F.lit(0.0))
+    return F.when(prefix_count(name, n, part, order) == n, total / F.lit(float(n)))
 
 
 def sma(x, n: int, part=SYMBOL, order: str = DATE) -> Column:
@@ -161,16 +186,23 @@ def with_ema(df: DataFrame, specs: list[EmaSpec], part: str = SYMBOL,
     """
     w = win(part, order)
     wrun = running(part, order)
-    rn = "__rn"
-    df = df.withColumn(rn, F.row_number().over(w) - F.lit(1))
     wprev = w.rowsBetween(Window.unboundedPreceding, -1)
-    for gi, (L, group) in enumerate(_block_groups(specs)):
+    rn = "__rn"
+    groups = _block_groups(specs)
+    for spec in specs:
+        if not 0.0 < spec.alpha < 0.999:
+            raise ValueError(f"alpha must be in (0, 0.999): {spec}")
+    # five projections in all (each DataFrame call re-analyses the plan)
+    row = F.row_number().over(w) - F.lit(1)
+    blocks = []
+    for gi, (L, _) in enumerate(groups):
+        blocks += [F.floor(row / F.lit(L)).alias(f"__blk{gi}"),
+                   (row - F.floor(row / F.lit(L)) * F.lit(L)).alias(f"__pos{gi}")]
+    df = df.select("*", row.alias(rn), *blocks)
+    stage1, stage2, stage3, outs = [], [], [], []
+    for gi, (L, group) in enumerate(groups):
         blk, pos = f"__blk{gi}", f"__pos{gi}"
-        df = df.withColumn(blk, F.floor(F.col(rn) / F.lit(L))).withColumn(
-            pos, F.col(rn) - F.col(blk) * F.lit(L))
         wb = Window.partitionBy(part, blk).orderBy(rn).rowsBetween(Window.unboundedPreceding, 0)
-        # stage 1: recurrence coefficients
-        stage1 = []
         for s in group:
             x = F.col(s.src)
             beta = 1.0 - s.alpha
@@ -179,26 +211,22 @@ def with_ema(df: DataFrame, specs: list[EmaSpec], part: str = SYMBOL,
             a = F.when(x.isNull() | last_obs.isNull(), F.lit(1.0)).otherwise(bg / (bg + F.lit(s.alpha)))
             b = (F.when(x.isNull(), F.lit(0.0)).when(last_obs.isNull(), F.lit(1.0))
                  .otherwise(F.lit(s.alpha) / (bg + F.lit(s.alpha))))
+            # stage 1: recurrence coefficients and the observation count
             stage1 += [a.alias(f"__a_{s.out}"), b.alias(f"__b_{s.out}"),
                        F.count(x).over(wrun).alias(f"__n_{s.out}")]
-        df = df.select("*", *stage1)
-        # stage 2: running product of a inside the block
-        df = df.select("*", *[F.product(f"__a_{s.out}").over(wb).alias(f"__p_{s.out}") for s in group])
-        # stage 3: rebased running sum inside the block
-        df = df.select("*", *[
-            (F.col(f"__p_{s.out}") * F.sum(F.coalesce(F.col(f"__b_{s.out}") * F.col(s.src)
-                                                      / F.col(f"__p_{s.out}"), F.lit(0.0))).over(wb))
-            .alias(f"__l_{s.out}") for s in group])
-        # stage 4: carry from the end of the previous block
-        out_cols = []
-        for s in group:
+            # stage 2: running product of a inside the block
+            stage2.append(F.product(f"__a_{s.out}").over(wb).alias(f"__p_{s.out}"))
+            # stage 3: rebased running sum inside the block
+            stage3.append((F.col(f"__p_{s.out}") * F.sum(F.coalesce(
+                F.col(f"__b_{s.out}") * F.col(s.src) / F.col(f"__p_{s.out}"), F.lit(0.0))).over(wb))
+                .alias(f"__l_{s.out}"))
+            # stage 4: carry from the end of the previous block
             carry = F.last(F.when(F.col(pos) == F.lit(L - 1), F.col(f"__l_{s.out}")),
                            ignorenulls=True).over(wprev)
             y = F.col(f"__l_{s.out}") + F.col(f"__p_{s.out}") * F.coalesce(carry, F.lit(0.0))
-            out_cols.append(F.when(F.col(f"__n_{s.out}") >= F.lit(s.min_periods), y).alias(s.out))
+            outs.append(F.when(F.col(f"__n_{s.out}") >= F.lit(s.min_periods), y).alias(s.out))
             if keep_raw:
-                out_cols.append(F.when(F.col(f"__n_{s.out}") >= F.lit(1), y).alias(s.out + "_raw"))
-        df = df.select("*", *out_cols)
-        tmp = [c for c in df.columns if c.startswith("__") and c != rn]
-        df = df.drop(*tmp)
-    return df.drop(rn)
+                outs.append(F.when(F.col(f"__n_{s.out}") >= F.lit(1), y).alias(s.out + "_raw"))
+    keep = [c for c in df.columns if not c.startswith("__")]
+    df = df.select("*", *stage1).select("*", *stage2).select("*", *stage3)
+    return df.select(*keep, *outs)

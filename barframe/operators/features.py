@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.windows import (diff, ffill, full, lag, lead, pct_change, rolling_std,
-                                 rolling_sum, running, sdiv, sma, win)
+from ..functions.windows import (diff, ffill, full, lag, lead, pct_change, prefix_columns,
+                                 prefix_count, prefix_mean, rolling_std, rolling_sum, running, sdiv,
+                                 sma, win)
 from .indicators import bollinger_columns, with_smoothed
 
 PRICE_FEATURES = ["daily_return", "log_return", "overnight_return", "intraday_return",
@@ -35,13 +36,16 @@ NON_FEATURE_COLUMNS = ("open", "high", "low", "close", "adj_close", "volume",
 
 
 def _stage_inputs(bars: DataFrame) -> DataFrame:
-    """Stage 1: forward-filled series (pct_change input) and plain lags/leads."""
+    """Stage 1: forward-filled series (pct_change input), plain lags/leads and
+    running sums/counts (inputs of the trailing means)."""
     return bars.select(
         "*",
         ffill("close").alias("_fc"),
         ffill(F.col("volume").cast("double")).alias("_fv"),
         lag("close").alias("_pc"),
         lead("close").alias("_nc"),
+        *prefix_columns("close", "_cp"),
+        *prefix_columns(F.col("volume").cast("double"), "_vp"),
     )
 
 
@@ -63,7 +67,7 @@ def momentum_columns() -> dict[str, Column]:
 
 def moving_average_columns() -> dict[str, Column]:
     c = F.col("close")
-    smas = {n: sma("close", n) for n in C.SMA_WINDOWS}
+    smas = {n: prefix_mean("_cp", n) for n in C.SMA_WINDOWS}
     out = {f"close_to_sma{n}": sdiv(c, s) - F.lit(1.0) for n, s in smas.items()}
     out.update({f"close_to_ema{n}": sdiv(c, F.col(f"ema{n}")) - F.lit(1.0) for n in C.EMA_WINDOWS})
     out["sma5_to_sma20"] = sdiv(smas[5], smas[20]) - F.lit(1.0)
@@ -73,7 +77,8 @@ def moving_average_columns() -> dict[str, Column]:
 
 def technical_columns() -> dict[str, Column]:
     c = F.col("close")
-    bands = bollinger_columns()
+    bands = bollinger_columns(middle=prefix_mean("_cp", C.BOLLINGER_WINDOW),
+                              count=prefix_count("_cp", C.BOLLINGER_WINDOW))
     return {
         "rsi_14": F.col("rsi14"),
         "macd": sdiv("macd_line", c),
@@ -87,11 +92,11 @@ def technical_columns() -> dict[str, Column]:
 
 def volume_columns() -> dict[str, Column]:
     v = F.col("volume").cast("double")
-    vsma = sma(v, C.VOLUME_SMA_WINDOW)
+    vsma = prefix_mean("_vp", C.VOLUME_SMA_WINDOW)
     return {
         "volume_change": pct_change("_fv", 1, fill=False),
         "relative_volume": sdiv(v, vsma),
-        "volume_trend_5d": sdiv(sma(v, 5), vsma),
+        "volume_trend_5d": sdiv(prefix_mean("_vp", 5), vsma),
     }
 
 
@@ -113,20 +118,27 @@ def target_columns() -> dict[str, Column]:
             C.TARGET_COLUMN: F.when(ndr.isNotNull(), (ndr > 0).cast("int"))}
 
 
-def with_market(df: DataFrame, market: DataFrame | None,
-                min_coverage: float = C.MARKET_COVERAGE_MIN) -> DataFrame:
-    """Left-join the market series on date, roll it on the *aligned* series and
-    null the four columns for symbols whose coverage is below ``min_coverage``
-    (``market_ok`` says which)."""
+def join_market(bars: DataFrame, market: DataFrame | None) -> DataFrame:
+    """Left-join the market series on date as ``_mr``.
+
+    The market table holds one row per session (it is grouped by date), so
+    its size is bounded by the calendar length, not by the data volume: it is
+    broadcast and the bar side is never shuffled for this join.
+    """
     if market is None:
-        return df.select("*", *[F.lit(None).cast("double").alias(c) for c in MARKET_FEATURES],
-                         F.lit(False).alias("market_ok"))
+        return bars.withColumn("_mr", F.lit(None).cast("double"))
     m = market.select("date", F.col("market_return").alias("_mr"))
-    # market has one row per session: AQE turns this into a broadcast join when
-    # the measured side is small, else it stays a sort-merge join.
-    j = df.join(m, "date", "left")
+    return bars.join(F.broadcast(m), "date", "left")
+
+
+def market_columns(df: DataFrame, present: bool, min_coverage: float = C.MARKET_COVERAGE_MIN) -> DataFrame:
+    """Roll the *aligned* market series and null the four columns for symbols
+    whose coverage is below ``min_coverage`` (``market_ok`` says which)."""
+    if not present:
+        return df.select("*", *[F.lit(None).cast("double").alias(c) for c in MARKET_FEATURES],
+                         F.lit(False).alias("market_ok")).drop("_mr")
     cover = F.avg(F.col("_mr").isNotNull().cast("double")).over(Window.partitionBy("symbol"))
-    j = j.select("*", (cover >= F.lit(min_coverage)).alias("market_ok"))
+    j = df.select("*", (cover >= F.lit(min_coverage)).alias("market_ok"))
     ok = F.col("market_ok")
     cols = {
         "market_return": F.col("_mr"),
@@ -137,9 +149,19 @@ def with_market(df: DataFrame, market: DataFrame | None,
     return j.select("*", *[F.when(ok, e).alias(k) for k, e in cols.items()]).drop("_mr")
 
 
+def by_symbol(df: DataFrame) -> DataFrame:
+    """One explicit hash exchange on symbol feeds every window that follows
+    (windows keyed by (symbol, block) are satisfied by it too). A fixed
+    partition count keeps AQE from folding a small but CPU-heavy bar table
+    into a single task."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return df.repartition(n, "symbol")
+
+
 def all_feature_columns(bars: DataFrame, market: DataFrame | None = None) -> DataFrame:
     """Bars + every feature and label column (no warm-up drop, no dropna)."""
-    df = _stage_inputs(bars)
+    df = by_symbol(join_market(bars, market))
+    df = _stage_inputs(df)
     df = with_smoothed(df)
     first = {}
     for block in (price_columns(), momentum_columns(), moving_average_columns(),
@@ -147,8 +169,7 @@ def all_feature_columns(bars: DataFrame, market: DataFrame | None = None) -> Dat
         first.update(block)
     df = df.select("*", *[e.alias(k) for k, e in first.items()])
     df = df.select("*", *[e.alias(k) for k, e in volatility_columns().items()])
-    df = with_market(df, market)
-    return df
+    return market_columns(df, market is not None)
 
 
 def feature_matrix(bars: DataFrame, market: DataFrame | None = None,

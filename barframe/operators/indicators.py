@@ -66,9 +66,10 @@ def with_smoothed(bars: DataFrame) -> DataFrame:
 
 
 def bollinger_columns(close: str = "close", n: int = C.BOLLINGER_WINDOW,
-                      k: float = C.BOLLINGER_STD) -> dict[str, Column]:
-    middle = sma(close, n)
-    spread = rolling_std(close, n, ddof=0)
+                      k: float = C.BOLLINGER_STD, middle: Column | None = None,
+                      count: Column | None = None) -> dict[str, Column]:
+    middle = middle if middle is not None else sma(close, n)
+    spread = full(close, n, F.stddev_pop, count=count)
     upper = middle + F.lit(k) * spread
     lower = middle - F.lit(k) * spread
     return {

@@ -16,6 +16,9 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # PySpark otherwise records a Python call site (several JVM round trips)
+    # for every Column function call while a plan is being built.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
