@@ -194,3 +194,12 @@ def feature_matrix(bars: DataFrame, market: DataFrame | None = None,
     prices = ["open", "high", "low", "close", "adj_close", "volume"] if keep_prices else []
     extra = ["market_ok"] if include_market else []
     return df.select("symbol", "date", *feats, *LABELS, *prices, *extra)
+
+
+def panel_features(matrix: DataFrame) -> list[str]:
+    """The feature list shared by every symbol of a matrix: the four
+    market columns only if every symbol has them (one tiny aggregate)."""
+    if "market_ok" not in matrix.columns:
+        return list(BASE_FEATURES)
+    ok = matrix.agg(F.min(F.col("market_ok").cast("int"))).first()[0]
+    return list(ALL_FEATURES) if ok == 1 else list(BASE_FEATURES)

@@ -26,8 +26,8 @@ def ordered(table: DataFrame) -> DataFrame:
 
 
 def best_model(models: DataFrame) -> DataFrame:
-    """Max by (roc_auc or 0, accuracy); ties keep the earlier key order."""
-    key = F.struct(F.coalesce("roc_auc", F.lit(0.0)), F.col("accuracy"), -F.col("order"))
+    """Max by (roc_auc or 0, accuracy)."""
+    key = F.struct(F.coalesce("roc_auc", F.lit(0.0)), F.col("accuracy"))
     return models.agg(F.max_by("model_key", key).alias("best_model_key"))
 
 
@@ -78,3 +78,26 @@ def comparison_series(table: DataFrame, metric: str = "test_roc_auc") -> DataFra
     """Chart rows with a non-null metric and a baseline flag."""
     return table.filter(F.col(metric).isNotNull()).select(
         "model_key", metric, F.col("model_key").startswith("baseline_").alias("is_baseline"))
+
+
+def best_baseline_accuracy(baselines: DataFrame) -> DataFrame:
+    """O7."""
+    return baselines.agg(F.max("accuracy").alias("best_baseline_accuracy"))
+
+
+def verdict(models: DataFrame, baselines: DataFrame) -> DataFrame:
+    """The best model (O6 order: AUC or 0, then accuracy) against the
+    strongest naive rule on the same test window."""
+    key = F.struct(F.coalesce("roc_auc", F.lit(0.0)), F.col("accuracy"))
+    best = models.agg(F.max_by("model_key", key).alias("best_model_key"),
+                      F.max_by("accuracy", key).alias("best_model_accuracy"))
+    return best.join(F.broadcast(best_baseline_accuracy(baselines)), how="inner", on=F.lit(True)) \
+        .withColumn("beats_baselines", F.col("best_model_accuracy") > F.col("best_baseline_accuracy"))
+
+
+def write_report(tables: dict[str, DataFrame], out_dir: str, fmt: str = "json") -> None:
+    """Every result table written under ``out_dir/<name>`` (small tables
+    go to one file each)."""
+    for name, df in tables.items():
+        w = df.coalesce(1).write.mode("overwrite")
+        (w.json if fmt == "json" else w.parquet)(f"{out_dir}/{name}")

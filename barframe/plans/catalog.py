@@ -163,3 +163,22 @@ def q_feature_matrix_brand(spark, sf):
 # more registered queries (import registers them)
 from . import queries_analytics  # noqa: E402,F401
 from . import queries_models  # noqa: E402,F401
+
+
+def _stream_dir(spark) -> str:
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    return ensure_checkpoint_dir(spark).rstrip("/") + f"/bar-stream-{uuid.uuid4().hex}"
+
+
+@register("bars_hourly_stream", SQL["bars_hourly"])
+def q_bars_hourly_stream(spark, sf):
+    """Live mode re-aimed: the hourly bars folded from the events files by a
+    Structured Streaming job (availableNow), read back keep-last."""
+    from ..streaming.bars import read_stream_bars, run_bar_stream
+    base = _stream_dir(spark)
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    q = run_bar_stream(spark, sf, schema, base + "/out", base + "/state", "event_type", "ts", "value",
+                       file_glob="events.parquet")
+    q.awaitTermination()
+    return rounded(read_stream_bars(spark, base + "/out"))

@@ -22,12 +22,13 @@ from .queries_analytics import _feat_all_ctes
 FEATURES = FE.ALL_FEATURES
 
 
-def panel_split(spark, sf) -> DataFrame:
+def panel_split(spark, sf) -> tuple[DataFrame, list[str]]:
     """Feature matrix with the date split, written once to the checkpoint
-    folder: every fit rereads a flat scan instead of re-planning the windows."""
+    folder (every fit rereads a flat scan instead of re-planning the
+    windows), and the feature list every symbol shares."""
     bars = daily_bars(spark, sf)
     fm = cut_lineage(FE.feature_matrix(bars, market_for(bars)))
-    return cut_lineage(SP.split_by_dates(fm))
+    return cut_lineage(SP.split_by_dates(fm)), FE.panel_features(fm)
 
 
 def _metrics_of(tm: ML.TrainedModel) -> DataFrame:
@@ -38,8 +39,8 @@ def _metrics_of(tm: ML.TrainedModel) -> DataFrame:
 
 def _train_query(key: str):
     def q(spark, sf):
-        tm = ML.train_single_model(ML.SPECS[key], panel_split(spark, sf), FEATURES)
-        return _metrics_of(tm)
+        ds, feats = panel_split(spark, sf)
+        return _metrics_of(ML.train_single_model(ML.SPECS[key], ds, feats))
     return q
 
 
@@ -52,8 +53,8 @@ for _k, _q in (("logistic_regression", "train_logistic"), ("random_forest", "tra
 @register("panel_comparison", None)
 def q_panel_comparison(spark, sf):
     """M9 + O5 + E8 with the linear model and both baselines."""
-    ds = panel_split(spark, sf)
-    tm = ML.train_single_model(ML.SPECS["logistic_regression"], ds, FEATURES)
+    ds, feats = panel_split(spark, sf)
+    tm = ML.train_single_model(ML.SPECS["logistic_regression"], ds, feats)
     base = ds.withColumn("panel", F.lit("panel")).withColumn("y", F.col(C.TARGET_COLUMN))
     bl = M.scorecard(M.baseline_predictions(base, ["panel"]), ["model_key"], proba=None)
     return rounded(comparison_table(tm.test_metrics, bl))
@@ -66,25 +67,26 @@ def q_per_symbol_experiment(spark, sf):
     fm = cut_lineage(FE.feature_matrix(bars, market_for(bars)))
     rs = cut_lineage(SP.split_by_rows(fm).filter(F.col("split").isNotNull()))
     symbols = sorted(r.symbol for r in rs.select("symbol").distinct().collect())
-    preds = ML.run_per_symbol(rs, FEATURES, symbols)
+    preds = ML.run_per_symbol(rs, FE.panel_features(fm), symbols)
     return rounded(M.scorecard(preds, ["symbol", "model_key"]))
 
 
 @register("native_importance", None)
 def q_native_importance(spark, sf):
     """I1 on the linear model (|coefficient| with sign), top 15."""
-    tm = ML.train_single_model(ML.SPECS["logistic_regression"], panel_split(spark, sf), FEATURES)
-    frame, _ = X.top_features(spark, tm.model, FEATURES, top_n=C.IMPORTANCE_TOP_N)
+    ds, feats = panel_split(spark, sf)
+    tm = ML.train_single_model(ML.SPECS["logistic_regression"], ds, feats)
+    frame, _ = X.top_features(spark, tm.model, feats, top_n=C.IMPORTANCE_TOP_N)
     return rounded(frame)
 
 
 @register("permutation_importance", None)
 def q_permutation_importance(spark, sf):
     """I2 on the linear model over the test rows (10 repeats per feature)."""
-    ds = panel_split(spark, sf)
-    tm = ML.train_single_model(ML.SPECS["logistic_regression"], ds, FEATURES)
+    ds, feats = panel_split(spark, sf)
+    tm = ML.train_single_model(ML.SPECS["logistic_regression"], ds, feats)
     test = ds.filter(F.col("split") == "test").withColumn(ML.LABEL, F.col(C.TARGET_COLUMN).cast("double"))
-    return rounded(X.permutation_importance(tm.scorer, test, FEATURES))
+    return rounded(X.permutation_importance(tm.scorer, test, feats))
 
 
 # ---------------------------------------------------------------------------
@@ -124,3 +126,21 @@ def q_feature_correlation(spark, sf):
     bars = daily_bars(spark, sf)
     fm = cut_lineage(FE.feature_matrix(bars, market_for(bars)))
     return rounded(X.feature_correlation(fm, FEATURES))
+
+
+@register("cv_scores", None)
+def q_cv_scores(spark, sf):
+    """L4: expanding-window CV of the linear model on the panel's training sessions."""
+    ds, feats = panel_split(spark, sf)
+    return rounded(ML.cv_scores(ML.SPECS["logistic_regression"], ds.filter("split = 'train'"), feats))
+
+
+@register("verdict", None)
+def q_verdict(spark, sf):
+    """Best model against the strongest baseline."""
+    from ..operators.report import verdict
+    ds, feats = panel_split(spark, sf)
+    tm = ML.train_single_model(ML.SPECS["logistic_regression"], ds, feats)
+    base = ds.withColumn("panel", F.lit("panel")).withColumn("y", F.col(C.TARGET_COLUMN))
+    bl = M.scorecard(M.baseline_predictions(base, ["panel"]), ["model_key"], proba=None)
+    return rounded(verdict(tm.test_metrics, bl))

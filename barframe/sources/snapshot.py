@@ -103,3 +103,13 @@ def write_snapshot(snapshot: DataFrame, path: str, fmt: str = "parquet") -> None
 def conform(df: DataFrame) -> DataFrame:
     """Cast a frame onto the bar schema."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in BAR_SCHEMA.fields])
+
+
+def with_fallback(primary: DataFrame, fallback: DataFrame, primary_name: str = "snapshot",
+                  fallback_name: str = "live") -> DataFrame:
+    """Bars from the preferred source, and from the other source for every
+    symbol the preferred one lacks; ``source`` says which was used."""
+    have = primary.select("symbol").distinct()
+    rest = fallback.join(have, "symbol", "left_anti")
+    return primary.withColumn("source", F.lit(primary_name)).unionByName(
+        rest.withColumn("source", F.lit(fallback_name)))
