@@ -98,11 +98,25 @@ def feature_std(matrix: DataFrame, features: list[str]) -> DataFrame:
 
 def feature_correlation(matrix: DataFrame, features: list[str], top_n: int = C.CORRELATION_TOP_N) -> DataFrame:
     """Pearson correlation matrix (long form) of the ``top_n``
-    highest-variance features: one aggregate for the variances, one for the
-    pairwise correlations."""
+    highest-variance features.
+
+    Two passes over the rows, both plain sums (small, codegen-friendly
+    aggregate buffers): the means, then the centred cross-products
+    ``sum((a - mean_a)(b - mean_b))`` for each unordered pair, so there is no
+    cancellation. The top-n list and the means are a few scalars.
+    """
     top = [r.feature for r in feature_std(matrix, features).orderBy(F.col("std").desc(), "feature")
            .limit(top_n).collect()] if len(features) > top_n else list(features)
-    pairs = [(a, b) for a in top for b in top]
-    row = matrix.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
-    stack = ", ".join(f"'{a}', '{b}', `{a}__{b}`" for a, b in pairs)
-    return row.selectExpr(f"stack({len(pairs)}, {stack}) AS (feature_a, feature_b, corr)")
+    rows = matrix.select(*top).dropna()
+    means = rows.agg(*[F.avg(f).alias(f) for f in top]).first().asDict()
+    cent = {f: F.col(f) - F.lit(means[f]) for f in top}
+    pairs = [(a, b) for i, a in enumerate(top) for b in top[i:]]
+    sums = rows.agg(*[F.sum(cent[a] * cent[b]).alias(f"{a}__{b}") for a, b in pairs]).first().asDict()
+    out = []
+    for a in top:
+        for b in top:
+            key = f"{a}__{b}" if f"{a}__{b}" in sums else f"{b}__{a}"
+            den = (sums[f"{a}__{a}"] or 0.0) * (sums[f"{b}__{b}"] or 0.0)
+            out.append((a, b, (sums[key] / den ** 0.5) if den > 0 else None))
+    spark = matrix.sparkSession
+    return spark.createDataFrame(out, "feature_a string, feature_b string, corr double")

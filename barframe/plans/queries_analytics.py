@@ -14,6 +14,7 @@ from ..operators import signal as S
 from ..operators import splits as SP
 from ..operators import stats as ST
 from ..operators.index import build_snapshot, snapshot_metadata
+from ..session import cut_lineage
 from ..sources import snapshot as SN
 from ..sources.ticks import brand_bars, daily_bars, read_table
 from . import oracle as O
@@ -271,9 +272,9 @@ def scored(spark, sf) -> DataFrame:
     """Feature matrix + deterministic P(up) (``p_up``), ``y`` and ``pred``."""
     bars = daily_bars(spark, sf)
     fm = FE.feature_matrix(bars, market_for(bars))
-    return fm.select("symbol", "date", F.col(TGT).alias("y"), "daily_return", "next_day_return",
-                     "close_to_sma20", M.deterministic_score().alias("p_up")) \
-        .withColumn("pred", M.threshold("p_up"))
+    return cut_lineage(fm.select("symbol", "date", F.col(TGT).alias("y"), "daily_return", "next_day_return",
+                                 "close_to_sma20", M.deterministic_score().alias("p_up"))
+                       .withColumn("pred", M.threshold("p_up")))
 
 
 def _scored_ctes() -> list:
@@ -292,7 +293,7 @@ def _date_split_ctes(tr=C.TRAIN_FRACTION, va=C.VALIDATION_FRACTION) -> list:
 
 
 def date_split(spark, sf) -> DataFrame:
-    return SP.split_by_dates(scored(spark, sf))
+    return cut_lineage(SP.split_by_dates(scored(spark, sf)))
 
 
 def _row_split_ctes(tr=C.TRAIN_FRACTION, va=C.VALIDATION_FRACTION) -> list:
@@ -303,7 +304,7 @@ def _row_split_ctes(tr=C.TRAIN_FRACTION, va=C.VALIDATION_FRACTION) -> list:
 
 
 def row_split(spark, sf) -> DataFrame:
-    return SP.split_by_rows(scored(spark, sf))
+    return cut_lineage(SP.split_by_rows(scored(spark, sf)))
 
 
 # ---------------------------------------------------------------------------
