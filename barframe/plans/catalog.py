@@ -46,6 +46,13 @@ def round_half_up(c, digits: int = O.R):
         .otherwise(F.format_string("%.12e", c).cast("double"))
 
 
+def round_sig(c, digits: int = 10):
+    """Twin of ``oracle.rnd_sig``."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.when(c.isNull(), F.lit(None).cast("double")).otherwise(
+        F.format_string(f"%.{digits - 1}e", c).cast("double"))
+
+
 def rounded(df: DataFrame, digits: int = O.R) -> DataFrame:
     return df.select(*[round_half_up(f.name, digits).alias(f.name)
                        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)

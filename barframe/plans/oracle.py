@@ -37,6 +37,13 @@ def rnd(expr: str, alias: str, digits: int = R) -> str:
     return f"CAST({rnd_expr(expr, digits)} AS DOUBLE) AS {alias}"
 
 
+def rnd_sig(expr: str, alias: str, digits: int = 10) -> str:
+    """Keep ``digits`` significant digits (for compounded values whose size
+    makes an absolute rounding ask for more bits than they carry)."""
+    return (f"CAST(CASE WHEN ({expr}) IS NULL THEN NULL ELSE CAST(printf('%.{digits - 1}e', {expr}) AS DOUBLE) END "
+            f"AS DOUBLE) AS {alias}")
+
+
 def div(a: str, b: str) -> str:
     return f"(({a}) / nullif({b}, 0))"
 

@@ -536,8 +536,15 @@ def _study_rows_ctes() -> list:
 FROM pd WHERE p_up IS NOT NULL AND fwd_return IS NOT NULL"""),
         ("a1", f"""SELECT *, coalesce(abs(position - lag(position) OVER (PARTITION BY series ORDER BY date)), position) AS turnover FROM a0"""),
         ("a2", f"SELECT *, turnover * {_BPS / 10000.0!r} AS cost, position * fwd_return - turnover * {_BPS / 10000.0!r} AS net_return FROM a1"),
-        ("a3", f"""SELECT *, product(1 + coalesce(net_return, 0.0)) OVER {run} AS strategy_equity,
-       product(1 + coalesce(fwd_return, 0.0)) OVER {run} AS buy_hold_equity FROM a2"""),
+        ("a2n", "SELECT *, row_number() OVER (PARTITION BY series ORDER BY date) - 1 AS rn FROM a2"),
+        # running products multiplied left to right, the order Spark's running frame uses
+        ("eq", """SELECT series, rn, 1.0 * (1 + coalesce(net_return, 0.0)) AS strategy_equity,
+       1.0 * (1 + coalesce(fwd_return, 0.0)) AS buy_hold_equity FROM a2n WHERE rn = 0
+UNION ALL
+SELECT s.series, s.rn, r.strategy_equity * (1 + coalesce(s.net_return, 0.0)),
+       r.buy_hold_equity * (1 + coalesce(s.fwd_return, 0.0))
+FROM eq r JOIN a2n s ON s.series = r.series AND s.rn = r.rn + 1"""),
+        ("a3", "SELECT a2n.*, eq.strategy_equity, eq.buy_hold_equity FROM a2n JOIN eq USING (series, rn)"),
         ("rows", f"""SELECT *, strategy_equity / max(strategy_equity) OVER {run} - 1 AS strategy_drawdown,
        buy_hold_equity / max(buy_hold_equity) OVER {run} - 1 AS buy_hold_drawdown FROM a3""")]
 
@@ -567,12 +574,15 @@ def q_signal_study(spark, sf):
 
 
 @register("equity_curve", O.sql(_study_rows_ctes(), "SELECT series, date, " + ", ".join(
-    O.rnd(c, c) for c in ("position", "turnover", "net_return", "strategy_equity", "buy_hold_equity",
-                          "strategy_drawdown", "buy_hold_drawdown")) + " FROM rows"))
+    [O.rnd(c, c) for c in ("position", "turnover", "net_return", "strategy_drawdown", "buy_hold_drawdown")]
+    + [O.rnd_sig(c, c) for c in ("strategy_equity", "buy_hold_equity")]) + " FROM rows"))
 def q_equity_curve(spark, sf):
-    return rounded(S.study_rows(panel_daily(spark, sf), ["series"]).select(
-        "series", "date", "position", "turnover", "net_return", "strategy_equity", "buy_hold_equity",
-        "strategy_drawdown", "buy_hold_drawdown"))
+    from .catalog import round_half_up, round_sig
+    rows = S.study_rows(panel_daily(spark, sf), ["series"])
+    return rows.select("series", "date",
+                       *[round_half_up(c).alias(c) for c in ("position", "turnover", "net_return",
+                                                             "strategy_drawdown", "buy_hold_drawdown")],
+                       *[round_sig(c).alias(c) for c in ("strategy_equity", "buy_hold_equity")])
 
 
 @register("signal_buckets", O.sql(_scored_ctes(), f"""SELECT symbol, {_LABEL} AS signal, count(*) AS observations,
