@@ -67,7 +67,10 @@ def permutation_importance(score, test: DataFrame, features: list[str], repeats:
     shuffled. ``score(df)`` must add ``p_up`` (a fitted model's scorer)."""
     base = score(test).withColumn("_all", F.lit("all"))
     base_auc = M.roc_auc(base.withColumn("y", F.col("label").cast("int")), ["_all"])
-    perm = score(permuted_copies(test, features, repeats, seed, keys=keys)).withColumn("y", F.col("label").cast("int"))
+    from ..session import cut_lineage
+    # scored once, then every aggregate below reads the written copy
+    perm = cut_lineage(score(permuted_copies(test, features, repeats, seed, keys=keys))
+                       .select("perm_feature", "repeat", F.col("label").cast("int").alias("y"), "p_up"))
     aucs = M.roc_auc(perm, ["perm_feature", "repeat"]).withColumn("_all", F.lit("all"))
     drops = aucs.join(F.broadcast(base_auc.withColumnRenamed("roc_auc", "_base")), "_all") \
         .withColumn("drop", F.col("_base") - F.col("roc_auc"))

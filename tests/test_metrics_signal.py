@@ -115,3 +115,17 @@ def test_drawdown_and_volatility_hand_values(spark):
     r = spark.createDataFrame(pd.DataFrame({"r": [0.01, -0.01] * 100}))
     v = r.agg(ST.annualised_volatility("r").alias("v")).first().v
     assert math.isclose(v, np.std([0.01, -0.01] * 100, ddof=1) * math.sqrt(252), rel_tol=1e-12)
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 64])
+def test_auc_bucketing_is_exact(spark, buckets):
+    rng = np.random.default_rng(2)
+    y = rng.integers(0, 2, 2000)
+    p = np.round(rng.random(2000) * 0.5 + y * 0.2, 3)
+    df = _yp(spark, y.tolist(), p.tolist())
+    t = M._score_table(df, ["g"], "y", "p_up", buckets=buckets)
+    auc = t.groupBy("g").agg((F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0))
+                              / (F.sum("pos") * F.sum("neg"))).alias("a")).first().a
+    ranks = pd.Series(p).rank()
+    n1, n0 = y.sum(), len(y) - y.sum()
+    assert abs(auc - (ranks[y == 1].sum() - n1 * (n1 + 1) / 2) / (n1 * n0)) < 1e-12
