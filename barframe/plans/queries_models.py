@@ -144,3 +144,15 @@ def q_verdict(spark, sf):
     base = ds.withColumn("panel", F.lit("panel")).withColumn("y", F.col(C.TARGET_COLUMN))
     bl = M.scorecard(M.baseline_predictions(base, ["panel"]), ["model_key"], proba=None)
     return rounded(verdict(tm.test_metrics, bl))
+
+
+@register("sampled_shapley", None)
+def q_sampled_shapley(spark, sf):
+    """I4 on the tree ensemble refitted on train+validation, last 300 test rows."""
+    ds, feats = panel_split(spark, sf)
+    spec = ML.SPECS["random_forest"]
+    fit_rows = ds.filter(F.col("split").isin("train", "validation")).withColumn(
+        ML.LABEL, F.col(C.TARGET_COLUMN).cast("double"))
+    _, scorer = ML._fit(spec, feats, fit_rows, None)
+    test = ds.filter(F.col("split") == "test")
+    return rounded(X.sampled_shapley(scorer, test, feats))
