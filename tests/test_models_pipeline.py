@@ -107,3 +107,19 @@ def test_sampled_shapley_is_exact_for_a_linear_score(spark, bars):
     for f, c in coef.items():
         # mean |c (x - z)| over rows and random backgrounds is bounded by the range
         assert 0 <= got[f] <= abs(c) * (last[f].max() - last[f].min()) + 1e-12
+
+
+def test_report_and_model_sinks(spark, panel):
+    """S13 + S14: result tables and the fitted pipeline round-trip through files."""
+    from pyspark.ml import PipelineModel
+    from barframe.operators.report import write_report
+    out = tempfile.mkdtemp(prefix="barframe-report-")
+    write_report({"comparison": panel.tables["comparison"], "verdict": panel.tables["verdict"]}, out)
+    back = spark.read.json(f"{out}/comparison")
+    assert back.count() == panel.tables["comparison"].count()
+    tm = panel.trained["logistic_regression"]
+    ML.save_model(tm, f"{out}/model", ["f"], symbols=["A"])
+    loaded = PipelineModel.load(f"{out}/model/pipeline")
+    assert len(loaded.stages) == len(tm.model.stages)
+    meta = spark.read.json(f"{out}/model/metadata").first()
+    assert meta.model_key == "logistic_regression" and meta.tickers == ["A"]
