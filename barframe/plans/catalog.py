@@ -37,7 +37,7 @@ def register(name: str, sql: str | None):
     return deco
 
 
-def round_half_up(c, digits: int = O.R):
+def round_half_up(c, digits: int = O.R):  # noqa: D103
     """Same IEEE operations as ``oracle.rnd_expr`` so both engines agree bit for bit."""
     c = F.col(c) if isinstance(c, str) else c
     scale = float(10 ** digits)
@@ -170,6 +170,7 @@ def q_feature_matrix_brand(spark, sf):
 # more registered queries (import registers them)
 from . import queries_analytics  # noqa: E402,F401
 from . import queries_models  # noqa: E402,F401
+from . import queries_indicators  # noqa: E402,F401
 
 
 def _stream_dir(spark) -> str:
