@@ -38,3 +38,13 @@ def test_vendor_frame_normalisation(spark):
     out = SN.normalise_vendor_frame(raw).orderBy("date").collect()
     assert [r.adj_close for r in out] == [1.2, 2.2]
     assert out[0].date.isoformat() == "2024-01-02"
+
+
+def test_symbol_fetch_is_pushed_to_the_scan(spark):
+    """The symbol filter passes through the bar aggregate into the Parquet
+    scan, and only the four columns the bars need are read."""
+    from barframe.plans.catalog import QUERIES
+    plan = QUERIES["fetch_symbol"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
+    assert "EqualTo(o_orderpriority,3-MEDIUM)" in scan
+    assert "o_custkey" not in scan and "o_orderstatus" not in scan
