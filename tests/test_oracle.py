@@ -11,7 +11,8 @@ from barframe.plans.compare import compare, duckdb_connection
 from conftest import SF_SMALL
 
 FAST = ["bars_daily", "bars_brand", "bars_hourly", "equal_weight_index", "feature_matrix",
-        "validation_report", "price_summary", "monthly_returns", "roc_auc", "signal_study"]
+        "validation_report", "price_summary", "monthly_returns", "roc_auc", "signal_study",
+        "ema", "bollinger"]
 NAMES = sorted(SQL) if os.environ.get("BARFRAME_FULL_ORACLE") else FAST
 
 
