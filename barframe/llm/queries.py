@@ -6,10 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from barframe.llm.decontaminate import OP7_SQL, op7_decontaminate
+from barframe.llm.html_extract import op6_html_extract
 from barframe.llm.language_id import op9_language_id
+from barframe.llm.license_scan import OP1_SQL, op1_license_scan
+from barframe.llm.secret_scan import op2_secret_scan
+from barframe.llm.source_mix import OP5_SQL, op5_source_mix
+from barframe.llm.topk_search import OP8_SQL, op8_topk_search
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
+    "op2_secret_scan": op2_secret_scan,
+    "op5_source_mix": op5_source_mix,
+    "op6_html_extract": op6_html_extract,
+    "op7_decontaminate": op7_decontaminate,
+    "op8_topk_search": op8_topk_search,
     "op9_language_id": op9_language_id,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_license_scan": OP1_SQL,
+    "op5_source_mix": OP5_SQL,
+    "op7_decontaminate": OP7_SQL,
+    "op8_topk_search": OP8_SQL,
+}
