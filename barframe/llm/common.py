@@ -34,6 +34,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once: inside array functions a
+    plain column expression is computed again for every element."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only; every other character stays."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -46,11 +52,11 @@ def words(text: Column) -> Column:
 
 def shingle_hashes(ws: Column, k: int = 5) -> Column:
     """64-bit hashes of all k-word shingles; shorter texts are one shingle."""
-    n = F.size(ws)
-    return (F.when(n >= k, F.transform(F.sequence(F.lit(1), n - (k - 1)),
-                                       lambda i: F.xxhash64(*[F.get(ws, i + (j - 1)) for j in range(k)])))
-            .when(n > 0, F.array(F.xxhash64(ws)))
-            .otherwise(F.array().cast("array<bigint>")))
+    def made(w: Column) -> Column:
+        n = F.size(w)
+        return (F.when(n >= k, F.transform(F.sequence(F.lit(0), n - k), lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(k)])))
+                .when(n > 0, F.array(F.xxhash64(w))).otherwise(F.array().cast("array<bigint>")))
+    return let(ws, made)
 
 
 def chunks(batches: Iterator[pa.RecordBatch], size_of: str, limit: int) -> Iterator[pa.RecordBatch]:

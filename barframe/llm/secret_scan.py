@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barframe.llm.common import materialise, read
+from barframe.llm.common import let, materialise, read
 
 # Kinds in their order, and their patterns. For access and hex a
 # shorter run holds no match, so the least length can stand in the pattern; the
@@ -60,18 +60,21 @@ LENGTHS = [20, 24, 32, 48, 64, 128]
 
 def _placed(text: Column, pattern: str, keep=None) -> Column:
     """array<struct<s,e,t>> of the matches of a pattern that passes ``keep(match, group 2)``."""
-    gaps = F.transform(F.split(text, pattern, -1), F.length)
+    kind = "array<struct<s:int,e:int,t:string,v:string>>"
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(2)) if keep else hits
-    steps = F.transform(hits, lambda h, i: F.struct(
-        F.get(gaps, i).alias("gap"), F.length(h).alias("n"), h.alias("t"), F.get(values, i).alias("v")))
-    none = F.lit(None).cast("array<struct<s:int,e:int,t:string,v:string>>")
-    run = F.aggregate(
-        steps, F.struct(F.lit(0).alias("at"), F.coalesce(none, F.array().cast("array<struct<s:int,e:int,t:string,v:string>>")).alias("out")),
-        lambda a, x: F.struct((a["at"] + x["gap"] + x["n"]).alias("at"), F.concat(a["out"], F.array(F.struct(
-            (a["at"] + x["gap"]).alias("s"), (a["at"] + x["gap"] + x["n"]).alias("e"), x["t"].alias("t"), x["v"].alias("v")))).alias("out")),
-        lambda a: a["out"])
-    found = F.when(F.regexp_like(text, F.lit(pattern)), run).otherwise(F.array().cast("array<struct<s:int,e:int,t:string,v:string>>"))
+
+    def run(x: Column) -> Column:
+        steps = F.transform(x["hits"], lambda h, i: F.struct(F.length(F.get(x["gaps"], i)).alias("gap"), F.length(h).alias("n"),
+                                                            h.alias("t"), F.get(x["values"], i).alias("v")))
+        return F.aggregate(
+            steps, F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out")),
+            lambda a, y: F.struct((a["at"] + y["gap"] + y["n"]).alias("at"), F.concat(a["out"], F.array(F.struct(
+                (a["at"] + y["gap"]).alias("s"), (a["at"] + y["gap"] + y["n"]).alias("e"), y["t"].alias("t"), y["v"].alias("v")))).alias("out")),
+            lambda a: a["out"])
+
+    parts = F.struct(F.split(text, pattern, -1).alias("gaps"), hits.alias("hits"), values.alias("values"))
+    found = F.when(F.regexp_like(text, F.lit(pattern)), let(parts, run)).otherwise(F.array().cast(kind))
     return F.filter(found, keep) if keep else found
 
 
@@ -82,38 +85,43 @@ def _normal_tail(z: Column) -> Column:
 
 def battery(token: Column) -> Column:
     """struct<random boolean, score double>: whether no test rejects randomness; -ln p under ordinary text."""
-    n = F.length(token).cast("double")
     is_hex = F.regexp_like(token, F.lit("^([0-9a-f]+|[0-9A-F]+)$"))
     is_32 = F.regexp_like(token, F.lit("^[A-Z2-7]+$")) & ~is_hex
     plain = F.when(is_hex, F.lower(token)).when(is_32, token).otherwise(F.translate(token, "-_", "+/"))
     alphabet = F.when(is_hex, F.lit(HEX_DIGITS)).when(is_32, F.lit(BASE32)).otherwise(F.lit(BASE64))
-    k = F.length(alphabet).cast("double")
-    symbols = F.transform(F.filter(F.split(plain, ""), lambda c: c != ""), lambda c: F.instr(alphabet, c) - 1)
+
+    def coded(v: Column) -> Column:
+        return F.struct(F.transform(F.filter(F.split(v["plain"], ""), lambda c: c != ""), lambda c: F.instr(v["alphabet"], c) - 1).alias("x"),
+                        F.length(v["alphabet"]).cast("double").alias("k"), v["hexed"].alias("hexed"))
+
+    def counted(v: Column) -> Column:
+        x, k = v["x"], v["k"]
+        number = F.aggregate(F.transform(F.sequence(F.lit(0), k.cast("int") - 1), lambda s: F.size(F.filter(x, lambda y: y == s)).cast("double")),
+                             F.lit(0.0), lambda a, c: a + c * c)
+        return F.struct(x.alias("x"), k.alias("k"), v["hexed"].alias("hexed"), F.size(x).cast("double").alias("n"), number.alias("squares"),
+                        F.aggregate(x, F.lit(0.0), lambda a, y: a + (y >= k / 2).cast("double")).alias("high"),
+                        (F.aggregate(x, F.lit(0.0), lambda a, y: a + y) / F.size(x)).alias("mean"),
+                        F.arrays_zip(F.slice(x, F.lit(1), F.size(x) - 1).alias("a"), F.slice(x, F.lit(2), F.size(x) - 1).alias("b")).alias("pairs"))
 
     def judge(v: Column) -> Column:
-        x, k, hexed, n = v["x"], v["k"], v["hexed"], v["n"]
-        squares = F.aggregate(F.transform(F.sequence(F.lit(0), k.cast("int") - 1), lambda s: F.size(F.filter(x, lambda y: y == s)).cast("double")),
-                              F.lit(0.0), lambda a, c: a + c * c)
+        x, k, n, squares, high, mean = (v[c] for c in ("x", "k", "n", "squares", "high", "mean"))
         chi, df = squares * k / n - n, k - 1
         z_chi = (F.pow(F.greatest(chi, F.lit(0.0)) / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
-        high = F.aggregate(x, F.lit(0.0), lambda a, y: a + (y >= k / 2).cast("double"))
-        pairs = F.arrays_zip(F.slice(x, F.lit(1), F.size(x) - 1).alias("a"), F.slice(x, F.lit(2), F.size(x) - 1).alias("b"))
-        runs = 1 + F.aggregate(pairs, F.lit(0.0), lambda a, p: a + ((p["a"] >= k / 2) != (p["b"] >= k / 2)).cast("double"))
+        runs = 1 + F.aggregate(v["pairs"], F.lit(0.0), lambda a, p: a + ((p["a"] >= k / 2) != (p["b"] >= k / 2)).cast("double"))
         mean_runs = 2 * high * (n - high) / n + 1
         var_runs = (mean_runs - 1) * (mean_runs - 2) / (n - 1)
         z_runs = F.when(var_runs > 0, (runs - mean_runs) / F.sqrt(var_runs)).otherwise(F.lit(99.0))
-        mean = F.aggregate(x, F.lit(0.0), lambda a, y: a + y) / n
         var = F.aggregate(x, F.lit(0.0), lambda a, y: a + (y - mean) * (y - mean))
-        cov = F.aggregate(pairs, F.lit(0.0), lambda a, p: a + (p["a"] - mean) * (p["b"] - mean))
+        cov = F.aggregate(v["pairs"], F.lit(0.0), lambda a, p: a + (p["a"] - mean) * (p["b"] - mean))
         z_serial = F.when(var > 0, cov / var * F.sqrt(n) + 1 / F.sqrt(n)).otherwise(F.lit(99.0))
         random = (z_chi < Z_LIMIT) & (F.abs(z_runs) < Z_LIMIT) & (F.abs(z_serial) < Z_LIMIT)
         repeats, expected = (squares - n) / 2, n * (n - 1) / 2 * TEXT_REPEAT
-        score = (F.when(hexed, -n * F.log(F.lit(TEXT_IS_HEX)))
+        score = (F.when(v["hexed"], -n * F.log(F.lit(TEXT_IS_HEX)))
                  .otherwise(_normal_tail((repeats + 0.5 - expected) / F.sqrt(expected))))
         return F.struct(random.alias("random"), score.alias("score"))
 
-    made = F.array(F.struct(symbols.alias("x"), k.alias("k"), is_hex.alias("hexed"), n.alias("n")))
-    return F.get(F.transform(made, judge), 0)
+    made = F.struct(plain.alias("plain"), alphabet.alias("alphabet"), is_hex.alias("hexed"))
+    return let(let(let(made, coded), counted), judge)
 
 
 def _length_class(n: Column) -> Column:
