@@ -34,6 +34,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A written table of up to so many rows is broadcast: 20 MB at 40 bytes a row.
+BROADCAST_ROWS = 500_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """Broadcast a written table of a few numbers a row if its counted rows are few; else leave the join to Spark."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value computed once: inside array functions a
     plain column expression is computed again for every element."""

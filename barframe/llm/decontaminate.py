@@ -29,16 +29,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barframe.llm.common import ascii_lower, materialise, read, shingle_hashes, words
+from barframe.llm.common import ascii_lower, materialise, read, shingle_hashes, small, words
 
 SHINGLE, CONTAINMENT, SKETCH = 5, 0.75, 8
-#: Rows of at most 40 bytes each: 20 MB.
-BROADCAST_ROWS = 500_000
-
-
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast a written table whose rows were counted and are few."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def _shingles(text: str):
@@ -66,12 +59,12 @@ def find_leaks(docs: DataFrame, items: DataFrame, containment: float = CONTAINME
 
     by_class = F.concat(*[offer(*r) for r in ceilings])
     offered = offered.select("doc_id", "n_doc", F.inline(by_class))
-    pairs = (offered.join(_small(sketch.select("size_class", "h", "item_id", "n_item")), ["size_class", "h"])
+    pairs = (offered.join(small(sketch.select("size_class", "h", "item_id", "n_item")), ["size_class", "h"])
              .where(F.col("n_doc") >= F.col("n_item") * containment).select("doc_id", "item_id").distinct())
     pairs = materialise(pairs, "candidates")
 
     whole_items = item_shingles.groupBy("item_id", "n_item").agg(F.collect_list("h").alias("b"))
-    found = (docs.join(_small(pairs), "doc_id").withColumn("a", _shingles("text")).drop("text").join(whole_items, "item_id")
+    found = (docs.join(small(pairs), "doc_id").withColumn("a", _shingles("text")).drop("text").join(whole_items, "item_id")
              .withColumn("n_common", F.size(F.array_intersect("a", "b")).cast("bigint"))
              .where(F.col("n_common") >= F.col("n_item") * containment))
     return (found.groupBy("doc_id", "item_id").agg(F.max("n_item").cast("bigint").alias("n_item"), F.max("n_common").alias("n_common"))
@@ -87,7 +80,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Pipeline stage: documents that hold a benchmark item go."""
     docs = docs.select("doc_id", "text", "lang", "source", "n_chars")
     leaks = materialise(find_leaks(docs, read(spark, sf_dir, "benchmark", "item_id", "text")).select("doc_id").distinct(), "leaks")
-    return docs.join(_small(leaks), "doc_id", "left_anti")
+    return docs.join(small(leaks), "doc_id", "left_anti")
 
 
 OP7_SQL = f"""

@@ -26,7 +26,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barframe.llm.common import read
+from barframe.llm.common import let, read
 
 # Usual short notices of public licenses.
 TEMPLATES = {
@@ -62,6 +62,9 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 MIN_DICE = 0.75
+#: Words too common in any text to serve as pivots.
+COMMON = {"a", "an", "and", "any", "as", "at", "be", "by", "for", "in", "is", "it", "may", "no", "not", "of", "or", "that", "the",
+          "this", "to", "under", "use", "with", "you"}
 
 
 def normal_words(text: str) -> list[str]:
@@ -88,7 +91,8 @@ def pivots(templates: dict[str, str], least: float) -> list[str]:
         count: dict[str, int] = {}
         for free in open_sets:
             ws = {w for x in free for w in x.split()}
-            for w in [w for w in ws if len(w) > 4] or ws:
+            plain = {w for w in ws if not w.isdigit() and w not in COMMON}
+            for w in [w for w in plain if len(w) > 4] or plain or ws:
                 count[w] = count.get(w, 0) + sum(w in x.split() for x in free)
         out.append(max(sorted(count), key=lambda w: (count[w], len(w))))
 
@@ -115,11 +119,9 @@ def find_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least:
     text = F.coalesce(F.col("text"), F.lit(""))
     units = F.filter(_units(text), lambda u: F.regexp_like(u["unit"], hint))
     rows = docs.where(F.regexp_like(text, hint)).select("doc_id", F.inline(units))
-    # a word takes 2 characters with its blank at least: longer units can't be told from sizes alone, so words are counted next
     ws = F.filter(F.split(F.regexp_replace(F.lower("unit"), "[^a-z0-9]+", " "), " ", -1), lambda w: w != "")
-    rows = rows.withColumn("w", ws)
-    pairs = F.transform(F.slice("w", F.lit(2), F.greatest(F.size("w") - 1, F.lit(0))), lambda b, i: F.concat_ws(" ", F.get("w", i), b))
-    rows = rows.withColumn("a", F.array_distinct(pairs)).where((F.size("a") > 0) & (F.size("a") <= most)).drop("unit", "w")
+    pairs = let(ws, lambda w: F.transform(F.slice(w, F.lit(2), F.greatest(F.size(w) - 1, F.lit(0))), lambda b, i: F.concat_ws(" ", F.get(w, i), b)))
+    rows = rows.withColumn("a", F.array_distinct(pairs)).where((F.size("a") > 0) & (F.size("a") <= most)).drop("unit")
     n = F.size("a")
     near = F.filter(known, lambda t: (n >= F.size(t["b"]) * (least / (2 - least)) - 1e-9) & (n <= F.size(t["b"]) * ((2 - least) / least) + 1e-9))
     scored = F.transform(near, lambda t: F.struct(
@@ -142,19 +144,19 @@ def _sql() -> str:
 WITH t(license, b) AS (VALUES {values}),
 d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 u AS (
-  SELECT r, doc_id, 'line' AS level, unnest(string_split(text, chr(10))) AS unit, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS at FROM d
+  SELECT r, doc_id, 'line' AS level, unnest(string_split(text, chr(10))) AS unit, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS "at" FROM d
   UNION ALL
   SELECT r, doc_id, 'sentence', unnest(s), generate_subscripts(s, 1) - 1 FROM (
     SELECT r, doc_id, text, string_split(regexp_replace(text, '([.!?])[ \t]+', '\1' || chr(10), 'g'), chr(10)) AS s FROM d)
     WHERE len(s) > len(string_split(text, chr(10)))
   UNION ALL
   SELECT r, doc_id, 'text', text, 0 FROM d WHERE len(string_split(regexp_replace(text, '([.!?])[ \t]+', '\1' || chr(10), 'g'), chr(10))) > 1),
-w AS (SELECT r, doc_id, level, at, list_filter(string_split(regexp_replace(lower(unit), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM u),
-a AS (SELECT r, doc_id, level, at, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS a FROM w WHERE len(w) > 1),
-p AS (SELECT r, doc_id, level, at, license, len(a) AS n, len(list_intersect(a, b)) AS c, 2.0::DOUBLE * len(list_intersect(a, b)) / (len(a) + len(b)) AS dice
+w AS (SELECT r, doc_id, level, "at", list_filter(string_split(regexp_replace(lower(unit), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '') AS w FROM u),
+a AS (SELECT r, doc_id, level, "at", list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS a FROM w WHERE len(w) > 1),
+p AS (SELECT r, doc_id, level, "at", license, len(a) AS n, len(list_intersect(a, b)) AS c, 2.0::DOUBLE * len(list_intersect(a, b)) / (len(a) + len(b)) AS dice
   FROM a JOIN t ON list_has_any(a, b)),
-q AS (SELECT *, row_number() OVER (PARTITION BY r, level, at ORDER BY dice DESC, license) AS k FROM p WHERE dice >= {MIN_DICE})
-SELECT doc_id, level, at::INT AS at, license, n::BIGINT AS n_bigrams, c::BIGINT AS n_common, round(dice, 6) AS dice FROM q WHERE k = 1
+q AS (SELECT *, row_number() OVER (PARTITION BY r, level, "at" ORDER BY dice DESC, license) AS k FROM p WHERE dice >= {MIN_DICE})
+SELECT doc_id, level, "at"::INT AS "at", license, n::BIGINT AS n_bigrams, c::BIGINT AS n_common, round(dice, 6) AS dice FROM q WHERE k = 1
 """
 
 

@@ -10,6 +10,7 @@ from barframe.llm.decontaminate import OP7_SQL, op7_decontaminate
 from barframe.llm.html_extract import op6_html_extract
 from barframe.llm.language_id import op9_language_id
 from barframe.llm.license_scan import OP1_SQL, op1_license_scan
+from barframe.llm.minhash_dedup import op3_minhash_dedup
 from barframe.llm.secret_scan import op2_secret_scan
 from barframe.llm.source_mix import OP5_SQL, op5_source_mix
 from barframe.llm.topk_search import OP8_SQL, op8_topk_search
@@ -17,6 +18,7 @@ from barframe.llm.topk_search import OP8_SQL, op8_topk_search
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_secret_scan": op2_secret_scan,
+    "op3_minhash_dedup": op3_minhash_dedup,
     "op5_source_mix": op5_source_mix,
     "op6_html_extract": op6_html_extract,
     "op7_decontaminate": op7_decontaminate,
