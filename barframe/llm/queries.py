@@ -13,6 +13,7 @@ from barframe.llm.license_scan import OP1_SQL, op1_license_scan
 from barframe.llm.minhash_dedup import op3_minhash_dedup
 from barframe.llm.secret_scan import op2_secret_scan
 from barframe.llm.source_mix import OP5_SQL, op5_source_mix
+from barframe.llm.suffix_dedup import op10_suffix_dedup
 from barframe.llm.topk_search import OP8_SQL, op8_topk_search
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontaminate": op7_decontaminate,
     "op8_topk_search": op8_topk_search,
     "op9_language_id": op9_language_id,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 SQL: dict[str, str] = {
