@@ -32,13 +32,15 @@ from barframe.llm.common import chunks, materialise
 #: Minwise values of a sketch, 32 bits each.
 SKETCH = 96
 SIGMAS = 5.5
+#: Places of the sketch that a node branches on, on average.
+BRANCHES = 4 / 3
 #: Largest node whose pairs are compared one by one.
 SMALL_NODE = 64
 #: Bytes of text handled at a time.
 CHUNK = 1 << 20
 #: Odd multipliers and offsets of the minwise hash functions, from a rule.
-_MULT = (np.arange(1, SKETCH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-_SHIFT = np.arange(1, SKETCH + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)
+MULT = (np.arange(1, SKETCH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+SHIFT = np.arange(1, SKETCH + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -53,10 +55,10 @@ _RADIX = np.uint64(0x5851F42D4C957F2D)
 _RADIX_INV = np.uint64(pow(0x5851F42D4C957F2D, -1, 1 << 64))
 _GAP = np.zeros(256, bool)
 _GAP[[9, 10, 11, 12, 13, 32]] = True
-_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
+def powers(base: np.uint64, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[:1] = 1
     with np.errstate(over="ignore"):
@@ -69,14 +71,14 @@ def word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     edge = np.flatnonzero(np.diff(np.concatenate(([True], gap, [True])).astype(np.int8)))
     start, end = edge[::2], edge[1::2]
     with np.errstate(over="ignore"):
-        prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _powers(_RADIX, len(raw)), dtype=np.uint64)))
-        h = (prefix[end] - prefix[start]) * _powers(_RADIX_INV, len(raw) + 1)[start]
+        prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers(_RADIX, len(raw)), dtype=np.uint64)))
+        h = (prefix[end] - prefix[start]) * powers(_RADIX_INV, len(raw) + 1)[start]
     return mix(h + (end - start).astype(np.uint64)), start, end
 
 
 def shingle_sets(raws: list[bytes | None], k: int = 5) -> list[np.ndarray]:
     """Sorted distinct hashes of the k-word shingles of each text; a shorter text is one shingle of all its words."""
-    kept = [r.translate(_LOWER) if r else b"" for r in raws]
+    kept = [r.translate(LOWER) if r else b"" for r in raws]
     joined = np.frombuffer(b" ".join(kept), np.uint8)
     if not len(joined):
         return [np.zeros(0, np.uint64) for _ in raws]
@@ -84,7 +86,7 @@ def shingle_sets(raws: list[bytes | None], k: int = 5) -> list[np.ndarray]:
     at = np.searchsorted(start, np.cumsum([0] + [len(r) + 1 for r in kept]))
     out = []
     with np.errstate(over="ignore"):
-        scale = _powers(np.uint64(0xA0761D6478BD642F), k)
+        scale = powers(np.uint64(0xA0761D6478BD642F), k)
         full = sum(h[j:len(h) - (k - 1) + j] * scale[j] for j in range(k)) if len(h) >= k else np.zeros(0, np.uint64)
         full = mix(full)
         for a, b in zip(at[:-1], at[1:]):
@@ -102,7 +104,7 @@ def sketch(s: np.ndarray) -> np.ndarray:
     out = np.empty(SKETCH, np.uint32)
     with np.errstate(over="ignore"):
         for j in range(SKETCH):
-            out[j] = ((s * _MULT[j] + _SHIFT[j]) >> np.uint64(32)).min()
+            out[j] = ((s * MULT[j] + SHIFT[j]) >> np.uint64(32)).min()
     return out
 
 
@@ -112,6 +114,29 @@ def fingerprint(s: np.ndarray) -> bytes:
         return np.array([s.sum(dtype=np.uint64), mix(s ^ np.uint64(0x2545F4914F6CDD1D)).sum(dtype=np.uint64), len(s)], np.uint64).tobytes()
 
 
+def chosen(node: np.ndarray, level: int) -> np.ndarray:
+    """Mask (nodes x places) of the places that a node branches on; the same for all items of the node."""
+    with np.errstate(over="ignore"):
+        draw = mix(node[:, None] ^ (np.arange(SKETCH, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(level + 1)))
+    return (draw >> np.uint64(11)).astype(np.float64) < BRANCHES / SKETCH * 2.0 ** 53
+
+
+def branch(batches: Iterator[pa.RecordBatch], level: int) -> Iterator[pa.RecordBatch]:
+    """(node, item, sketch) -> (node, item) of the children."""
+    for batch in batches:
+        node = batch.column("node").to_numpy().view(np.uint64)
+        s = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint32).reshape(-1, SKETCH)
+        row, place = np.nonzero(chosen(node, level))
+        with np.errstate(over="ignore"):
+            child = mix(mix(node[row] + np.uint64(place.astype(np.uint64) + 1) * np.uint64(0xA0761D6478BD642F)) ^ s[row, place].astype(np.uint64))
+        yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), batch.column("item").take(pa.array(row))], names=["node", "item"])
+
+
+def branched(rows: DataFrame, level: int) -> DataFrame:
+    """(node, item) of the children of (node, item, sketch) rows."""
+    return rows.select("node", "item", "sketch").mapInArrow(lambda x: branch(x, level), "node bigint, item bigint")
+
+
 def least_agreement(similarity: float) -> float:
     """Share of equal minwise values below which a pair is ruled out."""
     return similarity - SIGMAS * (similarity * (1 - similarity) / SKETCH) ** 0.5

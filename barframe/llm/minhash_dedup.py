@@ -31,10 +31,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barframe.llm.common import chunks, materialise, read, small
-from barframe.llm.linking import CHUNK, SKETCH, fingerprint, link, mix, shingle_sets, sketch
+from barframe.llm.linking import BRANCHES, CHUNK, SKETCH, branched, fingerprint, link, mix, shingle_sets, sketch
 
 SHINGLE, PERCENT = 5, 75
-TREES, BRANCHES = 10, 4 / 3
+TREES = 10
 LEVELS = 8
 
 
@@ -46,24 +46,6 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array([sketch(s).tobytes() if len(s) else None for s in sets], pa.binary())], names=["doc_id", "n_shingles", "print", "sketch"])
 
 
-def chosen(node: np.ndarray, level: int) -> np.ndarray:
-    """Mask (nodes x places) of the places that a node branches on; the same for all items of the node."""
-    with np.errstate(over="ignore"):
-        draw = mix(node[:, None] ^ (np.arange(SKETCH, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(level + 1)))
-    return (draw >> np.uint64(11)).astype(np.float64) < BRANCHES / SKETCH * 2.0 ** 53
-
-
-def branch(batches: Iterator[pa.RecordBatch], level: int) -> Iterator[pa.RecordBatch]:
-    """(node, item, sketch) -> (node, item) of the children."""
-    for batch in batches:
-        node = batch.column("node").to_numpy().view(np.uint64)
-        s = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint32).reshape(-1, SKETCH)
-        row, place = np.nonzero(chosen(node, level))
-        with np.errstate(over="ignore"):
-            child = mix(mix(node[row] + np.uint64(place.astype(np.uint64) + 1) * np.uint64(0xA0761D6478BD642F)) ^ s[row, place].astype(np.uint64))
-        yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), batch.column("item").take(pa.array(row))], names=["node", "item"])
-
-
 def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(item, sketch) -> first-level nodes of every tree. The places of a tree's root are distinct by tree."""
     order = np.argsort(mix(np.arange(SKETCH, dtype=np.uint64) + np.uint64(99)))
@@ -76,10 +58,6 @@ def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(child.ravel().view(np.int64)), pa.array(np.repeat(item, len(places)))], names=["node", "item"])
 
 
-def _children(rows: DataFrame, level: int) -> DataFrame:
-    return rows.select("node", "item", "sketch").mapInArrow(lambda x: branch(x, level), "node bigint, item bigint")
-
-
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of (doc_id, text)."""
     docs = docs.select("doc_id", "text")
@@ -88,7 +66,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = materialise(real.groupBy("print").agg(F.min("doc_id").alias("item"), F.first("sketch").alias("sketch")), "classes")
 
     items = classes.select("item", "sketch")
-    comps = link(items, items.mapInArrow(_roots, "node bigint, item bigint"), _children,
+    comps = link(items, items.mapInArrow(_roots, "node bigint, item bigint"), branched,
                  lambda ids: docs.withColumnRenamed("doc_id", "item").join(small(ids), "item", "left_semi"), percent, LEVELS)
     ends = classes.select("print", "item")
     if comps is not None:

@@ -11,6 +11,7 @@ from barframe.llm.html_extract import op6_html_extract
 from barframe.llm.language_id import op9_language_id
 from barframe.llm.license_scan import OP1_SQL, op1_license_scan
 from barframe.llm.minhash_dedup import op3_minhash_dedup
+from barframe.llm.paragraph_dedup import op4_paragraph_dedup
 from barframe.llm.secret_scan import op2_secret_scan
 from barframe.llm.source_mix import OP5_SQL, op5_source_mix
 from barframe.llm.suffix_dedup import op10_suffix_dedup
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_secret_scan": op2_secret_scan,
     "op3_minhash_dedup": op3_minhash_dedup,
+    "op4_paragraph_dedup": op4_paragraph_dedup,
     "op5_source_mix": op5_source_mix,
     "op6_html_extract": op6_html_extract,
     "op7_decontaminate": op7_decontaminate,
