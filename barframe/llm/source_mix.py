@@ -142,8 +142,12 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Last pipeline stage: what the mix takes of every document that it takes from."""
-    return select_tokens(docs).where(F.col("tokens_taken") > 0)
+    """Last pipeline stage: the documents that the mix takes from, with how much it takes.
+
+    ``epochs`` whole passes and the prefix of one more make ``tokens_taken``. The ids
+    are distinct, as near-duplicate removal keeps one row of each."""
+    taken = materialise(select_tokens(docs).where(F.col("tokens_taken") > 0).select("doc_id", "domain", "n_tokens", "epochs", "tokens_taken"), "mix_taken")
+    return docs.select("doc_id", "text", "lang", "source", "n_chars").join(taken, "doc_id")
 
 
 def _case(column: str, weights: dict[str, int]) -> str:
