@@ -152,8 +152,7 @@ class EmaSpec:
         return -math.log1p(-self.alpha)
 
 
-# One block spans enough rows that the weight of everything before the
-# previous block is below exp(-40); the exponent is also kept below 600 so the
+# Rows of a block decay by about exp(-40); the exponent is kept below 600 so the
 # rebased prefix sum never overflows a double.
 BLOCK_DECAY = 40.0
 BLOCK_DECAY_MAX = 600.0
@@ -181,7 +180,9 @@ def with_ema(df: DataFrame, specs: list[EmaSpec], part: str = SYMBOL,
     null row carries it. Rows are cut into blocks of L rows; inside a block
     ``y = P_t * (carry + sum(b x / P))`` with ``P`` the running product of
     ``a`` (a bounded, rebased prefix sum), and ``carry`` is the value at the
-    end of the previous block. Everything stays in JVM window operators and is
+    end of the previous block, folded over the ends of all blocks before it: a
+    long run of nulls does not decay, so no block may be left out. A symbol has
+    its sessions over L such ends, at most a few dozen. Everything stays in JVM window operators and is
     parallel across symbols and blocks.
     """
     w = win(part, order)
@@ -220,10 +221,12 @@ def with_ema(df: DataFrame, specs: list[EmaSpec], part: str = SYMBOL,
             stage3.append((F.col(f"__p_{s.out}") * F.sum(F.coalesce(
                 F.col(f"__b_{s.out}") * F.col(s.src) / F.col(f"__p_{s.out}"), F.lit(0.0))).over(wb))
                 .alias(f"__l_{s.out}"))
-            # stage 4: carry from the end of the previous block
-            carry = F.last(F.when(F.col(pos) == F.lit(L - 1), F.col(f"__l_{s.out}")),
-                           ignorenulls=True).over(wprev)
-            y = F.col(f"__l_{s.out}") + F.col(f"__p_{s.out}") * F.coalesce(carry, F.lit(0.0))
+            # stage 4: fold the ends of all earlier blocks (their product and
+            # local sum) into the value they hand on
+            end = F.collect_list(F.when(F.col(pos) == F.lit(L - 1), F.struct(
+                F.col(f"__p_{s.out}").alias("p"), F.col(f"__l_{s.out}").alias("l")))).over(wprev)
+            carry = F.aggregate(end, F.lit(0.0), lambda acc, e: e["l"] + e["p"] * acc)
+            y = F.col(f"__l_{s.out}") + F.col(f"__p_{s.out}") * carry
             outs.append(F.when(F.col(f"__n_{s.out}") >= F.lit(s.min_periods), y).alias(s.out))
             if keep_raw:
                 outs.append(F.when(F.col(f"__n_{s.out}") >= F.lit(1), y).alias(s.out + "_raw"))

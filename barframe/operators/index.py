@@ -25,15 +25,15 @@ def symbol_history(bars: DataFrame) -> DataFrame:
 def full_history_constituents(bars: DataFrame, min_coverage: float = 0.99,
                               require_span: bool = True) -> DataFrame:
     """Symbols that start on the first and end on the last calendar session and
-    cover at least ``min_coverage`` of the calendar."""
-    hist = symbol_history(bars).withColumn("_k", F.lit(1))
-    cal = calendar_stats(bars).withColumn("_k", F.lit(1))
-    # the calendar side is a single row: a bounded broadcast
-    j = hist.join(F.broadcast(cal), "_k").drop("_k")
-    cond = F.col("sessions") >= F.lit(min_coverage) * F.col("cal_sessions")
+    cover at least ``min_coverage`` of the calendar.
+
+    The calendar is one row of three values; they enter the filter as literals."""
+    cal = calendar_stats(bars).first()
+    hist = symbol_history(bars)
+    cond = F.col("sessions") >= F.lit(min_coverage * (cal.cal_sessions or 0))
     if require_span:
-        cond = cond & (F.col("first_date") == F.col("cal_first")) & (F.col("last_date") == F.col("cal_last"))
-    return j.filter(cond).select("symbol", "base_close", "sessions")
+        cond = cond & (F.col("first_date") == F.lit(cal.cal_first)) & (F.col("last_date") == F.lit(cal.cal_last))
+    return hist.filter(cond).select("symbol", "base_close", "sessions")
 
 
 def equal_weight_index(bars: DataFrame, base_level: float = 100.0, min_coverage: float = 0.99,
@@ -70,18 +70,15 @@ def market_returns(bars: DataFrame, symbol: str = C.MARKET_SYMBOL) -> DataFrame:
     return m.select("date", pct_change("_fc", 1, fill=False).alias("market_return"))
 
 
-def snapshot_metadata(snapshot: DataFrame, n_constituents: DataFrame | None = None,
-                      market_symbol: str = C.MARKET_SYMBOL) -> DataFrame:
-    """One-row provenance table. Sessions are reported as min/median/max over
-    equities instead of the first symbol's count."""
-    eq = snapshot.filter(F.col("symbol") != market_symbol)
-    per_symbol = eq.groupBy("symbol").agg(F.count_distinct("date").alias("n"))
-    sess = per_symbol.agg(F.min("n").alias("sessions_min"),
-                          F.median("n").alias("sessions_median"),
-                          F.max("n").alias("sessions_max"),
-                          F.count("*").alias("n_equities"),
-                          F.sort_array(F.collect_list("symbol")).alias("equities"))
-    tot = snapshot.agg(F.count("*").alias("rows"), F.min("date").alias("start_date"),
-                       F.max("date").alias("end_date"))
-    return tot.join(F.broadcast(sess), how="inner", on=F.lit(True)) \
-        .withColumn("market_index_symbol", F.lit(market_symbol))
+def snapshot_metadata(snapshot: DataFrame, market_symbol: str = C.MARKET_SYMBOL) -> DataFrame:
+    """One-row provenance table: counts, period, and min/median/max sessions over
+    the equities (the symbols themselves are ``available_symbols``)."""
+    per_symbol = snapshot.groupBy("symbol").agg(
+        F.count_distinct("date").alias("n"), F.count("*").alias("rows"),
+        F.min("date").alias("first"), F.max("date").alias("last"))
+    equity = F.col("symbol") != market_symbol
+    n = F.when(equity, F.col("n"))
+    return per_symbol.agg(
+        F.sum("rows").alias("rows"), F.min("first").alias("start_date"), F.max("last").alias("end_date"),
+        F.min(n).alias("sessions_min"), F.median(n).alias("sessions_median"), F.max(n).alias("sessions_max"),
+        F.count(n).alias("n_equities")).withColumn("market_index_symbol", F.lit(market_symbol))

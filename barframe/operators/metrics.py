@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 
-# distinct scores one window partition may hold before a group is cut into
-# quantile ranges
-BUCKET_ROWS = 1_000_000
+#: Score ranges of a group in the prefix sums of the ROC table.
+SCORE_RANGES = 256
 
 
 def deterministic_score(close_to_sma20: str = "close_to_sma20",
@@ -53,34 +52,26 @@ def scorecard(df: DataFrame, group: list[str], y: str = "y", pred: str = "pred",
 
 
 def _score_table(df: DataFrame, group: list[str], y: str, proba: str,
-                 buckets: int | None = None) -> DataFrame:
+                 buckets: int = SCORE_RANGES) -> DataFrame:
     """Distinct scores per group with (pos, neg) counts, plus the number of
     negatives / positives strictly below each score.
 
-    Ties collapse in a map-side combined aggregate first. A group with more
-    than ``BUCKET_ROWS`` distinct scores is then cut at approximate quantiles
-    into ranges: the range totals form a small table whose prefix sums give
-    each range's offset, and the exact prefix inside a range is a window over
-    that range only, so a huge group never lands in one task. ``buckets``
-    forces the number of ranges.
+    Ties collapse in a map-side combined aggregate first. Each group is cut at
+    approximate quantiles into ``buckets`` ranges: the range totals form a small
+    table whose prefix sums give each range's offset, and the exact prefix inside
+    a range is a window over that range only, so a large group spreads over many
+    tasks. The plan is the same for every size.
     """
     if not group:
         raise ValueError("group by at least one column (use a constant column for a single group)")
     yy = F.col(y).cast("int")
     agg = df.filter(F.col(proba).isNotNull() & yy.isNotNull()).groupBy(*group, proba).agg(
         F.count_if(yy == 1).alias("pos"), F.count_if(yy == 0).alias("neg"))
-    if buckets is None:
-        # size check: one window partition per group while the largest group
-        # has at most BUCKET_ROWS distinct scores, quantile ranges beyond
-        largest = agg.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
-        buckets = 1 if largest <= BUCKET_ROWS else max(2, min(4096, -(-largest // BUCKET_ROWS) * 4))
-    if buckets > 1:
-        qs = [i / buckets for i in range(1, buckets)]
-        bounds = agg.groupBy(*group).agg(F.percentile_approx(proba, qs, 10000).alias("_bounds"))
-        agg = agg.join(bounds, group)
-        agg = agg.withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b < F.col(proba)))).drop("_bounds")
-    else:
-        agg = agg.withColumn("_bucket", F.lit(0))
+    qs = [i / buckets for i in range(1, buckets)]
+    bounds = agg.groupBy(*group).agg(F.percentile_approx(proba, qs, 10000).alias("_bounds") if qs else
+                                     F.array().cast("array<double>").alias("_bounds"))
+    agg = agg.join(bounds, group)
+    agg = agg.withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b < F.col(proba)))).drop("_bounds")
     totals = agg.groupBy(*group, "_bucket").agg(F.sum("neg").alias("_bneg"), F.sum("pos").alias("_bpos"))
     wb = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(*group, "_bucket",

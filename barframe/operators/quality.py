@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..session import scratch_path
 
 
 class DataValidationError(ValueError):
@@ -16,6 +17,26 @@ def _pct(x: Column, decimals: int) -> Column:
     return F.format_string(f"%.{decimals}f%%", x * F.lit(100.0))
 
 
+def _schema_faults(bars: DataFrame) -> list[str]:
+    """V2 and V3: what the schema alone rules out."""
+    missing = [c for c in C.REQUIRED_COLUMNS if c not in bars.columns]
+    out = [f"columns absent: {', '.join(missing)}"] if missing else []
+    kind = dict(bars.dtypes).get("date", "")
+    if not kind.startswith(("date", "timestamp")):
+        out.append(f"date is {kind or 'absent'}, not a date or timestamp")
+    return out
+
+
+def out_of_order(bars: DataFrame, seq: str) -> DataFrame:
+    """V4: (symbol, out_of_order): rows dated before the one ingested just ahead of them.
+
+    A DataFrame has no order of its own; ``seq`` is the ingest sequence (unique
+    within a symbol). A symbol's rows are bounded by its sessions."""
+    w = Window.partitionBy("symbol").orderBy(seq)
+    back = bars.select("symbol", (F.col("date") < F.lag("date").over(w)).alias("back"))
+    return back.groupBy("symbol").agg(F.count_if("back").alias("out_of_order"))
+
+
 def validation_report(bars: DataFrame, min_rows: int = C.MIN_ROWS_REQUIRED,
                       requested: DataFrame | None = None) -> DataFrame:
     """symbol, rows, passed, warnings (array), message, summary.
@@ -24,9 +45,15 @@ def validation_report(bars: DataFrame, min_rows: int = C.MIN_ROWS_REQUIRED,
     requested symbol without bars.
     """
     req = list(C.REQUIRED_COLUMNS)
-    missing = [c for c in req if c not in bars.columns]
-    if missing:  # V2: schema-level, decided on the driver
-        raise DataValidationError(f"missing required columns: {missing}")
+    broken = _schema_faults(bars)
+    if broken:  # V2, V3: every symbol fails for the same reason, decided from the schema
+        symbols = bars.select("symbol").distinct() if "symbol" in bars.columns else \
+            bars.sparkSession.createDataFrame([("",)], "symbol string")
+        message = "; ".join(broken)
+        return symbols.select(
+            "symbol", F.lit(0).cast("bigint").alias("rows"), F.lit(False).alias("passed"),
+            F.array(*map(F.lit, broken)).alias("warnings"), F.lit(message).alias("message"),
+            F.format_string(f"[FAILED] %s: 0 rows, {len(broken)} warning(s)", F.col("symbol")).alias("summary"))
     nulls = sum(F.col(c).isNull().cast("int") for c in req)
     agg = bars.groupBy("symbol").agg(
         F.count("*").alias("rows"),
@@ -69,11 +96,16 @@ def validation_report(bars: DataFrame, min_rows: int = C.MIN_ROWS_REQUIRED,
 
 
 def assert_valid(report: DataFrame) -> None:
-    """Strict mode (V12): raise on the driver if any symbol failed; only the
-    failing rows are collected."""
-    bad = report.filter(~F.col("passed")).select("symbol", "message").limit(50).collect()
-    if bad:
-        raise DataValidationError("; ".join(f"{r.symbol}: {r.message}" for r in bad))
+    """Strict mode (V12): write every failing row to a table in the shared folder
+    and raise with their exact number, the table's path and one example."""
+    path = scratch_path(report.sparkSession, "failed-symbols", keep=True)
+    report.filter(~F.col("passed")).select("symbol", "message").write.parquet(path)
+    failed = report.sparkSession.read.schema("symbol string, message string").parquet(path)
+    count = failed.count()
+    if count:
+        example = failed.orderBy("symbol").first()
+        raise DataValidationError(f"{count} symbol(s) failed, listed in {path}; "
+                                  f"first: {example.symbol}: {example.message}")
 
 
 def valid_bars(bars: DataFrame, min_rows: int = C.MIN_ROWS_REQUIRED) -> tuple[DataFrame, DataFrame]:
@@ -96,7 +128,6 @@ def leakage_tripwire(matrix: DataFrame, features: list[str], target: str = C.TAR
 def split_order_check(split_df: DataFrame, date_col: str = "date") -> DataFrame:
     """Per split block min/max date and whether each block starts
     strictly after the previous one ends."""
-    from pyspark.sql import Window
     order = F.when(F.col("split") == "train", 0).when(F.col("split") == "validation", 1).otherwise(2)
     blocks = split_df.groupBy("split").agg(F.min(date_col).alias("first_date"),
                                             F.max(date_col).alias("last_date"),

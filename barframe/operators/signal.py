@@ -109,6 +109,5 @@ def returns_by_signal(df: DataFrame, group: list[str], p: str = "p_up", fwd: str
 def latest_signal(df: DataFrame, group: list[str], p: str = "p_up",
                   bull: float = C.BULLISH_THRESHOLD, bear: float = C.BEARISH_THRESHOLD) -> DataFrame:
     """The last labelled row's probability and label per group."""
-    last = df.groupBy(*group).agg(F.max_by(F.struct(F.col("date"), F.col(p).alias("p")), "date").alias("_l"))
-    return last.select(*group, F.col("_l.date").alias("date"), F.col("_l.p").alias("p_up"),
-                       signal_label(F.col("_l.p"), bull, bear).alias("signal"))
+    last = df.groupBy(*group).agg(F.max("date").alias("date"), F.max_by(p, "date").alias("p_up"))
+    return last.withColumn("signal", signal_label("p_up", bull, bear))

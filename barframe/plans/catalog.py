@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from .. import config as C
 from ..operators import features as FE
 from ..operators.index import equal_weight_index, market_returns
+from ..session import cut_lineage, scratch_path
 from ..sources.ticks import brand_bars, daily_bars, hourly_bars
 from . import oracle as O
 
@@ -74,6 +75,12 @@ def market_for(bars: DataFrame) -> DataFrame:
                                              require_span=INDEX_SPAN))
 
 
+def bars_once(spark, sf) -> DataFrame:
+    """The daily bars as a written table: what reads them several times (index,
+    calendar, windows) reads the ticks once."""
+    return cut_lineage(daily_bars(spark, sf), "bars")
+
+
 def _bars_ctes() -> list[tuple[str, str]]:
     return [("bars", O.bars_orders())]
 
@@ -104,14 +111,14 @@ def q_bars_brand(spark, sf):
 @register("equal_weight_index", O.sql(_bars_ctes() + O.index_ctes(min_coverage=INDEX_COVERAGE),
                                       f"SELECT {sel_rounded(BAR_DOUBLES, ['symbol', 'date', 'volume'])} FROM idx"))
 def q_equal_weight_index(spark, sf):
-    return rounded(equal_weight_index(daily_bars(spark, sf), min_coverage=INDEX_COVERAGE,
+    return rounded(equal_weight_index(bars_once(spark, sf), min_coverage=INDEX_COVERAGE,
                                       require_span=INDEX_SPAN))
 
 
 @register("market_returns", O.sql(_bars_ctes() + O.index_ctes(min_coverage=INDEX_COVERAGE),
                                   f"SELECT date, {O.rnd('market_return', 'market_return')} FROM mkt"))
 def q_market_returns(spark, sf):
-    return rounded(market_for(daily_bars(spark, sf)))
+    return rounded(market_for(bars_once(spark, sf)))
 
 
 # ---------------------------------------------------------------------------
@@ -133,7 +140,7 @@ def _feature_sql(cols: list[str], matrix: bool = False, bars_ctes=None, market=T
 
 
 def _features(spark, sf, cols: list[str]) -> DataFrame:
-    bars = daily_bars(spark, sf)
+    bars = bars_once(spark, sf)
     df = FE.all_feature_columns(bars, market_for(bars))
     return rounded(df.select("symbol", "date", *cols))
 
@@ -157,7 +164,7 @@ for _name, _cols in BLOCKS.items():
 
 @register("feature_matrix", _feature_sql(FE.ALL_FEATURES + FE.LABELS, matrix=True))
 def q_feature_matrix(spark, sf):
-    bars = daily_bars(spark, sf)
+    bars = bars_once(spark, sf)
     return rounded(FE.feature_matrix(bars, market_for(bars)).drop("market_ok"))
 
 
@@ -173,18 +180,12 @@ from . import queries_models  # noqa: E402,F401
 from . import queries_indicators  # noqa: E402,F401
 
 
-def _stream_dir(spark) -> str:
-    import uuid
-    from ..session import ensure_checkpoint_dir
-    return ensure_checkpoint_dir(spark).rstrip("/") + f"/bar-stream-{uuid.uuid4().hex}"
-
-
 @register("bars_hourly_stream", SQL["bars_hourly"])
 def q_bars_hourly_stream(spark, sf):
     """Live mode re-aimed: the hourly bars folded from the events files by a
     Structured Streaming job (availableNow), read back keep-last."""
     from ..streaming.bars import read_stream_bars, run_bar_stream
-    base = _stream_dir(spark)
+    base = scratch_path(spark, "bar-stream")
     schema = spark.read.parquet(f"{sf}/events.parquet").schema
     q = run_bar_stream(spark, sf, schema, base + "/out", base + "/state", "event_type", "ts", "value",
                        file_glob="events.parquet")

@@ -18,7 +18,7 @@ from ..session import cut_lineage
 from ..sources import snapshot as SN
 from ..sources.ticks import brand_bars, daily_bars, read_table
 from . import oracle as O
-from .catalog import (BAR_DOUBLES, INDEX_COVERAGE, INDEX_SPAN, _bars_ctes, market_for, register,
+from .catalog import (BAR_DOUBLES, INDEX_COVERAGE, INDEX_SPAN, _bars_ctes, bars_once, market_for, register,
                       rounded, sel_rounded)
 
 BARS = _bars_ctes()
@@ -127,7 +127,7 @@ def q_dedupe_keep_last(spark, sf):
 @register("snapshot", O.sql(BARS + IDX + [("snap", "SELECT * FROM bars UNION ALL SELECT * FROM idx")],
                             f"""SELECT symbol, date, {', '.join(O.rnd(f'round({c}, 4)', c) for c in BAR_DOUBLES)}, volume FROM snap"""))
 def q_snapshot(spark, sf):
-    return rounded(build_snapshot(daily_bars(spark, sf), min_coverage=INDEX_COVERAGE, require_span=INDEX_SPAN))
+    return rounded(build_snapshot(bars_once(spark, sf), min_coverage=INDEX_COVERAGE, require_span=INDEX_SPAN))
 
 
 @register("snapshot_metadata", O.sql(BARS + IDX + [
@@ -136,11 +136,11 @@ def q_snapshot(spark, sf):
     f"""SELECT (SELECT count(*) FROM snap) AS rows, (SELECT min(date) FROM snap) AS start_date,
        (SELECT max(date) FROM snap) AS end_date, min(n) AS sessions_min,
        {O.rnd('median(n)', 'sessions_median')}, max(n) AS sessions_max, count(*) AS n_equities,
-       array_to_string(list_sort(list(symbol)), ',') AS equities, '{C.MARKET_SYMBOL}' AS market_index_symbol
+       '{C.MARKET_SYMBOL}' AS market_index_symbol
 FROM per"""))
 def q_snapshot_metadata(spark, sf):
-    snap = build_snapshot(daily_bars(spark, sf), min_coverage=INDEX_COVERAGE, require_span=INDEX_SPAN)
-    return rounded(snapshot_metadata(snap).withColumn("equities", F.array_join("equities", ",")))
+    snap = build_snapshot(bars_once(spark, sf), min_coverage=INDEX_COVERAGE, require_span=INDEX_SPAN)
+    return rounded(snapshot_metadata(snap))
 
 
 # ---------------------------------------------------------------------------
@@ -190,14 +190,14 @@ FROM s"""),
        CAST(month(month_start) AS INTEGER) AS month, strftime(month_start, '%b') AS month_name,
        {O.rnd('return_pct', 'return_pct')} FROM mr WHERE return_pct IS NOT NULL"""))
 def q_monthly_returns(spark, sf):
-    return rounded(ST.monthly_returns(daily_bars(spark, sf)))
+    return rounded(ST.monthly_returns(bars_once(spark, sf)))
 
 
 @register("monthly_return_table", O.sql(_MONTHLY, "SELECT symbol, CAST(year(month_start) AS INTEGER) AS year, " + ", ".join(
     O.rnd(f"avg(CASE WHEN month(month_start) = {i + 1} THEN return_pct END)", m) for i, m in enumerate(C.MONTH_NAMES))
     + " FROM mr WHERE return_pct IS NOT NULL GROUP BY 1, 2"))
 def q_monthly_return_table(spark, sf):
-    return rounded(ST.monthly_return_table(daily_bars(spark, sf)))
+    return rounded(ST.monthly_return_table(bars_once(spark, sf)))
 
 
 @register("weekday_returns", O.sql(RET, f"""SELECT symbol, CAST(isodow(date) - 1 AS INTEGER) AS weekday_index,
@@ -261,7 +261,7 @@ def _feat_all_ctes() -> list:
             WHEN arg_max(rsi_14, CASE WHEN rsi_14 IS NOT NULL THEN date END) < 30 THEN 'oversold' END AS rsi_flag
 FROM feat GROUP BY symbol"""))
 def q_latest_indicators(spark, sf):
-    bars = daily_bars(spark, sf)
+    bars = bars_once(spark, sf)
     return rounded(ST.latest_indicators(FE.all_feature_columns(bars, market_for(bars))))
 
 
@@ -270,7 +270,7 @@ def q_latest_indicators(spark, sf):
 # ---------------------------------------------------------------------------
 def scored(spark, sf) -> DataFrame:
     """Feature matrix + deterministic P(up) (``p_up``), ``y`` and ``pred``."""
-    bars = daily_bars(spark, sf)
+    bars = bars_once(spark, sf)
     fm = FE.feature_matrix(bars, market_for(bars))
     return cut_lineage(fm.select("symbol", "date", F.col(TGT).alias("y"), "daily_return", "next_day_return",
                                  "close_to_sma20", M.deterministic_score().alias("p_up"))

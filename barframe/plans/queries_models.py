@@ -13,10 +13,9 @@ from ..operators import metrics as M
 from ..operators import models as ML
 from ..operators import splits as SP
 from ..operators.report import comparison_table
-from ..sources.ticks import daily_bars
 from . import oracle as O
 from ..session import cut_lineage
-from .catalog import market_for, register, rounded
+from .catalog import bars_once, market_for, register, rounded
 from .queries_analytics import _feat_all_ctes
 
 FEATURES = FE.ALL_FEATURES
@@ -26,7 +25,7 @@ def panel_split(spark, sf) -> tuple[DataFrame, list[str]]:
     """Feature matrix with the date split, written once to the checkpoint
     folder (every fit rereads a flat scan instead of re-planning the
     windows), and the feature list every symbol shares."""
-    bars = daily_bars(spark, sf)
+    bars = bars_once(spark, sf)
     fm = cut_lineage(FE.feature_matrix(bars, market_for(bars)))
     return cut_lineage(SP.split_by_dates(fm)), FE.panel_features(fm)
 
@@ -63,7 +62,7 @@ def q_panel_comparison(spark, sf):
 @register("per_symbol_experiment", None)
 def q_per_symbol_experiment(spark, sf):
     """A linear model per symbol (row split), test scores per symbol."""
-    bars = daily_bars(spark, sf)
+    bars = bars_once(spark, sf)
     fm = cut_lineage(FE.feature_matrix(bars, market_for(bars)))
     rs = cut_lineage(SP.split_by_rows(fm).filter(F.col("split").isNotNull()))
     symbols = sorted(r.symbol for r in rs.select("symbol").distinct().collect())
@@ -104,7 +103,7 @@ def _fm_sql_ctes():
 def q_feature_target_corr(spark, sf):
     """V13 leakage tripwire table: |corr(feature, target)| per feature."""
     from ..operators.quality import leakage_tripwire
-    bars = daily_bars(spark, sf)
+    bars = bars_once(spark, sf)
     return rounded(leakage_tripwire(FE.feature_matrix(bars, market_for(bars)), FEATURES))
 
 
@@ -123,7 +122,7 @@ WHERE feature_a IN (SELECT feature FROM top) AND feature_b IN (SELECT feature FR
 
 @register("feature_correlation", _corr_sql())
 def q_feature_correlation(spark, sf):
-    bars = daily_bars(spark, sf)
+    bars = bars_once(spark, sf)
     fm = cut_lineage(FE.feature_matrix(bars, market_for(bars)))
     return rounded(X.feature_correlation(fm, FEATURES))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,8 +41,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    The folder named by ``spark.checkpoint.dir`` is used as is. Only when the
-    session has none (local tests) is a fresh scratch folder created.
+    The folder named by ``spark.checkpoint.dir`` is used as is. A session on a
+    local master without one gets a fresh scratch folder; on a cluster a folder
+    of one machine would be of no use to the others, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,23 +51,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master or "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="barframe-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss).
+def scratch_path(spark: SparkSession, name: str, keep: bool = False) -> str:
+    """A new path in the shared checkpoint folder, deleted when the driver ends unless kept."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if keep:
+        return path
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
 
-    The input is persisted first: an eager checkpoint runs one job to count
-    and a second one to write the files, and without the cache the second
-    job would compute the whole plan again."""
-    from pyspark import StorageLevel
-    ensure_checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
+
+def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once into the shared folder and read it back.
+
+    Like a reliable checkpoint it survives lost executors, but the plan runs
+    once (an eager checkpoint runs it twice) and the rows are stored as
+    compressed columns, of which later queries read only those they need."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -60,10 +60,12 @@ def missing_symbols(spark: SparkSession, bars: DataFrame, universe: list[str]) -
 
 
 def dedupe_keep_last(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
-    """One row per key, the one with the largest ingest sequence."""
+    """One row per key, the one with the largest ingest sequence.
+
+    One ``max_by`` per column: their buffers are plain values, so numeric rows
+    stay in a hash aggregate. ``seq`` is unique within a key."""
     others = [c for c in df.columns if c not in keys]
-    agg = df.groupBy(*keys).agg(F.max_by(F.struct(*others), F.col(seq)).alias("_last"))
-    return agg.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in others])
+    return df.groupBy(*keys).agg(*[F.max(seq).alias(seq) if c == seq else F.max_by(c, seq).alias(c) for c in others])
 
 
 def normalise_vendor_frame(raw: DataFrame) -> DataFrame:

@@ -74,37 +74,39 @@ def bars_from_events(events: DataFrame) -> DataFrame:
         price=F.col("value"), seq=F.col("ts"), volume=F.lit(1))
 
 
-# part rows above this bound are not broadcast; the lineitem side is then
-# pre-aggregated per (part, day) before a shuffle join.
-BROADCAST_PART_ROWS = 2_000_000
+#: Bits of the line number in a line item's sequence key.
+LINE_BITS = 16
 
 
-def bars_from_lineitem(lineitem: DataFrame, part: DataFrame,
-                       broadcast_rows: int = BROADCAST_PART_ROWS) -> DataFrame:
+def line_sequence(order: Column, line: Column) -> Column:
+    """(order key, line number) as one long, so that first and last stay in hash
+    aggregates; a key that doesn't fit is an error."""
+    fits = (order >= 0) & (order < 1 << (63 - LINE_BITS)) & (line >= 0) & (line < 1 << LINE_BITS)
+    return F.when(order.isNull() | line.isNull(), F.lit(None)) \
+        .when(fits, F.shiftleft(order.cast("bigint"), LINE_BITS) + line) \
+        .otherwise(F.raise_error(F.concat(F.lit("line item key out of range: "), order.cast("string"))).cast("bigint"))
+
+
+def bars_from_lineitem(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """Daily bars per part brand: price = l_extendedprice / l_quantity, first and
-    last by (l_orderkey, l_linenumber), volume = sum(l_quantity)."""
+    last by (l_orderkey, l_linenumber), volume = sum(l_quantity).
+
+    Line items collapse to one partial bar per (part, day) before they meet
+    ``part``, so the join moves partial bars, and Spark chooses how to join."""
     li = nan_to_null(lineitem.select("l_orderkey", "l_linenumber", "l_partkey",
                                      "l_quantity", "l_extendedprice", "l_shipdate"))
     li = li.select("l_partkey", F.to_date("l_shipdate").alias("day"),
                    F.try_divide("l_extendedprice", "l_quantity").alias("px"),
-                   F.struct("l_orderkey", "l_linenumber").alias("seq"),
+                   line_sequence(F.col("l_orderkey"), F.col("l_linenumber")).alias("seq"),
                    F.col("l_quantity").alias("qty"))
-    brands = part.select("p_partkey", "p_brand")
-    n_part = brands.count()
-    if n_part <= broadcast_rows:
-        joined = li.join(F.broadcast(brands), li.l_partkey == brands.p_partkey)
-        return aggregate_bars(joined, F.col("p_brand"), F.col("day"), F.col("px"),
-                              F.col("seq"), F.col("qty"))
-    # Large dimension: collapse lineitem to one partial bar per (part, day)
-    # first, so the shuffle join moves partial bars, not line items.
     partial = li.groupBy("l_partkey", "day").agg(
-        F.min_by(F.struct("seq", "px"), "seq").alias("first"),
-        F.max_by(F.struct("seq", "px"), "seq").alias("last"),
+        F.min("seq").alias("seq_first"), F.min_by("px", "seq").alias("first"),
+        F.max("seq").alias("seq_last"), F.max_by("px", "seq").alias("last"),
         F.max("px").alias("high"), F.min("px").alias("low"), F.sum("qty").alias("qty"))
-    joined = partial.join(brands, partial.l_partkey == brands.p_partkey)
+    joined = partial.join(part.select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
     bars = joined.groupBy(F.col("p_brand").alias("symbol"), F.col("day").alias("date")).agg(
-        F.min_by("first.px", "first.seq").alias("open"), F.max("high").alias("high"),
-        F.min("low").alias("low"), F.max_by("last.px", "last.seq").alias("close"),
+        F.min_by("first", "seq_first").alias("open"), F.max("high").alias("high"),
+        F.min("low").alias("low"), F.max_by("last", "seq_last").alias("close"),
         F.sum("qty").alias("volume"))
     return bars.select("symbol", "date", "open", "high", "low", "close",
                        F.col("close").alias("adj_close"), F.col("volume").cast("bigint").alias("volume"))

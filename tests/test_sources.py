@@ -1,5 +1,6 @@
 """Source operators: the large-dimension bar path, fallback, look-back, normalisation."""
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from barframe.sources import snapshot as SN
@@ -8,12 +9,34 @@ from barframe.sources.ticks import bars_from_lineitem, read_table
 from conftest import SF_SMALL
 
 
-def test_lineitem_bars_shuffle_path_equals_broadcast_path(spark):
+def test_lineitem_bars_use_hash_aggregates(spark):
     li, part = read_table(spark, SF_SMALL, "lineitem"), read_table(spark, SF_SMALL, "part")
-    a = bars_from_lineitem(li, part)                        # part broadcast
-    b = bars_from_lineitem(li, part, broadcast_rows=0)      # pre-aggregate, then shuffle join
-    assert a.count() == b.count() > 0
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    bars = bars_from_lineitem(li, part)
+    plan = bars._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and bars.count() > 0
+
+
+def test_line_item_key_out_of_range_is_an_error(spark):
+    from barframe.sources.ticks import line_sequence
+    df = spark.createDataFrame([(5, 1), (None, 1), (1 << 50, 1)], "o bigint, l int").select(
+        "o", line_sequence(F.col("o"), F.col("l")).alias("s"))
+    assert [r.s for r in df.filter("o = 5 OR o IS NULL").collect()] == [(5 << 16) + 1, None]
+    with pytest.raises(Exception, match="out of range"):
+        df.collect()
+
+
+def test_dedupe_and_latest_use_hash_aggregates(spark):
+    from barframe.plans.catalog import QUERIES
+    for name in ("dedupe_keep_last", "latest_signal", "bars_brand"):
+        assert "SortAggregate" not in QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ticks_are_read_once(spark):
+    """Plans over the index read the written bars, and join nothing on a constant."""
+    from barframe.plans.catalog import QUERIES
+    for name in ("feature_matrix", "snapshot_metadata", "monthly_returns"):
+        plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "orders.parquet" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_fallback_fills_only_missing_symbols(spark, bars):
