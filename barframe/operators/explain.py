@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..session import cut_lineage
 from . import metrics as M
 
-PERMUTATION_BUCKETS = 256
+#: Hex digits of a random key that name its range (16 ** 3 ranges).
+RANGE_DIGITS = 3
 
 
 def native_importance(spark: SparkSession, model: PipelineModel, features: list[str]) -> DataFrame | None:
@@ -29,34 +31,50 @@ def native_importance(spark: SparkSession, model: PipelineModel, features: list[
     return spark.createDataFrame(rows, "feature string, importance double, signed_value double")
 
 
+def random_ranks(rows: DataFrame, part: list[str], key: str, rank: str) -> DataFrame:
+    """Adds the 1-based rank of ``key`` (uniform hex digits) within ``part``.
+
+    The rank is the position inside the key's range plus the rows in the ranges
+    before it: a window never holds more than one range of one part, so no
+    task sorts a whole part."""
+    rows = rows.withColumn("_range", F.substring(key, 1, RANGE_DIGITS))
+    sizes = rows.groupBy(*part, "_range").agg(F.count("*").alias("_in"))
+    before = Window.partitionBy(*part).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*part, "_range", F.coalesce(F.sum("_in").over(before), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy(*part, "_range").orderBy(key, "_rid"))
+    return (rows.withColumn("_at", within).join(offsets, [*part, "_range"])
+            .withColumn(rank, F.col("_at") + F.col("_before")).drop("_at", "_before", "_range"))
+
+
+def permutations(test: DataFrame, repeats: int = C.PERMUTATION_REPEATS, seed: int = C.RANDOM_STATE,
+                 keys: tuple[str, ...] = ("symbol", "date")) -> DataFrame:
+    """(_rid, repeat, _partner): one random permutation of all rows per repeat.
+
+    Two independent random orders of the rows are joined rank to rank. The
+    orders are md5 keys of (row id, repeat), so a recomputed task draws the same."""
+    rid = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    ids = test.select(rid.alias("_rid")).withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+
+    def key(which: str):
+        return F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(which), F.col("repeat").cast("string"), F.col("_rid")))
+
+    to = random_ranks(ids.withColumn("_key", key("to")), ["repeat"], "_key", "_k").drop("_key")
+    source = random_ranks(ids.withColumn("_key", key("from")), ["repeat"], "_key", "_k")
+    return to.join(source.select("repeat", "_k", F.col("_rid").alias("_partner")), ["repeat", "_k"]).drop("_k")
+
+
 def permuted_copies(test: DataFrame, features: list[str], repeats: int = C.PERMUTATION_REPEATS,
-                    seed: int = C.RANDOM_STATE, buckets: int = PERMUTATION_BUCKETS,
-                    keys: tuple[str, ...] = ("symbol", "date")) -> DataFrame:
-    """Rows x features x repeats, each copy with one column shuffled.
-
-    The test rows are exploded to a long (row, feature, repeat, value) table.
-    Inside each (feature, repeat) the rows are scattered into random buckets
-    and permuted within their bucket (row number by a random key joined to
-    row number by row id): a uniformly random permutation per bucket with no
-    global sort and no single task. The permuted value is joined back to the
-    wide row and replaces only its own column.
-    """
-    # a deterministic row id (recomputation after a lost executor gives the same ids)
-    base = test.withColumn("_rid", F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
-    pairs = F.array(*[F.struct(F.lit(f).alias("f"), F.col(f).cast("double").alias("v")) for f in features])
-    long = base.select("_rid", F.explode(pairs).alias("_p")).select("_rid", "_p.f", "_p.v") \
-        .withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    key = F.hash("_rid", "f", "repeat", F.lit(seed))
-    long = long.withColumn("_b", F.pmod(key, F.lit(buckets)))
-    wpart = Window.partitionBy("f", "repeat", "_b")
-    src = long.select("f", "repeat", "_b", F.col("v").alias("_pv"),
-                      F.row_number().over(wpart.orderBy(F.hash("_rid", "f", "repeat", F.lit(seed + 7)), "_rid"))
-                      .alias("_k"))
-    dst = long.select("_rid", "f", "repeat", "_b", F.row_number().over(wpart.orderBy("_rid")).alias("_k"))
-    perm = dst.join(src, ["f", "repeat", "_b", "_k"]).select("_rid", F.col("f").alias("perm_feature"),
-                                                             "repeat", "_pv")
-    wide = perm.join(base, "_rid")
-    return wide.select(*[F.when(F.col("perm_feature") == F.lit(c), F.col("_pv")).otherwise(F.col(c)).alias(c)
+                    seed: int = C.RANDOM_STATE, keys: tuple[str, ...] = ("symbol", "date")) -> DataFrame:
+    """Rows x features x repeats, each copy with one column taken from its partner.
+
+    One permutation of all rows per repeat serves every feature: the partner's
+    row is joined once, and the copies per feature are made within the task."""
+    rid = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    base = test.withColumn("_rid", rid)
+    partner = base.select(F.col("_rid").alias("_partner"), *[F.col(f).alias(f"_p_{f}") for f in features])
+    wide = permutations(test, repeats, seed, keys).join(base, "_rid").join(partner, "_partner")
+    long = wide.withColumn("perm_feature", F.explode(F.array(*[F.lit(f) for f in features])))
+    return long.select(*[F.when(F.col("perm_feature") == F.lit(c), F.col(f"_p_{c}")).otherwise(F.col(c)).alias(c)
                          if c in features else F.col(c) for c in base.columns if c != "_rid"],
                        "perm_feature", "repeat")
 
@@ -65,15 +83,12 @@ def permutation_importance(score, test: DataFrame, features: list[str], repeats:
                            seed: int = C.RANDOM_STATE, keys: tuple[str, ...] = ("symbol", "date")) -> DataFrame:
     """Mean and population std of the ROC-AUC drop when one column is
     shuffled. ``score(df)`` must add ``p_up`` (a fitted model's scorer)."""
-    base = score(test).withColumn("_all", F.lit("all"))
-    base_auc = M.roc_auc(base.withColumn("y", F.col("label").cast("int")), ["_all"])
-    from ..session import cut_lineage
-    # scored once, then every aggregate below reads the written copy
-    perm = cut_lineage(score(permuted_copies(test, features, repeats, seed, keys=keys))
-                       .select("perm_feature", "repeat", F.col("label").cast("int").alias("y"), "p_up"))
-    aucs = M.roc_auc(perm, ["perm_feature", "repeat"]).withColumn("_all", F.lit("all"))
-    drops = aucs.join(F.broadcast(base_auc.withColumnRenamed("roc_auc", "_base")), "_all") \
-        .withColumn("drop", F.col("_base") - F.col("roc_auc"))
+    y = F.col("label").cast("int").alias("y")
+    base = M.roc_auc(score(test).select(F.lit("all").alias("_all"), y, "p_up"), ["_all"]).first()
+    # scored once, then the grouped aggregates read the written copy
+    perm = cut_lineage(score(permuted_copies(test, features, repeats, seed, keys)).select("perm_feature", "repeat", y, "p_up"), "permuted")
+    drops = M.roc_auc(perm, ["perm_feature", "repeat"]).withColumn(
+        "drop", F.lit(base.roc_auc if base else None).cast("double") - F.col("roc_auc"))
     return drops.groupBy(F.col("perm_feature").alias("feature")).agg(
         F.avg("drop").alias("importance"), F.stddev_pop("drop").alias("std"),
         F.avg("drop").alias("signed_value"))
@@ -101,62 +116,47 @@ def feature_std(matrix: DataFrame, features: list[str]) -> DataFrame:
 
 def feature_correlation(matrix: DataFrame, features: list[str], top_n: int = C.CORRELATION_TOP_N) -> DataFrame:
     """Pearson correlation matrix (long form) of the ``top_n``
-    highest-variance features.
+    highest-variance features, each pair over the rows that have both values.
 
-    Two passes over the rows, both plain sums (small, codegen-friendly
-    aggregate buffers): the means, then the centred cross-products
-    ``sum((a - mean_a)(b - mean_b))`` for each unordered pair, so there is no
-    cancellation. The top-n list and the means are a few scalars.
-    """
+    The pairs are made within the task and combined there before the shuffle,
+    which moves one partial row per pair and task. The list of the top features
+    is a few names."""
     top = [r.feature for r in feature_std(matrix, features).orderBy(F.col("std").desc(), "feature")
            .limit(top_n).collect()] if len(features) > top_n else list(features)
-    rows = matrix.select(*top).dropna()
-    means = rows.agg(*[F.avg(f).alias(f) for f in top]).first().asDict()
-    cent = {f: F.col(f) - F.lit(means[f]) for f in top}
-    pairs = [(a, b) for i, a in enumerate(top) for b in top[i:]]
-    sums = rows.agg(*[F.sum(cent[a] * cent[b]).alias(f"{a}__{b}") for a, b in pairs]).first().asDict()
-    out = []
-    for a in top:
-        for b in top:
-            key = f"{a}__{b}" if f"{a}__{b}" in sums else f"{b}__{a}"
-            den = (sums[f"{a}__{a}"] or 0.0) * (sums[f"{b}__{b}"] or 0.0)
-            out.append((a, b, (sums[key] / den ** 0.5) if den > 0 else None))
-    spark = matrix.sparkSession
-    return spark.createDataFrame(out, "feature_a string, feature_b string, corr double")
-
-
-def sampled_shapley(score, rows: DataFrame, features: list[str], max_rows: int = 300, samples: int = 16,
-                    seed: int = C.RANDOM_STATE, order: str = "date", keys: tuple[str, ...] = ("symbol", "date")
-                    ) -> DataFrame:
+    pairs = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
+                               F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b"))
+                      for a in top for b in top])
+    long = matrix.select(F.explode(pairs).alias("p")).select("p.*").where("a IS NOT NULL AND b IS NOT NULL")
+    found = long.groupBy("feature_a", "feature_b").agg(F.corr("a", "b").alias("corr"))
+    names = matrix.sparkSession.createDataFrame([(a, b) for a in top for b in top], "feature_a string, feature_b string")
+    return names.join(found, ["feature_a", "feature_b"], "left")
+
+
+def sampled_shapley(score, rows: DataFrame, features: list[str], samples: int = 16, seed: int = C.RANDOM_STATE,
+                    keys: tuple[str, ...] = ("symbol", "date")) -> DataFrame:
     """I4 re-aimed: mean |Shapley value| per feature by permutation sampling
-    (Strumbelj and Kononenko 2014), as one Spark job.
-
-    The last ``max_rows`` rows by ``order`` are explained (the window the
-    reference uses). For each (row, feature j, sample m) a random permutation
-    is drawn as hash priorities per feature and a background row z is drawn
-    from the same window; the two coalitions x_{+j} / x_{-j} take the features
-    ranked before j (and j itself for x_{+j}) from x and the rest from z.
-    Both are scored in one ``transform``; phi_j(x) is the mean difference.
+    (Strumbelj and Kononenko 2014), as one Spark job over all given rows.
+
+    For each row and sample a background row is drawn by a random permutation of
+    the rows (see ``permutations``). Each feature j then takes its place in a
+    random order, given by hash priorities; the coalitions with and without j
+    take the features before j from the row and the rest from the background.
+    Both are scored in one ``transform``; phi_j is the mean difference.
     """
-    w = Window.orderBy(F.col(order).desc(), *keys)  # a top-k: bounded by max_rows
-    expl = rows.withColumn("_i", F.row_number().over(w) - F.lit(1)).filter(F.col("_i") < max_rows)
-    n = max(1, min(max_rows, expl.count()))
-    bg = expl.select(F.col("_i").alias("_bi"), *[F.col(f).alias(f"_z_{f}") for f in features])
-    fx = F.array(*[F.lit(f) for f in features])
-    cand = expl.select("_i", *features, F.explode(fx).alias("_j")) \
-        .withColumn("_m", F.explode(F.sequence(F.lit(0), F.lit(samples - 1)))) \
-        .withColumn("_bi", F.pmod(F.hash("_i", "_j", "_m", F.lit(seed)), F.lit(n)))
-    cand = cand.join(F.broadcast(bg), "_bi")  # the background window has at most max_rows rows
-    pri = {f: F.hash("_i", "_j", "_m", F.lit(f), F.lit(seed + 1)) for f in features}
-    pj = F.hash("_i", "_j", "_m", "_j", F.lit(seed + 1))
+    rid = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    base = rows.select(rid.alias("_rid"), *features)
+    partner = base.select(F.col("_rid").alias("_partner"), *[F.col(f).alias(f"_z_{f}") for f in features])
+    drawn = permutations(rows, samples, seed, keys).join(base, "_rid").join(partner, "_partner")
+    cand = drawn.withColumn("_j", F.explode(F.array(*[F.lit(f) for f in features])))
+    pri = {f: F.xxhash64("_rid", "_j", "repeat", F.lit(f), F.lit(seed + 1)) for f in features}
+    pj = F.xxhash64("_rid", "_j", "repeat", "_j", F.lit(seed + 1))
     plus, minus = [], []
     for f in features:
         before = pri[f] < pj
         plus.append(F.when(before | (F.col("_j") == F.lit(f)), F.col(f)).otherwise(F.col(f"_z_{f}")).alias(f))
         minus.append(F.when(before & (F.col("_j") != F.lit(f)), F.col(f)).otherwise(F.col(f"_z_{f}")).alias(f))
-    both = cand.select("_i", "_j", "_m", F.lit(1.0).alias("_sign"), *plus).unionByName(
-        cand.select("_i", "_j", "_m", F.lit(-1.0).alias("_sign"), *minus))
-    scored = score(both)
-    phi = scored.groupBy("_i", "_j").agg((F.sum(F.col("_sign") * F.col("p_up")) / F.lit(float(samples)))
-                                         .alias("phi"))
+    both = cand.select("_rid", "_j", F.explode(F.array(F.struct(F.lit(1.0).alias("_sign"), *plus),
+                                                      F.struct(F.lit(-1.0).alias("_sign"), *minus))).alias("_c")).select("_rid", "_j", "_c.*")
+    phi = score(both).groupBy("_rid", "_j").agg(
+        (F.sum(F.col("_sign") * F.col("p_up")) / F.lit(float(samples))).alias("phi"))
     return phi.groupBy(F.col("_j").alias("feature")).agg(F.avg(F.abs("phi")).alias("mean_abs_shap"))

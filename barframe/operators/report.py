@@ -25,10 +25,20 @@ def ordered(table: DataFrame) -> DataFrame:
     return table.orderBy(F.col("test_roc_auc").desc_nulls_last())
 
 
+#: Rank of the models where scores tie: the first listed wins, unknown keys last by name.
+MODEL_ORDER = ("logistic_regression", "random_forest", "gradient_boosting", "boosted_trees_colsample", "rff_svm")
+
+
+def _best_first(*scores) -> list:
+    place = F.coalesce(F.element_at(F.create_map(*[x for i, k in enumerate(MODEL_ORDER) for x in (F.lit(k), F.lit(i))]),
+                                    F.col("model_key")), F.lit(len(MODEL_ORDER)))
+    return [*[s.desc() for s in scores], place.asc(), F.col("model_key").asc()]
+
+
 def best_model(models: DataFrame) -> DataFrame:
-    """Max by (roc_auc or 0, accuracy)."""
-    key = F.struct(F.coalesce("roc_auc", F.lit(0.0)), F.col("accuracy"))
-    return models.agg(F.max_by("model_key", key).alias("best_model_key"))
+    """Largest (roc_auc or 0, accuracy); ties to the first in ``MODEL_ORDER``."""
+    order = _best_first(F.coalesce("roc_auc", F.lit(0.0)), F.col("accuracy"))
+    return models.orderBy(*order).limit(1).select(F.col("model_key").alias("best_model_key"))
 
 
 def per_symbol_rows(cards: DataFrame, split_df: DataFrame, y: str = "y") -> DataFrame:
@@ -50,8 +60,8 @@ def best_per_symbol(rows: DataFrame) -> DataFrame:
     median of those AUCs."""
     w = Window.partitionBy("symbol").orderBy(F.col("test_roc_auc").desc_nulls_last(), "model_key")
     best = rows.withColumn("_rk", F.row_number().over(w)).filter("_rk = 1")
-    med = best.agg(F.median("test_roc_auc").alias("biased_median_auc"))
-    return best.select("symbol", "model_key", "test_roc_auc").join(F.broadcast(med), how="inner", on=F.lit(True))
+    median = best.agg(F.median("test_roc_auc").alias("m")).first().m
+    return best.select("symbol", "model_key", "test_roc_auc", F.lit(median).cast("double").alias("biased_median_auc"))
 
 
 def model_summary(rows: DataFrame) -> DataFrame:
@@ -70,8 +80,9 @@ def model_summary(rows: DataFrame) -> DataFrame:
 
 def strongest_model(summary: DataFrame) -> DataFrame:
     """O8."""
-    return summary.agg(F.max_by("model_key", "median_test_roc_auc").alias("strongest_model_key"),
-                       F.max("median_test_roc_auc").alias("strongest_median_test_roc_auc"))
+    order = _best_first(F.coalesce("median_test_roc_auc", F.lit(0.0)))
+    return summary.orderBy(*order).limit(1).select(F.col("model_key").alias("strongest_model_key"),
+                                                   F.col("median_test_roc_auc").alias("strongest_median_test_roc_auc"))
 
 
 def comparison_series(table: DataFrame, metric: str = "test_roc_auc") -> DataFrame:
@@ -88,11 +99,11 @@ def best_baseline_accuracy(baselines: DataFrame) -> DataFrame:
 def verdict(models: DataFrame, baselines: DataFrame) -> DataFrame:
     """The best model (O6 order: AUC or 0, then accuracy) against the
     strongest naive rule on the same test window."""
-    key = F.struct(F.coalesce("roc_auc", F.lit(0.0)), F.col("accuracy"))
-    best = models.agg(F.max_by("model_key", key).alias("best_model_key"),
-                      F.max_by("accuracy", key).alias("best_model_accuracy"))
-    return best.join(F.broadcast(best_baseline_accuracy(baselines)), how="inner", on=F.lit(True)) \
-        .withColumn("beats_baselines", F.col("best_model_accuracy") > F.col("best_baseline_accuracy"))
+    order = _best_first(F.coalesce("roc_auc", F.lit(0.0)), F.col("accuracy"))
+    naive = best_baseline_accuracy(baselines).first().best_baseline_accuracy  # one number
+    best = models.orderBy(*order).limit(1).select(F.col("model_key").alias("best_model_key"), F.col("accuracy").alias("best_model_accuracy"),
+                                                  F.lit(naive).cast("double").alias("best_baseline_accuracy"))
+    return best.withColumn("beats_baselines", F.col("best_model_accuracy") > F.col("best_baseline_accuracy"))
 
 
 def write_report(tables: dict[str, DataFrame], out_dir: str, fmt: str = "json") -> None:

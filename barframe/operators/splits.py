@@ -34,6 +34,12 @@ def split_by_rows(df: DataFrame, train: float = C.TRAIN_FRACTION, valid: float =
     return df.withColumn("split", label).drop("_pos", "_n")
 
 
+def split_failures(split_df: DataFrame, part: str = "symbol", min_rows: int = C.MIN_SPLIT_ROWS) -> DataFrame:
+    """(symbol, reason) of the symbols that ``split_by_rows`` had too few rows to split."""
+    short = split_df.filter("split IS NULL").groupBy(part).agg(F.count("*").alias("n"))
+    return short.select(part, F.format_string(f"%d rows, a split takes {min_rows}", "n").alias("reason"))
+
+
 def session_splits(df: DataFrame, train: float = C.TRAIN_FRACTION,
                    valid: float = C.VALIDATION_FRACTION, date_col: str = "date") -> DataFrame:
     """L2 calendar: one row per distinct session with its split label.

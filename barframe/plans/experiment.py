@@ -42,7 +42,8 @@ def run_panel(spark: SparkSession, bars: DataFrame, model_keys=ML.PANEL_MODELS,
     # every kept symbol has them
     features = FE.panel_features(fm)
     ds = cut_lineage(SP.split_by_dates(fm.select("symbol", "date", *features, *FE.LABELS)))
-    trained, warnings = ML.run_panel_experiment(ds, features, model_keys, overrides)
+    trained, outcomes = ML.run_panel_experiment(ds, features, model_keys, overrides)
+    warnings = [f"{o.model_key} {o.status}: {o.detail}" for o in outcomes if o.status != "trained"]
     models = None
     for tm in trained.values():
         models = tm.test_metrics if models is None else models.unionByName(tm.test_metrics)
