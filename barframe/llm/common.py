@@ -22,6 +22,15 @@ def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
     return df.select(*columns) if columns else df
 
 
+def python_batches(df: DataFrame, rows: int = 1000) -> None:
+    """Send rows to Python tasks in batches of ``rows`` at the most.
+
+    The default of 10,000 texts takes some 100 MB in the JVM and again in Python."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(conf.get(key)) > rows:
+        conf.set(key, rows)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once into the shared checkpoint folder and read it back.
 

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from barframe.llm.common import chunks, read
+from barframe.llm.common import chunks, python_batches, read
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -226,6 +226,7 @@ def _extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 def extract_pages(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every row of (page_id, url, html)."""
+    python_batches(pages)
     return pages.select("page_id", "url", "html").mapInArrow(_extract_batches, "page_id bigint, url string, text string, n_chars bigint")
 
 

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barframe.llm.common import chunks, read
+from barframe.llm.common import chunks, python_batches, read
 
 DIM = 1024
 GRAM = 3
@@ -142,6 +142,7 @@ def _partial_prototypes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
 
 def prototypes(training: DataFrame) -> dict[str, np.ndarray]:
     """Unit prototype of each language of (lang, text) rows. Only one vector per language reaches the driver."""
+    python_batches(training)
     counts = training.mapInArrow(count_grams, COUNT_SCHEMA).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     parts = counts.mapInArrow(_partial_prototypes, "lang string, vector array<double>")
     dims = parts.select("lang", F.posexplode("vector").alias("at", "x")).groupBy("lang", "at").agg(F.sum("x").alias("x"))

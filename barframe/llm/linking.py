@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from barframe.llm.common import chunks, materialise
 
 #: Minwise values of a sketch, 32 bits each.
-SKETCH = 96
+SKETCH = 64
 SIGMAS = 5.5
 #: Places of the sketch that a node branches on, on average.
 BRANCHES = 4 / 3
@@ -39,8 +39,8 @@ SMALL_NODE = 64
 #: Bytes of text handled at a time.
 CHUNK = 1 << 20
 #: Odd multipliers and offsets of the minwise hash functions, from a rule.
-MULT = (np.arange(1, SKETCH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-SHIFT = np.arange(1, SKETCH + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)
+MULT = (np.arange(1, SKETCH + 1, dtype=np.uint32) * np.uint32(0x9E3779B1)) | np.uint32(1)
+SHIFT = np.arange(1, SKETCH + 1, dtype=np.uint32) * np.uint32(0x85EBCA77)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -101,10 +101,10 @@ def shingle_sets(raws: list[bytes | None], k: int = 5) -> list[np.ndarray]:
 
 def sketch(s: np.ndarray) -> np.ndarray:
     """Minwise values of a non-empty set."""
-    out = np.empty(SKETCH, np.uint32)
+    out, low = np.empty(SKETCH, np.uint32), s.astype(np.uint32)
     with np.errstate(over="ignore"):
         for j in range(SKETCH):
-            out[j] = ((s * MULT[j] + SHIFT[j]) >> np.uint64(32)).min()
+            out[j] = (low * MULT[j] + SHIFT[j]).min()
     return out
 
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barframe.llm.common import chunks, materialise, read, small
+from barframe.llm.common import chunks, materialise, python_batches, read, small
 from barframe.llm.linking import BRANCHES, CHUNK, SKETCH, branched, fingerprint, link, mix, shingle_sets, sketch
 
 SHINGLE, PERCENT = 5, 75
@@ -60,6 +60,7 @@ def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of (doc_id, text)."""
+    python_batches(docs)
     docs = docs.select("doc_id", "text")
     rows = materialise(docs.mapInArrow(_sketches, "doc_id bigint, n_shingles bigint, print binary, sketch binary"), "prints")
     real = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
