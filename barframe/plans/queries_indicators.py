@@ -5,6 +5,7 @@ relative, 3e-10 absolute on MACD), RSI 6 decimals."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -12,7 +13,7 @@ from ..operators.features import by_symbol
 from ..operators.indicators import bollinger_columns, rsi_flag, with_smoothed
 from ..sources.ticks import daily_bars
 from . import oracle as O
-from .catalog import _bars_ctes, register, round_half_up, round_sig
+from .catalog import _bars_ctes, bars_once, register, round_half_up, round_sig
 
 LEVEL_DIGITS = 8
 MACD_DECIMALS = 3
@@ -62,6 +63,43 @@ def q_atr(spark, sf):
     return df.select("symbol", "date", round_sig("atr14", LEVEL_DIGITS).alias("atr_14"))
 
 
+#: A stretch without prices in every symbol: from this row to this share of its rows.
+GAP_FROM, GAP_TO = 100, 0.8
+PRICES = ("open", "high", "low", "close", "adj_close")
+
+
+def gapped_bars(spark, sf) -> DataFrame:
+    """Daily bars whose prices are null over most of each series."""
+    bars = bars_once(spark, sf)
+    row = F.row_number().over(Window.partitionBy("symbol").orderBy("date")) - 1
+    n = F.count("*").over(Window.partitionBy("symbol"))
+    bars = bars.select("*", row.alias("_r"), n.alias("_n"))
+    gap = (F.col("_r") >= GAP_FROM) & (F.col("_r") < F.floor(F.col("_n") * F.lit(GAP_TO)))
+    return bars.select("symbol", "date", *[F.when(~gap, F.col(c)).alias(c) for c in PRICES], "volume")
+
+
+def _gap_sql(select: str) -> str:
+    ctes = [("bars0", _bars_ctes()[0][1]), ("bars1", "SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date) - 1 AS r, "
+                                            "count(*) OVER (PARTITION BY symbol) AS n FROM bars0"),
+            ("bars", "SELECT symbol, date, " + ", ".join(f"CASE WHEN NOT (r >= {GAP_FROM} AND r < floor(n * {GAP_TO!r})) THEN {c} END AS {c}"
+                                                         for c in PRICES) + ", volume FROM bars1")]
+    return O.sql(ctes + O.feature_ctes(market=None), f"SELECT symbol, date, {select} FROM feat")
+
+
+@register("ema_gaps", _gap_sql(", ".join(O.rnd_sig(f"e{n}", f"ema{n}", LEVEL_DIGITS) for n in EMA_NS)))
+def q_ema_gaps(spark, sf):
+    """W5 over a long run of nulls: the value is carried through it."""
+    df = with_smoothed(by_symbol(gapped_bars(spark, sf)))
+    return df.select("symbol", "date", *[round_sig(f"ema{n}", LEVEL_DIGITS).alias(f"ema{n}") for n in EMA_NS])
+
+
+@register("rsi_gaps", _gap_sql(O.rnd("rsi14", "rsi_14")))
+def q_rsi_gaps(spark, sf):
+    """W6 + W7 over a long run of nulls."""
+    df = with_smoothed(by_symbol(gapped_bars(spark, sf)))
+    return df.select("symbol", "date", round_half_up("rsi14").alias("rsi_14"))
+
+
 # a 20-row mean of two-decimal prices is a short terminating decimal: keep
 # enough digits to hold it exactly, so no rounding tie can arise
 MIDDLE_DIGITS = 10

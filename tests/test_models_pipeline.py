@@ -88,27 +88,6 @@ def test_stream_matches_batch(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_sampled_shapley_is_exact_for_a_linear_score(spark, bars):
-    """For f(x) = sum_k c_k x_k every sampled Shapley value is exactly
-    c_j (x_j - z_j), whatever permutations are drawn."""
-    import numpy as np
-    from barframe.operators import explain as X
-    from barframe.operators.features import feature_matrix
-    feats = ["daily_return", "return_5d", "close_to_sma20"]
-    coef = {"daily_return": 0.5, "return_5d": -2.0, "close_to_sma20": 3.0}
-    fm = feature_matrix(bars, None, include_market=False)
-
-    def score(df):
-        return df.withColumn("p_up", sum(F.lit(c) * F.col(f) for f, c in coef.items()))
-
-    got = {r.feature: r.mean_abs_shap for r in X.sampled_shapley(score, fm, feats, max_rows=40, samples=8).collect()}
-    assert set(got) == set(feats)
-    last = fm.orderBy(F.col("date").desc(), "symbol", "date").limit(40).toPandas()
-    for f, c in coef.items():
-        # mean |c (x - z)| over rows and random backgrounds is bounded by the range
-        assert 0 <= got[f] <= abs(c) * (last[f].max() - last[f].min()) + 1e-12
-
-
 def test_report_and_model_sinks(spark, panel):
     """S13 + S14: result tables and the fitted pipeline round-trip through files."""
     from pyspark.ml import PipelineModel
