@@ -1,11 +1,12 @@
 """The reference's "live" data mode re-aimed: ticks that keep arriving in a
-folder are folded into bars by a Structured Streaming aggregation.
-
-The aggregation is the batch one (first/last by a sequence key, extremes,
-volume) over event-time windows, with a watermark that bounds the state.
-Each micro-batch writes its updated bars, tagged with the batch id, and
-readers keep the latest version of every (symbol, bar) (keep-last, W16), so
-the table is exactly the batch result once all ticks are in.
+folder are folded into bars by Structured Streaming.
+
+A bar is made of parts that combine in any order (first and last price by time,
+extremes, volume). Each micro-batch is aggregated to partial bars and written to
+a folder of its own; readers merge the partial bars of all batches. There is no
+state and no watermark, so a tick counts however late it comes, and the table
+equals the batch result over all ticks seen. A batch that is run again after a
+failure overwrites its own folder and so counts once.
 """
 
 from __future__ import annotations
@@ -14,44 +15,49 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.snapshot import dedupe_keep_last
+from ..sources.ticks import nan_to_null
 
 
-def stream_bars(ticks: DataFrame, symbol: str, ts: str, price: str, bar: str = "1 hour",
-                watermark: str = "1 day", volume: str | None = None) -> DataFrame:
-    """Streaming bars: ``ticks`` is a streaming DataFrame."""
-    vol = F.col(volume) if volume else F.lit(1)
+def partial_bars(ticks: DataFrame, symbol: str, ts: str, price: str, bar: str = "1 hour",
+                 volume: str | None = None) -> DataFrame:
+    """(symbol, date, first, open, high, low, last, close, volume) of some of the ticks."""
     ntz = isinstance(ticks.schema[ts].dataType, T.TimestampNTZType)
-    if ntz:  # watermarks need TIMESTAMP; the session zone (UTC) makes the cast exact
-        ticks = ticks.withColumn(ts, F.col(ts).cast("timestamp"))
-    t = ticks.withWatermark(ts, watermark).select(
-        F.col(symbol).alias("symbol"), F.col(ts).alias("_ts"), F.col(price).alias("_px"), vol.alias("_vol"))
+    at = F.col(ts).cast("timestamp") if ntz else F.col(ts)  # the session zone (UTC) makes the cast exact
+    t = nan_to_null(ticks).select(F.col(symbol).alias("symbol"), at.alias("_ts"), F.col(price).alias("_px"),
+                                  (F.col(volume) if volume else F.lit(1)).cast("double").alias("_vol"))
     agg = t.groupBy("symbol", F.window("_ts", bar).alias("_w")).agg(
-        F.min_by("_px", "_ts").alias("open"), F.max("_px").alias("high"), F.min("_px").alias("low"),
-        F.max_by("_px", "_ts").alias("close"), F.sum("_vol").alias("volume"))
+        F.min("_ts").alias("first"), F.min_by("_px", "_ts").alias("open"), F.max("_px").alias("high"),
+        F.min("_px").alias("low"), F.max("_ts").alias("last"), F.max_by("_px", "_ts").alias("close"),
+        F.sum("_vol").alias("volume"))
     start = F.col("_w.start").cast("timestamp_ntz") if ntz else F.col("_w.start")
-    return agg.select("symbol", start.alias("date"), "open", "high", "low", "close",
-                      F.col("close").alias("adj_close"), F.col("volume").cast("bigint").alias("volume"))
+    return agg.select("symbol", start.alias("date"), "first", "open", "high", "low", "last", "close", "volume")
+
+
+def merge_bars(partials: DataFrame) -> DataFrame:
+    """Bars from the partial bars of any number of batches."""
+    bars = partials.groupBy("symbol", "date").agg(
+        F.min_by("open", "first").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
+        F.max_by("close", "last").alias("close"), F.sum("volume").alias("volume"))
+    return bars.select("symbol", "date", "open", "high", "low", "close",
+                       F.col("close").alias("adj_close"), F.col("volume").cast("bigint").alias("volume"))
 
 
 def run_bar_stream(spark: SparkSession, source_dir: str, schema: T.StructType, out_dir: str,
                    checkpoint: str, symbol: str, ts: str, price: str, bar: str = "1 hour",
-                   file_glob: str | None = None, watermark: str = "1 day"):
+                   file_glob: str | None = None, volume: str | None = None):
     """Start (availableNow) a stream from Parquet tick files to ``out_dir``;
     returns the StreamingQuery."""
     reader = spark.readStream.schema(schema)
     if file_glob:
         reader = reader.option("pathGlobFilter", file_glob)
-    ticks = reader.parquet(source_dir)
-    bars = stream_bars(ticks, symbol, ts, price, bar, watermark)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out_dir)
+        partial_bars(batch, symbol, ts, price, bar, volume).write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
 
-    return (bars.writeStream.outputMode("update").foreachBatch(write)
+    return (reader.parquet(source_dir).writeStream.foreachBatch(write)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 def read_stream_bars(spark: SparkSession, out_dir: str) -> DataFrame:
-    """Latest version of every bar written by ``run_bar_stream``."""
-    return dedupe_keep_last(spark.read.parquet(out_dir), ["symbol", "date"], "batch_id").drop("batch_id")
+    """The bars of all batches written by ``run_bar_stream``."""
+    return merge_bars(spark.read.parquet(out_dir).drop("batch"))

@@ -71,3 +71,21 @@ def test_symbol_fetch_is_pushed_to_the_scan(spark):
     scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
     assert "EqualTo(o_orderpriority,3-MEDIUM)" in scan
     assert "o_custkey" not in scan and "o_orderstatus" not in scan
+
+
+def test_late_ticks_reach_the_streamed_bars(spark, tmp_path):
+    """Two runs of the stream; the second brings older ticks, a whole symbol and a NaN price."""
+    from barframe.sources.ticks import bars_from_events
+    from barframe.streaming.bars import read_stream_bars, run_bar_stream
+    events = read_table(spark, SF_SMALL, "events")
+    nan = events.limit(1).withColumn("value", F.lit(float("nan"))).withColumn("event_id", F.lit(-1).cast("bigint")) \
+        .withColumn("ts", F.expr("ts + INTERVAL 1 MICROSECOND"))
+    events = events.unionByName(nan)
+    late = (F.pmod("event_id", F.lit(3)) == 0) | (F.col("event_type") == events.agg(F.min("event_type")).first()[0])
+    src, out, state = (str(tmp_path / x) for x in ("src", "out", "state"))
+    for part in (events.filter(~late), events.filter(late)):
+        part.write.mode("append").parquet(src)
+        run_bar_stream(spark, src, events.schema, out, state, "event_type", "ts", "value").awaitTermination()
+    a, b = read_stream_bars(spark, out), bars_from_events(events)
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
