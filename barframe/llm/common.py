@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -10,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barframe.session import ensure_checkpoint_dir, table_path
+from barframe.session import cut_lineage, table_path
 
 #: White space that separates words: blank and U+0009 to U+000D.
 WORD_GAP = "[\\x20\\x09-\\x0D]+"
@@ -32,15 +31,9 @@ def python_batches(df: DataFrame, rows: int = 1000) -> None:
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once into the shared checkpoint folder and read it back.
-
-    Cuts the lineage like ``checkpoint()`` but computes the plan once and
-    keeps the rows as compressed columns. Lost executors only cost their tasks.
-    """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """``df`` written once into the shared checkpoint folder and read back: the
+    lineage is cut, and a lost executor only costs its tasks."""
+    return cut_lineage(df, name)
 
 
 #: A written table of up to so many rows is broadcast: 20 MB at 40 bytes a row.
