@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barframe.llm.common import chunks, materialise
+from barframe.llm.common import chunks, materialise, small
 
 #: Minwise values of a sketch, 32 bits each.
 SKETCH = 64
@@ -231,20 +231,22 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternating star steps: every item's larger neighbours, then all its
     neighbours, are hung to the least one around it. The edges shrink to stars
-    in a logarithmic number of rounds, each a grouping of the edges by item.
-    A hot centre is combined before its shuffle, as only a minimum is taken."""
+    in a logarithmic number of rounds. A hot centre is combined before its
+    shuffle, as only a minimum is taken; the minima are written, so that the join
+    with them is a broadcast if they are few, or one that Spark can split."""
     e = materialise(edges.select("a", "b").where("a <> b").distinct(), "edges")
     while True:
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        least = materialise(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
+        large = both.where("b > a").join(small(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x"))
-        e = materialise(small.select("x.a", "x.b").where("a <> b").distinct(), "edges")
+        low = materialise(down.groupBy("a").agg(F.min("b").alias("m")), "low")
+        stars = down.join(small(low), "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x"))
+        e = materialise(stars.select("x.a", "x.b").where("a <> b").distinct(), "edges")
         # done when every item hangs on one root and no root hangs on another
-        many = e.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        if many.isEmpty() and e.join(e.select(F.col("a").alias("b")), "b", "left_semi").isEmpty():
+        many = e.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a")
+        hung = e.join(e.select(F.col("a").alias("b")), "b", "left_semi").select("a")
+        if many.union(hung).isEmpty():
             break
     return e.select(F.col("a").alias("item"), F.col("b").alias("comp")).union(e.select("b", "b").distinct())
 
@@ -298,10 +300,10 @@ def link(items: DataFrame, nodes: DataFrame, branch, texts_of, percent: int, lev
         if nodes is None:
             return comps
         mixed = materialise(coloured(nodes.select("node", "item"), comps), "mixed")
-        small, large = mixed.where(F.col("n_items") <= SMALL_NODE), mixed.where(F.col("n_items") > SMALL_NODE)
+        few, large = mixed.where(F.col("n_items") <= SMALL_NODE), mixed.where(F.col("n_items") > SMALL_NODE)
         if level == levels:  # still large and mixed: compare them in slices
-            small, large = small.select("node", "item", "comp").unionByName(slices(large)), None
-        pairs, nodes = small_node_pairs(small, own, similarity), None
+            few, large = few.select("node", "item", "comp").unionByName(slices(large)), None
+        pairs, nodes = small_node_pairs(few, own, similarity), None
         if large is not None and not large.isEmpty():
             children = branch(large.select("node", "item").join(own, "item"), level)
             nodes = materialise(coloured(children.distinct(), comps), "nodes")
