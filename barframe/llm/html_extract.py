@@ -55,7 +55,7 @@ NO_CONTENT = {"nav", "aside", "footer", "form", "button", "head", "dialog", "men
 NO_CONTENT_NAME = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner\w*|nav\w*|menu\w*|breadcrumb\w*|sidebar\w*|side|"
     r"footer\w*|foot|masthead|topbar|header|cookie\w*|consent|notice\w*|gdpr|popup|modal|overlay|newsletter\w*|subscri\w*|"
-    r"signup|login|share\w*|sharing|social\w*|comments?|commentlist|respond|replies|reply|disqus\w*|related\w*|recommend\w*|"
+    r"signup|login|share\w*|sharing|social\w*|comment(?!ar)\w*|respond|replies|reply|disqus\w*|related\w*|recommend\w*|"
     r"pagination|pager|widget\w*|toolbar|search\w*|tags|toc|skip\w*|alert|paywall|hidden|sr-only)(?=$|[\s_-])", re.I)
 NO_CONTENT_ROLE = {"navigation", "banner", "complementary", "contentinfo", "search", "form", "alert", "dialog", "menu", "menubar"}
 CONTAINERS = {"article", "main", "section", "div", "td", "blockquote"}

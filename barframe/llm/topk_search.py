@@ -17,9 +17,9 @@ tasks. A task keeps k rows per query; a window takes the best k of those.
 Defined cases: vectors that are null, empty, or hold a null or non-finite
 component take no part, nor do rows with a null id; repeated rows (same id and
 vector) count once; a query meets only vectors of its own dimension; fewer than k
-candidates give them all; equal scores go to the smaller id; a component beyond
-2**20 in size after scaling is refused with an error, as products would no
-longer be exact; an empty table gives no rows; other columns are ignored.
+candidates give them all; equal scores go to the smaller id; a vector with a
+component beyond 2**20 after scaling (16384 before) takes no part, as its products
+would not be exact; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -58,7 +58,7 @@ def _quantise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             v = np.floor(SCALE * x)
             if np.abs(v).max() > LARGEST:
-                raise ValueError(f"vec_id {i}: a component is too large for exact products")
+                continue
             ids.append(i)
             dims.append(len(v))
             norms.append(float(np.sqrt((v * v).sum())))
