@@ -196,6 +196,12 @@ def feature_matrix(bars: DataFrame, market: DataFrame | None = None,
     return df.select("symbol", "date", *feats, *LABELS, *prices, *extra)
 
 
+def vanished(bars: DataFrame, matrix: DataFrame) -> DataFrame:
+    """(symbol, reason) of symbols with bars but no feature row left."""
+    gone = bars.select("symbol").distinct().join(matrix.select("symbol").distinct(), "symbol", "left_anti")
+    return gone.select("symbol", F.concat(F.col("symbol"), F.lit(": no row has all features")).alias("reason"))
+
+
 def panel_features(matrix: DataFrame) -> list[str]:
     """The feature list shared by every symbol of a matrix: the four
     market columns only if every symbol has them (one tiny aggregate)."""

@@ -42,6 +42,8 @@ def equal_weight_index(bars: DataFrame, base_level: float = 100.0, min_coverage:
     constituents per session and rescaled; volume summed. Returns bar rows."""
     members = full_history_constituents(bars, min_coverage, require_span) \
         .filter(F.col("base_close") > 0).select("symbol", "base_close")
+    if members.isEmpty():
+        raise ValueError("no symbol covers the calendar well enough for a market index")
     norm = bars.join(members, "symbol")
     idx = norm.groupBy("date").agg(
         *[(F.avg(F.col(c) / F.col("base_close")) * F.lit(base_level)).alias(c)

@@ -70,6 +70,13 @@ def _annualised(r: str) -> tuple[Column, Column]:
     return ann, vol
 
 
+def require_overlap(df: DataFrame, p: str = "p_up", fwd: str = "fwd_return") -> DataFrame:
+    """G1: the rows, or an error if no session has both a probability and a forward return."""
+    if df.filter(F.col(p).isNotNull() & F.col(fwd).isNotNull()).isEmpty():
+        raise ValueError("probabilities and returns have no session in common")
+    return df
+
+
 def signal_study(df: DataFrame, group: list[str], p: str = "p_up", fwd: str = "fwd_return",
                  bull: float = C.BULLISH_THRESHOLD, bps: float = C.TRANSACTION_COST_BPS) -> DataFrame:
     """G1: one row per group with the 13 study fields (unrounded; the

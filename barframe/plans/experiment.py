@@ -57,12 +57,12 @@ def run_panel(spark: SparkSession, bars: DataFrame, model_keys=ML.PANEL_MODELS,
                                         top_n=C.IMPORTANCE_TOP_N)
     daily = S.panel_daily(best.test_predictions)
     tables = {
-        "skipped": skipped,
+        "skipped": skipped.unionByName(FE.vanished(good, fm)),
         "split_sizes": SP.split_sizes(ds),
         "comparison": R.comparison_table(models, baselines),
         "verdict": R.verdict(models, baselines),
         "importance": importance.withColumn("method", F.lit(method)),
-        "signal_study": S.signal_study(daily, ["series"]),
+        "signal_study": S.signal_study(S.require_overlap(daily), ["series"]),
         "signal_buckets": S.returns_by_signal(daily, ["series"]),
         "confusion": M.confusion(best.test_predictions, ["model_key"]),
     }

@@ -79,6 +79,42 @@ def q_panel_skipped(spark, sf):
     return skipped
 
 
+#: Damage done to the brand bars, by the last digit of the brand: 1 repeats the
+#: first of each month, 2 has highs below lows in January, 3 negative volume in
+#: February, 4 no open in the first half-year, 5 negative closes on each 15th.
+_DAMAGED = """SELECT symbol, date, CASE WHEN right(symbol, 1) = '4' AND month(date) <= 6 THEN NULL ELSE open END AS open,
+       CASE WHEN right(symbol, 1) = '2' AND month(date) = 1 THEN low - 1 ELSE high END AS high, low,
+       CASE WHEN right(symbol, 1) = '5' AND day(date) = 15 THEN -1.0 ELSE close END AS close, adj_close,
+       CASE WHEN right(symbol, 1) = '3' AND month(date) = 2 THEN -volume ELSE volume END AS volume FROM bars0"""
+DAMAGED = [("bars0", O.bars_lineitem()), ("bars1", _DAMAGED),
+           ("bars", "SELECT * FROM bars1 UNION ALL SELECT * FROM bars1 WHERE right(symbol, 1) = '1' AND day(date) = 1")]
+
+
+def damaged_bars(spark, sf) -> DataFrame:
+    """Brand bars with every fault that the validation looks for."""
+    kind = F.substring("symbol", -1, 1)
+    hit = lambda digit, cond: (kind == digit) & cond
+    b = brand_bars(spark, sf).select(
+        "symbol", "date", F.when(~hit("4", F.month("date") <= 6), F.col("open")).alias("open"),
+        F.when(hit("2", F.month("date") == 1), F.col("low") - 1).otherwise(F.col("high")).alias("high"), "low",
+        F.when(hit("5", F.dayofmonth("date") == 15), F.lit(-1.0)).otherwise(F.col("close")).alias("close"), "adj_close",
+        F.when(hit("3", F.month("date") == 2), -F.col("volume")).otherwise(F.col("volume")).alias("volume"))
+    b = cut_lineage(b, "damaged")
+    return b.unionByName(b.filter(hit("1", F.dayofmonth("date") == 1)))
+
+
+@register("validation_report_damaged", _validation_sql(DAMAGED))
+def q_validation_report_damaged(spark, sf):
+    """V5-V11 over bars that fail each check."""
+    return Q.validation_report(damaged_bars(spark, sf)).drop("warnings")
+
+
+@register("panel_skipped_damaged", O.sql([("rep", _validation_sql(DAMAGED))], "SELECT symbol, symbol || ': ' || message AS reason FROM rep WHERE NOT passed"))
+def q_panel_skipped_damaged(spark, sf):
+    """F42 skipped list where symbols fail."""
+    return Q.valid_bars(damaged_bars(spark, sf))[1]
+
+
 # ---------------------------------------------------------------------------
 # sources (S3, S4, S7, S15, W16) and the snapshot
 # ---------------------------------------------------------------------------

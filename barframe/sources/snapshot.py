@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,9 +26,19 @@ def read_snapshot_csv(spark: SparkSession, path: str) -> DataFrame:
     return nan_to_null(df).select(*BAR_COLUMNS)
 
 
+METADATA_SCHEMA = ("source_name string, source_url string, built_at_utc string, rows bigint, symbols array<string>, "
+                   "n_equities bigint, market_index_constituents bigint, source_tickers_available bigint, "
+                   "sessions_per_equity bigint, market_index_symbol string, start_date string, end_date string, adjustment_note string")
+
+
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """Provenance JSON document (multi-line)."""
-    return spark.read.option("multiLine", True).json(path)
+    """Provenance JSON document (multi-line); a path without one gives an empty record."""
+    try:
+        return spark.read.schema(METADATA_SCHEMA).option("multiLine", True).json(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], METADATA_SCHEMA)
 
 
 def available_symbols(bars: DataFrame) -> DataFrame:
@@ -39,6 +52,14 @@ def fetch(bars: DataFrame, symbol: str) -> DataFrame:
     return bars.filter(F.col("symbol") == F.lit(symbol))
 
 
+def fetch_known(bars: DataFrame, symbol: str) -> DataFrame:
+    """S4 where an unknown symbol is an error (one small job looks for a row)."""
+    found = fetch(bars, symbol)
+    if found.isEmpty():
+        raise LookupError(f"no bars for symbol {symbol!r}")
+    return found
+
+
 def fetch_many(bars: DataFrame, symbols: DataFrame) -> DataFrame:
     """S4 batch form: semi join against a symbol table."""
     return bars.join(symbols.select("symbol"), "symbol", "left_semi")
@@ -107,6 +128,22 @@ def conform(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in BAR_SCHEMA.fields])
 
 
+def fetch_from(sources: dict[str, Callable[[], DataFrame]], symbol: str,
+               validate: Callable[[DataFrame], None] | None = None) -> tuple[DataFrame, str, dict[str, str]]:
+    """S6 for one symbol: the first source that loads, knows the symbol and passes
+    ``validate``. Returns (bars, source, why the earlier ones failed)."""
+    failed: dict[str, str] = {}
+    for name, load in sources.items():
+        try:
+            found = fetch_known(load(), symbol)
+            if validate is not None:
+                validate(found)
+            return found, name, failed
+        except Exception as e:  # noqa: BLE001 - the next source takes over; the reasons are returned or raised
+            failed[name] = f"{type(e).__name__}: {e}"
+    raise LookupError(f"no source has {symbol!r}: " + "; ".join(f"{k}: {v}" for k, v in failed.items()))
+
+
 def with_fallback(primary: DataFrame, fallback: DataFrame, primary_name: str = "snapshot",
                   fallback_name: str = "live") -> DataFrame:
     """Bars from the preferred source, and from the other source for every

@@ -89,3 +89,36 @@ def test_late_ticks_reach_the_streamed_bars(spark, tmp_path):
     a, b = read_stream_bars(spark, out), bars_from_events(events)
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_source_contracts(spark, bars, tmp_path):
+    assert SN.read_metadata(spark, str(tmp_path / "none.json")).count() == 0
+    with pytest.raises(LookupError):
+        SN.fetch_known(bars, "9-NOPE")
+
+    def broken():
+        raise OSError("down")
+    found, name, failed = SN.fetch_from({"live": broken, "snapshot": lambda: bars}, "5-LOW")
+    assert name == "snapshot" and "down" in failed["live"] and found.count() == bars.filter("symbol = '5-LOW'").count()
+    with pytest.raises(LookupError, match="down"):
+        SN.fetch_from({"live": broken, "snapshot": lambda: bars}, "9-NOPE")
+
+
+def test_snapshot_files_round_trip(spark, bars, tmp_path):
+    few = bars.filter("symbol = '5-LOW'")
+    SN.write_snapshot(few, str(tmp_path / "csv"), "csv")
+    back = SN.conform(SN.read_snapshot_csv(spark, str(tmp_path / "csv")))
+    assert back.exceptAll(SN.conform(few)).count() == 0 and back.count() == few.count()
+    assert SN.fetch_many(bars, few.select("symbol").distinct()).count() == few.count()
+
+
+def test_index_without_members_and_study_without_overlap_are_errors(spark, bars):
+    from barframe.operators.features import vanished
+    from barframe.operators.index import equal_weight_index
+    from barframe.operators.signal import require_overlap
+    with pytest.raises(ValueError, match="market index"):
+        equal_weight_index(bars, min_coverage=2.0)
+    with pytest.raises(ValueError, match="in common"):
+        require_overlap(spark.createDataFrame([(0.5, None), (None, 0.1)], "p_up double, fwd_return double"))
+    got = vanished(bars, bars.filter("symbol <> '5-LOW'")).collect()
+    assert [(r.symbol, r.reason) for r in got] == [("5-LOW", "5-LOW: no row has all features")]
