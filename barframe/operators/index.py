@@ -42,8 +42,6 @@ def equal_weight_index(bars: DataFrame, base_level: float = 100.0, min_coverage:
     constituents per session and rescaled; volume summed. Returns bar rows."""
     members = full_history_constituents(bars, min_coverage, require_span) \
         .filter(F.col("base_close") > 0).select("symbol", "base_close")
-    if members.isEmpty():
-        raise ValueError("no symbol covers the calendar well enough for a market index")
     norm = bars.join(members, "symbol")
     idx = norm.groupBy("date").agg(
         *[(F.avg(F.col(c) / F.col("base_close")) * F.lit(base_level)).alias(c)
@@ -55,8 +53,11 @@ def equal_weight_index(bars: DataFrame, base_level: float = 100.0, min_coverage:
 
 
 def build_snapshot(bars: DataFrame, universe: list[str] | None = None,
-                   min_coverage: float = 0.99, require_span: bool = True) -> DataFrame:
-    """Universe bars plus the index rows, prices rounded to 4 dp."""
+                   min_coverage: float = 0.99, require_span: bool = True, require_members: bool = True) -> DataFrame:
+    """Universe bars plus the index rows, prices rounded to 4 dp. Without a single
+    index member that is an error, unless ``require_members`` is off."""
+    if require_members and full_history_constituents(bars, min_coverage, require_span).isEmpty():
+        raise ValueError("no symbol covers the calendar well enough for a market index")
     sel = bars if universe is None else bars.filter(F.col("symbol").isin(list(universe)))
     index = equal_weight_index(bars, min_coverage=min_coverage, require_span=require_span)
     snap = sel.select(*BAR_COLUMNS).unionByName(index)

@@ -163,7 +163,7 @@ def q_dedupe_keep_last(spark, sf):
 @register("snapshot", O.sql(BARS + IDX + [("snap", "SELECT * FROM bars UNION ALL SELECT * FROM idx")],
                             f"""SELECT symbol, date, {', '.join(O.rnd(f'round({c}, 4)', c) for c in BAR_DOUBLES)}, volume FROM snap"""))
 def q_snapshot(spark, sf):
-    return rounded(build_snapshot(bars_once(spark, sf), min_coverage=INDEX_COVERAGE, require_span=INDEX_SPAN))
+    return rounded(build_snapshot(bars_once(spark, sf), min_coverage=INDEX_COVERAGE, require_span=INDEX_SPAN, require_members=False))
 
 
 @register("snapshot_metadata", O.sql(BARS + IDX + [
@@ -175,7 +175,7 @@ def q_snapshot(spark, sf):
        '{C.MARKET_SYMBOL}' AS market_index_symbol
 FROM per"""))
 def q_snapshot_metadata(spark, sf):
-    snap = build_snapshot(bars_once(spark, sf), min_coverage=INDEX_COVERAGE, require_span=INDEX_SPAN)
+    snap = build_snapshot(bars_once(spark, sf), min_coverage=INDEX_COVERAGE, require_span=INDEX_SPAN, require_members=False)
     return rounded(snapshot_metadata(snap))
 
 

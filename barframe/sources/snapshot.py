@@ -116,11 +116,11 @@ def read_symbol_files(spark: SparkSession, pattern: str) -> DataFrame:
 
 def write_snapshot(snapshot: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Partitioned by symbol so a fetch prunes partitions."""
-    w = snapshot.write.mode("overwrite")
     if fmt == "parquet":
-        w.partitionBy("symbol").parquet(path)
-    else:
-        w.option("header", True).option("compression", "gzip").csv(path)
+        snapshot.write.mode("overwrite").partitionBy("symbol").parquet(path)
+    else:  # in the order that ``read_snapshot_csv`` expects
+        ordered = snapshot.select(*CSV_SCHEMA.fieldNames())
+        ordered.write.mode("overwrite").option("header", True).option("compression", "gzip").csv(path)
 
 
 def conform(df: DataFrame) -> DataFrame:

@@ -114,10 +114,10 @@ def test_snapshot_files_round_trip(spark, bars, tmp_path):
 
 def test_index_without_members_and_study_without_overlap_are_errors(spark, bars):
     from barframe.operators.features import vanished
-    from barframe.operators.index import equal_weight_index
+    from barframe.operators.index import build_snapshot
     from barframe.operators.signal import require_overlap
     with pytest.raises(ValueError, match="market index"):
-        equal_weight_index(bars, min_coverage=2.0)
+        build_snapshot(bars, min_coverage=2.0)
     with pytest.raises(ValueError, match="in common"):
         require_overlap(spark.createDataFrame([(0.5, None), (None, 0.1)], "p_up double, fwd_return double"))
     got = vanished(bars, bars.filter("symbol <> '5-LOW'")).collect()
