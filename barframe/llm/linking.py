@@ -14,7 +14,7 @@ off without emitting all pairs of a group:
 
 A sketch rules a pair out only if its agreement lies ``SIGMAS`` standard
 deviations below the least similarity, which a linked pair reaches with a
-chance of about 1e-8. Two items already in one component need no further link,
+chance of at most 3e-6. Two items already in one component need no further link,
 so the components are those of all links found.
 """
 
@@ -27,15 +27,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barframe.llm.common import chunks, materialise, small
+from barframe.llm.common import chunks, materialise
 
 #: Minwise values of a sketch, 32 bits each.
-SKETCH = 64
-SIGMAS = 5.5
+SKETCH = 128
+SIGMAS = 4.5
 #: Places of the sketch that a node branches on, on average.
 BRANCHES = 4 / 3
 #: Largest node whose pairs are compared one by one.
-SMALL_NODE = 64
+SMALL_NODE = 256
 #: Bytes of text handled at a time.
 CHUNK = 1 << 20
 #: Odd multipliers and offsets of the minwise hash functions, from a rule.
@@ -232,16 +232,16 @@ def components(edges: DataFrame) -> DataFrame:
     Alternating star steps: every item's larger neighbours, then all its
     neighbours, are hung to the least one around it. The edges shrink to stars
     in a logarithmic number of rounds. A hot centre is combined before its
-    shuffle, as only a minimum is taken; the minima are written, so that the join
-    with them is a broadcast if they are few, or one that Spark can split."""
+    shuffle, as only a minimum is taken; the minima around the centres are written,
+    so that the join with them is a broadcast or one that Spark can split."""
     e = materialise(edges.select("a", "b").where("a <> b").distinct(), "edges")
     while True:
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = materialise(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
-        large = both.where("b > a").join(small(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low = materialise(down.groupBy("a").agg(F.min("b").alias("m")), "low")
-        stars = down.join(small(low), "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x"))
+        low = down.groupBy("a").agg(F.min("b").alias("m"))
+        stars = down.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x"))
         e = materialise(stars.select("x.a", "x.b").where("a <> b").distinct(), "edges")
         # done when every item hangs on one root and no root hangs on another
         many = e.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a")
