@@ -3,17 +3,19 @@
 Each document is the set of its distinct 5-word shingles. Equal sets fall into
 one class by fingerprint and go on as one item, the smallest id. The items are
 branched in ``TREES`` independent trees: at a node, seeded places of the minwise
-sketch are chosen (``BRANCHES`` on average), and an item goes to the child named by
-the place and its value there. Two sets of similarity s share each chosen value
-with chance s, so at the first level of ``TREES`` * ``BRANCHES`` values a pair at the
-limit of 0.75 stays apart with a chance of about 1e-8; dissimilar items part.
+sketch are chosen (``BRANCHES`` on average at a root, ``PLACES`` at each later node),
+and an item goes to the child named by the place and its value there. Two sets of
+similarity s share each chosen value with chance s, so a pair at the limit of 0.75
+stays apart with a chance of about 1e-8 at the first level of ``TREES`` *
+``BRANCHES`` values, and at any depth (places taken as independent); dissimilar
+items part.
 
 Nodes of one item or one component are dropped, small nodes are compared
 exhaustively, larger ones branch on (see ``linking``). Each candidate pair is
 confirmed on the full sets. Branching ends when no large mixed node is left; a
 node that stays large and mixed below ``LEVELS`` levels (many items that are
 similar but not enough) is cut into rows of items by a second hash and each of
-them is compared with all of the node, so no candidate is dropped.
+them is compared with all of the node, so no candidate of that node is dropped.
 
 Defined cases: documents without words have an empty set and link with nothing;
 fewer than five words are one shingle; each row is judged by its own text, also

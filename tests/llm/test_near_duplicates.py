@@ -107,3 +107,20 @@ def test_sketch_agreement_estimates_similarity():
     a, b = np.arange(1000, dtype=np.uint64), np.arange(200, 1200, dtype=np.uint64)
     share = (linking.sketch(linking.mix(a)) == linking.sketch(linking.mix(b))).mean()
     assert share == pytest.approx(800 / 1200, abs=0.2)
+
+
+def test_no_node_is_left_without_children():
+    nodes = linking.mix(np.arange(5000, dtype=np.uint64))
+    for level in range(1, 8):
+        assert (linking.chosen(nodes, level).sum(axis=1) == linking.PLACES).all()
+
+
+@pytest.mark.parametrize("shared, roots, most", [(0.75, 14, 1e-6), (0.75 ** 2, 9, 0.001)])
+def test_branching_keeps_the_recall_at_every_depth(shared, roots, most):
+    """Chance that a pair of similarity 0.75 is in no common node after seven branchings by the places that nodes draw."""
+    n_places = np.bincount(linking.chosen(linking.mix(np.arange(20000, dtype=np.uint64)), 1).sum(axis=1))
+    share = n_places / n_places.sum()
+    lost = 0.0
+    for _ in range(7):
+        lost = sum(p * (0.25 + 0.75 * lost) ** n for n, p in enumerate(share))
+    assert (1 - shared + shared * lost) ** roots <= most
