@@ -19,8 +19,12 @@ them is compared with all of the node, so no candidate of that node is dropped.
 
 Defined cases: documents without words have an empty set and link with nothing;
 fewer than five words are one shingle; each row is judged by its own text, also
-where it repeats a ``doc_id``; rows with a null id are returned alone, not kept,
-with a null component; an empty table gives no rows; other columns are ignored.
+where it repeats a ``doc_id`` (texts of one id that aren't similar are in separate
+groups of items, which may bear the same smallest id); rows with a null id are
+returned alone, not kept, with a null component; the pipeline's stage keeps every
+row with a null id, and of each group the first row by (doc_id, MD5 of the text),
+of rows without words one per id; an empty table gives no rows; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -44,8 +48,8 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in chunks(batches, "text", CHUNK):
         sets = shingle_sets([t.encode("utf-8", "surrogatepass") if t else None for t in batch.column("text").to_pylist()], SHINGLE)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([fingerprint(s) for s in sets], pa.binary()),
-             pa.array([sketch(s).tobytes() if len(s) else None for s in sets], pa.binary())], names=["doc_id", "n_shingles", "print", "sketch"])
+            [batch.column("doc_id"), batch.column("mark"), pa.array([len(s) for s in sets], pa.int64()), pa.array([fingerprint(s) for s in sets], pa.binary()),
+             pa.array([sketch(s).tobytes() if len(s) else None for s in sets], pa.binary())], names=["doc_id", "mark", "n_shingles", "print", "sketch"])
 
 
 def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,25 +64,53 @@ def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(child.ravel().view(np.int64)), pa.array(np.repeat(item, len(places)))], names=["node", "item"])
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of (doc_id, text)."""
+def marked(docs: DataFrame) -> DataFrame:
+    """With ``mark``, which tells the texts of one id apart."""
+    return docs.withColumn("mark", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
+
+
+def _grouped(docs: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, mark, n_shingles, comp, component_id) of every row of (doc_id, text).
+
+    An item is a class of equal sets. It has the class's smallest id as its number,
+    or a hash of the set if several classes have the same smallest id; comp is the
+    smallest item of a group, component_id its smallest id."""
     python_batches(docs)
-    docs = docs.select("doc_id", "text")
-    rows = materialise(docs.mapInArrow(_sketches, "doc_id bigint, n_shingles bigint, print binary, sketch binary"), "prints")
+    docs = marked(docs.select("doc_id", "text"))
+    rows = materialise(docs.mapInArrow(_sketches, "doc_id bigint, mark binary, n_shingles bigint, print binary, sketch binary"), "prints")
     real = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = materialise(real.groupBy("print").agg(F.min("doc_id").alias("item"), F.first("sketch").alias("sketch")), "classes")
+    classes = materialise(real.groupBy("print").agg(F.min(F.struct("doc_id", "mark")).alias("at"), F.first("sketch").alias("sketch"))
+                          .select("print", F.col("at.doc_id").alias("least"), F.col("at.mark").alias("mark"), F.col("least").alias("item"), "sketch"), "classes")
+    shared = materialise(classes.groupBy("least").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("least", F.lit(True).alias("several")), "shared")
+    several = not shared.isEmpty()
+    if several:
+        classes = classes.join(shared, "least", "left").withColumn("item", F.when(F.col("several"), F.xxhash64("print")).otherwise(F.col("least"))).drop("several")
+        classes = materialise(classes, "classes")
+
+    def texts_of(ids: DataFrame) -> DataFrame:
+        wanted = small(ids).join(classes.select("item", F.col("least").alias("doc_id"), "mark"), "item")
+        return docs.join(small(materialise(wanted, "wanted")), ["doc_id", "mark"]).select("item", "text").dropDuplicates(["item"])
 
     items = classes.select("item", "sketch")
-    comps = link(items, items.mapInArrow(_roots, "node bigint, item bigint"), branched,
-                 lambda ids: docs.withColumnRenamed("doc_id", "item").join(small(ids), "item", "left_semi"), percent, LEVELS)
-    ends = classes.select("print", "item")
+    comps = link(items, items.mapInArrow(_roots, "node bigint, item bigint"), branched, texts_of, percent, LEVELS)
+    ends = classes.select("print", "item", "least")
     if comps is not None:
-        ends = ends.join(comps, "item", "left").select("print", F.coalesce("comp", "item").alias("comp"))
+        ends = ends.join(comps, "item", "left").select("print", "least", F.coalesce("comp", "item").alias("comp"))
     else:
-        ends = ends.select("print", F.col("item").alias("comp"))
+        ends = ends.select("print", "least", F.col("item").alias("comp"))
+    if several:
+        ends = materialise(ends, "ends")
+        ends = ends.join(ends.groupBy("comp").agg(F.min("least").alias("component_id")), "comp").drop("least")
+    else:
+        ends = ends.select("print", "comp", F.col("comp").alias("component_id"))
     found = rows.drop("sketch").join(ends, "print", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id"))
-    return found.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"))
+    return found.select("doc_id", "mark", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("comp")).alias("comp"),
+                        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of (doc_id, text)."""
+    return _grouped(docs, percent).select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(False)).alias("kept"))
 
 
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,8 +119,14 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each group of near duplicates stays."""
+    """Pipeline stage: one row of each group of near duplicates stays, and every row with a null id."""
     docs = docs.select("doc_id", "text", "lang", "source", "n_chars")
-    kept = materialise(near_duplicates(docs).where("kept").select("doc_id").distinct(), "kept")
-    first = Window.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars")
-    return (docs.join(kept, "doc_id", "left_semi").withColumn("nth", F.row_number().over(first)).where("nth = 1").drop("nth"))
+    found = materialise(_grouped(docs, PERCENT).where("doc_id IS NOT NULL").select("doc_id", "mark", "comp"), "grouped")
+    # a group's first row; rows without words are in no group and stay, one per id
+    kept = (found.where("comp IS NOT NULL").groupBy("comp").agg(F.min(F.struct("doc_id", "mark")).alias("x"))
+            .unionByName(found.where("comp IS NULL").groupBy("doc_id").agg(F.min("mark").alias("mark")).select(F.lit(None).cast("bigint").alias("comp"), F.struct("doc_id", "mark").alias("x"))))
+    kept = materialise(kept.select("x.doc_id", "x.mark").distinct(), "kept")
+    first = Window.partitionBy("doc_id", "mark").orderBy("text", "lang", "source", "n_chars")
+    real = marked(docs.where("doc_id IS NOT NULL")).join(kept, ["doc_id", "mark"], "left_semi")
+    return (real.withColumn("nth", F.row_number().over(first)).where("nth = 1").drop("nth", "mark")
+            .unionByName(docs.where("doc_id IS NULL")))

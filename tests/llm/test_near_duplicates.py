@@ -124,3 +124,14 @@ def test_branching_keeps_the_recall_at_every_depth(shared, roots, most):
     for _ in range(7):
         lost = sum(p * (0.25 + 0.75 * lost) ** n for n, p in enumerate(share))
     assert (1 - shared + shared * lost) ** roots <= most
+
+
+def test_stage_keeps_null_ids_and_separate_texts_of_one_id(spark, documents):
+    a, b, c, d = (sentence(600 + i, 50) for i in range(4))
+    texts = {(None, 0): a, (None, 1): b, (None, 2): None, (1, 0): a, (1, 1): b, (1, 2): changed(b, 1, 1), (2, 0): c, (3, 0): c, (3, 1): d, (3, 2): d, (4, 0): None, (4, 1): ""}
+    kept = minhash_dedup.dedup_stage(spark, documents(texts), "").collect()
+    null = [r["text"] for r in kept if r["doc_id"] is None]
+    assert sorted(null, key=str) == sorted([a, b, None], key=str)
+    real = [(r["doc_id"], r["text"]) for r in kept if r["doc_id"] is not None]
+    assert sorted(i for i, _ in real) == [1, 1, 2, 3, 4]
+    assert {(1, a), (2, c), (3, d)} <= set(real) and {t for i, t in real if i == 1} - {a} <= {b, texts[1, 2]}
