@@ -8,7 +8,9 @@ bound becomes a local cosine threshold: above 1 the bucket is skipped; if it is
 high, the ranges that it allows for the query's largest coordinates prune the
 bucket's vectors (coordinate pruning); if it is low, only vectors too short to
 reach the bound are cut (length pruning). What is left is verified by exact
-integer products. No pruning loses a result.
+integer products: floating ones where lengths show that they can't round, else
+the floating score and its error bound choose the candidates, whose products are
+made of Python integers. No pruning loses a result.
 
 A bucket with many vectors is dealt out in parts of about ``PART`` vectors, and
 queries in parts of ``QUERY_PART``, so one common length or vector splits over
@@ -17,9 +19,10 @@ tasks. A task keeps k rows per query; a window takes the best k of those.
 Defined cases: vectors that are null, empty, or hold a null or non-finite
 component take no part, nor do rows with a null id; repeated rows (same id and
 vector) count once; a query meets only vectors of its own dimension; fewer than k
-candidates give them all; equal scores go to the smaller id; a vector with a
-component beyond 2**20 after scaling (16384 before) takes no part, as its products
-would not be exact; an empty table gives no rows; other columns are ignored.
+candidates give them all; equal scores go to the smaller id; a vector of length
+2**63 or more after scaling (2**57 before) takes no part, as bigint doesn't hold it;
+ranks are by the exact scores, a score that bigint doesn't hold is shown as its
+nearest bigint; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,9 +42,12 @@ PART, QUERY_PART, SEEDS = 4096, 1024, 512
 GROWTH = 1.05
 #: From this local cosine threshold on, coordinates prune; below it, lengths do.
 COORDINATE_FROM, FOCUS = 0.6, 6
-LARGEST = 1 << 20
+#: Vectors are shorter than this, and products of lengths up to EXACT can't round.
+LONGEST, EXACT = 2.0 ** 63, 2.0 ** 52
 #: Slack against rounding where floating bounds prune; products are exact.
 SLACK = 1e-9
+#: A score is high * 2**63 + low.
+LOW = (1 << 63) - 1
 
 VECTOR = "vec_id bigint, dim int, norm double, v binary"
 
@@ -56,25 +62,39 @@ def _quantise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             x = x.to_numpy(zero_copy_only=False).astype(np.float64)
             if not np.isfinite(x).all():
                 continue
-            v = np.floor(SCALE * x)
-            if np.abs(v).max() > LARGEST:
+            with np.errstate(over="ignore"):
+                v = np.floor(SCALE * x)
+                norm = float(np.sqrt((v * v).sum()))
+            if not norm < LONGEST:
                 continue
             ids.append(i)
             dims.append(len(v))
-            norms.append(float(np.sqrt((v * v).sum())))
-            out.append(v.astype(np.int32).tobytes())
+            norms.append(norm)
+            out.append(v.astype(np.int32 if norm < 2.0 ** 31 else np.int64).tobytes())
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(dims, pa.int32()), pa.array(norms, pa.float64()),
                                           pa.array(out, pa.binary())], names=["vec_id", "dim", "norm", "v"])
 
 
 def _matrix(column, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.int32).reshape(-1, dim).astype(np.float64)
+    column = list(column)
+    if all(len(v) == 4 * dim for v in column):
+        return np.frombuffer(b"".join(column), np.int32).reshape(-1, dim).astype(np.float64)
+    # the floor of a double is a double, so long vectors are exact as well
+    return np.stack([np.frombuffer(v, np.int32 if len(v) == 4 * dim else np.int64).astype(np.float64) for v in column])
+
+
+def _error(reach, dim: int):
+    """Bound of the rounding of floating products of vectors whose lengths multiply to ``reach``."""
+    return np.where(reach <= EXACT, 0.0, reach * (dim + 4) * 2.0 ** -51)
 
 
 def _seed_bounds(seeds: dict[int, tuple[np.ndarray, np.ndarray]], k: int):
-    """Adds ``bound``: the k-th best score of a query among the longest vectors of its dimension."""
+    """Adds ``bound``: no more than the k-th best score of a query among the longest vectors of its dimension."""
+    norms = {d: np.sqrt((seed * seed).sum(1)) for d, (_, seed) in seeds.items()}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            lengths = batch.column("norm").to_numpy()
             dims, ids = batch.column("dim").to_numpy(), batch.column("vec_id").to_numpy()
             vs, bound = batch.column("v").to_pylist(), np.full(len(ids), -np.inf)
             for d in np.unique(dims):
@@ -85,6 +105,7 @@ def _seed_bounds(seeds: dict[int, tuple[np.ndarray, np.ndarray]], k: int):
                 for s in range(0, len(at), QUERY_PART):
                     part = at[s:s + QUERY_PART]
                     score = _matrix([vs[i] for i in part], d) @ seed.T
+                    score -= _error(lengths[part][:, None] * norms[int(d)][None, :], int(d))
                     score[ids[part][:, None] == seed_ids[None, :]] = -np.inf
                     bound[part] = np.partition(score, -k, axis=1)[:, -k]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bound)], names=[*batch.schema.names, "bound"])
@@ -103,7 +124,7 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 def _search(k: int):
     def run(key, queries: pa.Table, bucket: pa.Table) -> pa.Table:
-        out_q, out_i, out_s = [], [], []
+        out = _Found(k)
         if queries.num_rows and bucket.num_rows:
             d = queries.column("dim")[0].as_py()
             q_ids, c_ids = queries.column("vec_id").to_numpy(), bucket.column("vec_id").to_numpy()
@@ -122,7 +143,7 @@ def _search(k: int):
                 for f in np.argsort(-np.abs(dirn))[:FOCUS]:
                     keep &= (unit[:, f] >= _low(dirn[f], t) - SLACK) & (unit[:, f] <= _high(dirn[f], t) + SLACK)
                 at = np.flatnonzero(keep & (c_ids != q_ids[i]))
-                _emit(q_ids[i], q[i] @ c[at].T, c_ids[at], bound[i], k, out_q, out_i, out_s)
+                out.emit(q_ids[i], q[i], q_norm[i], q[i] @ c[at].T, c, c_norm, c_ids, at, bound[i])
             loose = np.flatnonzero(alive & ~tight)
             if len(loose):
                 order = np.argsort(-c_norm, kind="stable")
@@ -132,8 +153,9 @@ def _search(k: int):
                 scores = q[loose] @ c[order].T
                 for i, row in zip(loose, scores):
                     other = c_ids[order] != q_ids[i]
-                    _emit(q_ids[i], row[other], c_ids[order][other], bound[i], k, out_q, out_i, out_s)
-        return pa.table({"query_id": pa.array(out_q, pa.int64()), "vec_id": pa.array(out_i, pa.int64()), "score": pa.array(out_s, pa.int64())})
+                    out.emit(q_ids[i], q[i], q_norm[i], row[other], c, c_norm, c_ids, order[other], bound[i])
+        return pa.table({"query_id": pa.array(out.q, pa.int64()), "vec_id": pa.array(out.i, pa.int64()),
+                         "high": pa.array(out.high, pa.int64()), "low": pa.array(out.low, pa.int64())})
     return run
 
 
@@ -146,13 +168,31 @@ def _high(x: float, t: float) -> float:
     return 1.0 if x > t else x * t + np.sqrt(max(0.0, (1 - x * x) * (1 - t * t)))
 
 
-def _emit(query, scores, ids, bound, k, out_q, out_i, out_s) -> None:
-    keep = scores >= bound
-    scores, ids = scores[keep], ids[keep]
-    best = _best(scores, ids, k)
-    out_q.extend([query] * len(best))
-    out_i.extend(ids[best].tolist())
-    out_s.extend(scores[best].astype(np.int64).tolist())
+class _Found:
+    """The k best rows of each query in a block."""
+
+    def __init__(self, k: int):
+        self.k, self.q, self.i, self.high, self.low = k, [], [], [], []
+
+    def emit(self, query, x, x_norm, scores, c, c_norm, c_ids, at, bound) -> None:
+        """scores: the floating products of the query x with the rows ``at`` of c."""
+        error = _error(x_norm * c_norm[at], len(x))
+        keep = scores + error >= bound
+        scores, at, error = scores[keep], at[keep], error[keep]
+        if not error.any():
+            best = _best(scores, c_ids[at], self.k)
+            exact, ids = scores[best].astype(np.int64).tolist(), c_ids[at[best]].tolist()
+        else:
+            if len(at) > self.k:
+                near = scores + error >= np.partition(scores - error, -self.k)[-self.k]
+                at = at[near]
+            left = [int(a) for a in x]
+            ranked = sorted((-sum(a * int(b) for a, b in zip(left, c[j])), int(c_ids[j])) for j in at)[:self.k]
+            exact, ids = [-s for s, _ in ranked], [i for _, i in ranked]
+        self.q.extend([query] * len(ids))
+        self.i.extend(ids)
+        self.high.extend(s >> 63 for s in exact)
+        self.low.extend(s & LOW for s in exact)
 
 
 def top_k(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
@@ -181,9 +221,11 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
     asked = queries.join(ids, "dim")
     held = dealt.select("dim", "bucket", F.col("part").cast("bigint"), "vec_id", "norm", "v", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(q_parts - 1).cast("bigint"))).alias("q_part"))
     found = (asked.groupBy(*keys).cogroup(held.groupBy(*keys))
-             .applyInArrow(_search(k), "query_id bigint, vec_id bigint, score bigint"))
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+             .applyInArrow(_search(k), "query_id bigint, vec_id bigint, high bigint, low bigint"))
+    best = Window.partitionBy("query_id").orderBy(F.col("high").desc(), F.col("low").desc(), "vec_id")
+    least = F.lit(-LOW - 1)
+    score = F.when(F.col("high") == 0, F.col("low")).when(F.col("high") == -1, F.col("low") + least).when(F.col("high") > 0, F.lit(LOW)).otherwise(least)
+    return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).withColumn("score", score)
             .select("query_id", "rank", "vec_id", "score"))
 
 

@@ -95,3 +95,19 @@ def test_top_k_few_and_none(spark):
 def test_top_k_leaves_out_what_is_not_exact(spark):
     rows = [(0, [1.0]), (1, [2.0]), (2, [1e30]), (20, [16384.0])]
     assert found(top_k(vectors(spark, rows))) == brute([r for r in rows if r[0] != 2])
+
+
+@pytest.mark.parametrize("size", [3e4, 3e6, 5e6])
+def test_top_k_takes_long_vectors(spark, monkeypatch, size):
+    """Long vectors are queries and candidates, and products that doubles round are exact."""
+    monkeypatch.setattr(topk_search, "SEEDS", 30)
+    rng = np.random.default_rng(2)
+    v = (rng.normal(size=(120, 6)) * np.where(np.arange(120) % 3, 1.0, size)[:, None]).astype(np.float32)
+    rows = [(i, x.tolist()) for i, x in enumerate(v)]
+    rows += [(200, [size, size / 2, 1.0, 0.0, 0.0, 0.0]), (201, [size, size / 2, 0.984375, 0.0, 0.0, 0.0])]
+    assert found(top_k(vectors(spark, rows))) == brute(rows)
+
+
+def test_top_k_ranks_by_scores_beyond_bigint(spark):
+    rows = [(0, [2.0 ** 50]), (1, [2.0 ** 50]), (2, [2.0 ** 51]), (3, [-(2.0 ** 52)]), (4, [1.0])]
+    assert found(top_k(vectors(spark, rows))) == {(0, 1, 2, 2 ** 63 - 1), (0, 2, 1, 2 ** 63 - 1), (0, 3, 4, 2 ** 62), (0, 4, 3, -2 ** 63)}
