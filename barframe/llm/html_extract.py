@@ -6,14 +6,16 @@ text length, the punctuation and the linked text of its blocks are aggregated
 and divided by the number of blocks (text ratio, punctuation ratio). The two
 ratios are smoothed over neighbouring blocks of the page, fused as a product,
 damped by the share of linked text, and paths at or above a threshold are
-content. Elements whose role rules content out (menus, forms, scripts,
-adverts, comments) never score.
+content. Elements whose role rules content out (menus, scripts, hidden ones)
+never score; neither do those whose class or id names such a role (adverts,
+comments, sidebars) or forms, unless they hold the page's text: see ``_resolve``.
 
 A content path below an article container brings in the container's other
 blocks too (headings, short list items), as they belong to the same text.
 
 Defined cases: null or empty html gives empty text; a page without a content
-path falls back to its best-scoring path, or empty text if no block has text;
+path falls back to its best-scoring path among the blocks barred by a name or a
+form, or empty text if no block outside menus and the like has text;
 unclosed elements are closed as in HTML (a new paragraph or list item closes
 the one before it); every input row gives one result row; other columns are
 ignored. Work on a page is linear in its length.
@@ -49,14 +51,21 @@ STOPS = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td":
 LISTS = {"address", "article", "aside", "blockquote", "details", "div", "dl", "fieldset", "figure", "footer", "form",
          "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul"}
 
-#: Elements and names that can't be article text, whatever they hold.
-NO_CONTENT = {"nav", "aside", "footer", "form", "button", "head", "dialog", "menu", "object", "audio", "video", "canvas",
+#: Elements and roles that can't be article text, whatever they hold.
+NO_CONTENT = {"nav", "aside", "footer", "button", "head", "dialog", "menu", "object", "audio", "video", "canvas",
               "fieldset", "input", "select", "option", "datalist", "map", "applet"}
+#: Names of such a role in a class or id, tested token by token.
 NO_CONTENT_NAME = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner\w*|nav\w*|menu\w*|breadcrumb\w*|sidebar\w*|side|"
     r"footer\w*|foot|masthead|topbar|header|cookie\w*|consent|notice\w*|gdpr|popup|modal|overlay|newsletter\w*|subscri\w*|"
     r"signup|login|share\w*|sharing|social\w*|comment(?!ar)\w*|respond|replies|reply|disqus\w*|related\w*|recommend\w*|"
     r"pagination|pager|widget\w*|toolbar|search\w*|tags|toc|skip\w*|alert|paywall|hidden|sr-only)(?=$|[\s_-])", re.I)
+#: Tokens that say what a page or its parts do or have, not what the element is.
+MODIFIER = re.compile(r"(?:with|without|has|have|no)[_-].*|.*[_-](?:open|opened|closed|enabled|disabled)", re.I)
+#: The end of a token that says where the element is or which of several.
+PLACE = re.compile(r"(?:[_-]+(?:left|right|top|bottom|primary|secondary|first|last|\d+))+$", re.I)
+#: A heading block of the text itself.
+HEADING = re.compile(r"(?:entry|post|article|page|content|story|single)[_-]+header(?:[_-].*)?", re.I)
 NO_CONTENT_ROLE = {"navigation", "banner", "complementary", "contentinfo", "search", "form", "alert", "dialog", "menu", "menubar"}
 CONTAINERS = {"article", "main", "section", "div", "td", "blockquote"}
 ROOTS = {"html", "body"}
@@ -71,34 +80,77 @@ CHUNK = 4 << 20
 
 
 class _Element:
-    __slots__ = ("tag", "path", "barred", "key")
+    __slots__ = ("tag", "path", "barred", "key", "soft", "outer")
 
-    def __init__(self, tag: str, name: str, parent: "_Element | None", barred: bool, key: int):
+    def __init__(self, tag: str, name: str, parent: "_Element | None", barred: bool, key: int, soft: tuple = ()):
         self.tag, self.barred, self.key = tag, barred or bool(parent and parent.barred), key
         self.path = f"{parent.path if parent else ''}/{tag}{name}"
+        # bars by name or form, own and inherited; those outside the innermost article
+        self.soft = (parent.soft if parent else ()) + soft
+        self.outer = len(parent.soft) if parent and tag in ("article", "main") else parent.outer if parent else 0
 
 
-def _attributes(tag: str, rest: str) -> tuple[str, bool]:
-    """(class part of the path, whether the element can't hold content)."""
-    name, barred = "", tag in NO_CONTENT
+def _name_bars(value: str) -> tuple:
+    """(role word, whether the token is only about it) for each class or id token that names a role."""
+    found = []
+    for token in value.split():
+        m = NO_CONTENT_NAME.search(token)
+        if m and not HEADING.fullmatch(token):
+            word = m[0].strip("_-").lower()
+            if word == token.lower() or not MODIFIER.fullmatch(token):
+                # the last word of a token says what the element is; "widget" is also used for any part of a page
+                last = NO_CONTENT_NAME.search(re.split(r"[_-]+", PLACE.sub("", token))[-1])
+                found.append((word, bool(last) and (word == token.lower() or not word.startswith("widget"))))
+    return tuple(found)
+
+
+def _attributes(tag: str, rest: str) -> tuple[str, bool, tuple]:
+    """(class part of the path, whether the element can't hold content, bars by name or form)."""
+    name, barred, soft = "", tag in NO_CONTENT, (("form", False),) if tag == "form" else ()
     if rest and not rest.isspace():
         for m in ATTRIBUTE.finditer(rest):
             what, value = m[1].lower(), (m[2] or m[3] or m[4] or "")
             if what == "class" and value:
                 name = "." + ".".join(value.split())
             if what in ("class", "id") and tag not in ROOTS and tag != "article":
-                barred |= bool(NO_CONTENT_NAME.search(value))
+                soft += _name_bars(value)
             elif what == "role":
-                barred |= value.lower() in NO_CONTENT_ROLE
+                if value.lower() == "form":
+                    soft += (("form", False),)
+                else:
+                    barred |= value.lower() in NO_CONTENT_ROLE
             elif what == "hidden":
                 barred = True
             elif what == "aria-hidden":
                 barred |= value.lower() == "true"
-    return name, barred
+    return name, barred, soft
+
 
+def _resolve(found: list[tuple]) -> list[tuple[str, int, str, int, bool, bool]]:
+    """Blocks with their bars settled: (path, key, text, linked, barred, soft); soft if only names or forms bar it.
+
+    A bar that isn't a role of its own ("widget-area", a form) doesn't hold if
+    elements barred by that word have most of the page's text. Bars outside an
+    article or main element don't hold in it, if the page has none that is free."""
+    total, by_word = 0, {}
+    for _, _, text, _, hard, soft, _ in found:
+        if not hard:
+            total += len(text)
+            for word in {w for w, whole in soft if not whole}:
+                by_word[word] = by_word.get(word, 0) + len(text)
+    most = {w for w, n in by_word.items() if 2 * n > total}
+    held = [[whole or w not in most for w, whole in soft] for _, _, _, _, _, soft, _ in found]
+    article = [bool(re.search(r"/(?:article|main)\b", b[0])) for b in found]
+    free = any(a and not b[4] and not any(h) for a, b, h in zip(article, found, held))
+    out = []
+    for (path, key, text, linked, hard, soft, outer), inside, h in zip(found, article, held):
+        named = any(h if free or not inside else h[outer:])
+        out.append((path, key, text, linked, hard or named, named and not hard))
+    return out
 
-def blocks(page: str) -> list[tuple[str, int, str, int, bool]]:
-    """(path, key of the parent element, text, linked characters, barred) of each block, in page order."""
+
+def blocks(page: str) -> list[tuple[str, int, str, int, bool, bool]]:
+    """(path, key of the parent element, text, linked characters, barred, barred by name or form only) of each block, in page order."""
     stack = [_Element("", "", None, False, 0)]
     out, piece, linked, in_link, barred_inline = [], [], 0, 0, []
     keys = 0
@@ -109,7 +161,7 @@ def blocks(page: str) -> list[tuple[str, int, str, int, bool]]:
         if text:
             top = stack[-1]
             parent = stack[-2] if len(stack) > 1 else top
-            out.append((top.path, parent.key, text, linked, top.barred))
+            out.append((top.path, parent.key, text, linked, top.barred, top.soft, top.outer))
         piece.clear()
         linked = 0
 
@@ -139,7 +191,7 @@ def blocks(page: str) -> list[tuple[str, int, str, int, bool]]:
                 if barred_inline and barred_inline[-1] == tag:
                     barred_inline.pop()
             elif tag not in VOID and not m["rest"].endswith("/") and m["rest"]:
-                if barred_inline or _attributes(tag, m["rest"])[1]:
+                if barred_inline or any(_attributes(tag, m["rest"])[1:]):
                     barred_inline.append(tag)
             elif barred_inline and tag not in VOID:
                 barred_inline.append(tag)
@@ -166,13 +218,13 @@ def blocks(page: str) -> list[tuple[str, int, str, int, bool]]:
                     break
             if tag not in VOID and not m["rest"].endswith("/"):
                 keys += 1
-                name, barred = _attributes(tag, m["rest"])
+                name, barred, soft = _attributes(tag, m["rest"])
                 # a page header has no content; the header of an article may hold its heading
                 barred |= tag == "header" and not any(e.tag in ("article", "main") for e in stack)
-                stack.append(_Element(tag, name, stack[-1], barred, keys))
+                stack.append(_Element(tag, name, stack[-1], barred, keys, soft))
     say(page[at:])
     flush()
-    return out
+    return _resolve(out)
 
 
 def extract(page: str | None) -> str:
@@ -180,12 +232,19 @@ def extract(page: str | None) -> str:
     found = blocks(page.replace("\x00", "")) if page else []
     if not found:
         return ""
+    text = _content(found, [b[4] for b in found])
+    if not text and any(b[5] for b in found):
+        text = _content(found, [b[4] and not b[5] for b in found])
+    return text
+
+
+def _content(found: list[tuple], barred: list[bool]) -> str:
     index: dict[str, int] = {}
     path = np.array([index.setdefault(b[0], len(index)) for b in found])
     chars = np.array([len(b[2]) for b in found], float)
     marks = np.array([len(PUNCTUATION.findall(b[2])) for b in found], float)
     linked = np.minimum(np.array([b[3] for b in found], float), chars)
-    barred = np.array([b[4] for b in found])
+    barred = np.array(barred)
     per = np.maximum(np.bincount(path), 1)
     text_ratio = (np.bincount(path, chars) / per)[path]
     mark_ratio = ((np.bincount(path, marks) + 1) / per)[path]

@@ -111,3 +111,26 @@ def test_top_k_takes_long_vectors(spark, monkeypatch, size):
 def test_top_k_ranks_by_scores_beyond_bigint(spark):
     rows = [(0, [2.0 ** 50]), (1, [2.0 ** 50]), (2, [2.0 ** 51]), (3, [-(2.0 ** 52)]), (4, [1.0])]
     assert found(top_k(vectors(spark, rows))) == {(0, 1, 2, 2 ** 63 - 1), (0, 2, 1, 2 ** 63 - 1), (0, 3, 4, 2 ** 62), (0, 4, 3, -2 ** 63)}
+
+
+@pytest.mark.parametrize("name", ["layout with-sidebar", "has-sidebar", "no-sidebar", "comments-open post", "page-content menu-open"])
+def test_modifiers_do_not_bar_the_text(name):
+    inner = f"<p>{BODY}</p><p>{MORE}</p>"
+    assert extract(page(f"<div class='{name}'>{inner}</div>")) == f"{BODY} {MORE}"
+    assert extract(page(f"<div class='{name}'><article>{inner}</article></div>")) == f"{BODY} {MORE}"
+
+
+def test_article_in_a_barred_wrapper_form_or_widgets():
+    inner = f"<p>{BODY}</p><p>{MORE}</p>"
+    assert extract(page(f"<form id=aspnetForm>{inner}</form>")) == f"{BODY} {MORE}"
+    assert extract(page(f"<div class=sidebar-layout><main>{inner}</main></div><div class=ad><p>{MORE}</p></div>")) == f"{BODY} {MORE}"
+    assert extract(page("".join(f"<div class='elementor-widget-container'><p>{x}</p></div>" for x in (BODY, MORE)))) == f"{BODY} {MORE}"
+    assert extract(page(f"<article><div class='entry-header'><h1>A heading, of some length.</h1></div>{inner}</article>")) == f"A heading, of some length. {BODY} {MORE}"
+    assert extract(page(f"<div class=overlay>{inner}</div>")) == f"{BODY} {MORE}"  # nothing else scores
+
+
+def test_roles_bar_even_where_they_are_long():
+    inner = f"<p>{BODY}</p><p>{MORE}</p>"
+    for name in ("comments", "reader-comments", "related", "sidebar", "sidebar-right", "is-hidden"):
+        assert extract(page(f"<div class=post>{inner}</div>", "", f"<div class='{name}'>{inner * 5}</div>")) == f"{BODY} {MORE}"
+    assert extract(page(f"<article>{inner}</article>", "", f"<div class=related-posts><article><p>{MORE}</p></article></div>")) == f"{BODY} {MORE}"
