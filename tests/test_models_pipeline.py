@@ -102,3 +102,27 @@ def test_report_and_model_sinks(spark, panel):
     assert len(loaded.stages) == len(tm.model.stages)
     meta = spark.read.json(f"{out}/model/metadata").first()
     assert meta.model_key == "logistic_regression" and meta.tickers == ["A"]
+
+
+@pytest.mark.parametrize("broken", [None, "random_forest"])
+def test_panel_queries_compare_all_panel_models(spark, monkeypatch, broken):
+    """The fits are stubs; every panel model is a candidate, and the tree with the best scores wins."""
+    from types import SimpleNamespace
+
+    from barframe.plans import queries_models as Q
+
+    SF_SMALL = "/root/testdata/sf0.001"
+
+    def attempt(key, ds, feats, overrides=None):
+        if key == broken:
+            return ML.Outcome(key, "failed", "stub"), None
+        score = 0.9 if key == "gradient_boosting" else 0.5
+        row = spark.createDataFrame([(key, score, score, score, score, score)], "model_key string, accuracy double, precision double, recall double, f1 double, roc_auc double")
+        return ML.Outcome(key, "trained"), SimpleNamespace(test_metrics=row)
+    monkeypatch.setattr(ML, "attempt", attempt)
+    if broken:
+        with pytest.raises(RuntimeError, match=broken):
+            Q.q_verdict(spark, SF_SMALL)
+        return
+    assert {r.model_key for r in Q.q_panel_comparison(spark, SF_SMALL).collect() if not r.is_baseline} == set(ML.PANEL_MODELS)
+    assert Q.q_verdict(spark, SF_SMALL).first().best_model_key == "gradient_boosting"
