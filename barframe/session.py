@@ -79,5 +79,19 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the table that ``cut_lineage`` wrote for ``df``, once its successor is written.
+
+    Only folders below the shared checkpoint folder are touched."""
+    spark = df.sparkSession
+    root = spark._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark))
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    base = fs.makeQualified(root).toString().rstrip("/") + "/"
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if fs.makeQualified(path).toString().startswith(base):
+            fs.delete(path, True)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
