@@ -13,9 +13,11 @@ from barframe.llm.license_scan import OP1_SQL, op1_license_scan
 from barframe.llm.minhash_dedup import op3_minhash_dedup
 from barframe.llm.paragraph_dedup import op4_paragraph_dedup
 from barframe.llm.secret_scan import op2_secret_scan
+from barframe.llm.simhash_dedup import op11_simhash_dedup
 from barframe.llm.source_mix import OP5_SQL, op5_source_mix
 from barframe.llm.suffix_dedup import op10_suffix_dedup
 from barframe.llm.topk_search import OP8_SQL, op8_topk_search
+from barframe.llm.vector_codes import OP12_SQL, op12_vector_codes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
@@ -28,6 +30,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk_search": op8_topk_search,
     "op9_language_id": op9_language_id,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_simhash_dedup": op11_simhash_dedup,
+    "op12_vector_codes": op12_vector_codes,
 }
 
 SQL: dict[str, str] = {
@@ -35,4 +39,5 @@ SQL: dict[str, str] = {
     "op5_source_mix": OP5_SQL,
     "op7_decontaminate": OP7_SQL,
     "op8_topk_search": OP8_SQL,
+    "op12_vector_codes": OP12_SQL,
 }
