@@ -14,6 +14,7 @@ from barframe.llm.minhash_dedup import op3_minhash_dedup
 from barframe.llm.paragraph_dedup import op4_paragraph_dedup
 from barframe.llm.secret_scan import op2_secret_scan
 from barframe.llm.simhash_dedup import op11_simhash_dedup
+from barframe.llm.source_divergence import OP13_SQL, op13_source_divergence
 from barframe.llm.source_mix import OP5_SQL, op5_source_mix
 from barframe.llm.suffix_dedup import op10_suffix_dedup
 from barframe.llm.topk_search import OP8_SQL, op8_topk_search
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_simhash_dedup": op11_simhash_dedup,
     "op12_vector_codes": op12_vector_codes,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 SQL: dict[str, str] = {
@@ -40,4 +42,5 @@ SQL: dict[str, str] = {
     "op7_decontaminate": OP7_SQL,
     "op8_topk_search": OP8_SQL,
     "op12_vector_codes": OP12_SQL,
+    "op13_source_divergence": OP13_SQL,
 }
