@@ -1,14 +1,13 @@
 """Divergence audit of sources: how far a source's term distribution lies from its language's other sources.
 
-1. *Blocks.* A task indexes its documents in memory: the occurrences of each term by
-   (lang, source), and the documents of each (lang, term). When ``POSTINGS`` of them are held,
-   the block is spilled as a run of rows sorted by (lang, term), one row per term with
-   its sources and counts, and memory starts empty again. So the memory of a task is
-   bounded, and a frequent term leaves a block as one row.
-2. *Runs.* The runs are dealt to hash shards of (lang, term). A shard's runs come
-   together in the order of (lang, term) (Spark's external sort, which merges spilled runs by
-   a heap), and one pass adds neighbours up to a term's frequencies. Terms in too few
-   documents of the language end here.
+1. *Blocks.* A task indexes its documents in memory: by (lang, source), the occurrences of
+   each term and the documents that hold it. When ``POSTINGS`` postings are held, the block is
+   spilled as a run of rows (lang, term, source, occurrences, documents) sorted by (lang, term),
+   and memory starts empty again. So the memory of a task is bounded, and a frequent term
+   leaves a block as one row a source.
+2. *Runs.* The runs are dealt to hash shards of (lang, term) and merged there in that order
+   (by Spark's external sort, which merges sorted runs by a heap); along the order
+   neighbours are added up to a term's documents and, if they are enough, its frequencies.
 3. *Corrections.* A group is a (lang, source). A term that neither of two groups has differs
    by the same amount in every such pair of shares, |p0 - p0'|, so a pair starts from
    V * |p0 - p0'|. Each shard streams its terms past the groups of its language (which are
@@ -33,14 +32,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barframe.llm.common import chunks, materialise, python_batches, read
 
 MIN_DOCS, TOP, SCALE, SMOOTH = 30, 50, 1_000_000_000, 5
-#: Term counts that a block holds before it is spilled (some 150 bytes each).
-POSTINGS = 400_000
+#: Postings that a block holds before it is spilled (some 250 bytes each).
+POSTINGS = 500_000
+#: Postings of kept terms that a shard of the corrections has, about.
+SHARD = 50_000
 #: Cells of the shares (terms x sources) held at a time, and of the pairs of groups before they are handed out.
 CELLS = 1 << 20
 #: Bytes of text handled at a time.
@@ -49,7 +51,7 @@ CHUNK = 1 << 22
 #: Bytes of UTF-8 text: A-Z become a-z, ASCII that is no letter a blank, all others stay.
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
-RUN = "lang string, term binary, docs bigint, sources array<string>, counts array<bigint>"
+RUN = "lang string, term binary, source string, n bigint, docs bigint"
 
 
 def terms(text: str | None) -> list[bytes]:
@@ -57,33 +59,30 @@ def terms(text: str | None) -> list[bytes]:
 
 
 class _Block:
-    """Postings of the documents since the last spill."""
+    """Postings of the documents since the last spill: by (lang, source), the occurrences and the documents of each term."""
 
     def __init__(self):
-        self.counts, self.docs = defaultdict(Counter), defaultdict(Counter)
+        self.groups = defaultdict(lambda: (Counter(), Counter()))
 
     def add(self, lang: str, source: str, found: list[bytes]) -> None:
-        self.counts[lang, source].update(found)
-        self.docs[lang].update(set(found))
+        counts, docs = self.groups[lang, source]
+        counts.update(found)
+        docs.update(set(found))
 
     def full(self) -> bool:
-        return sum(map(len, self.counts.values())) + sum(map(len, self.docs.values())) >= POSTINGS
+        return sum(len(counts) for counts, _ in self.groups.values()) >= POSTINGS
 
     def run(self) -> Iterator[pa.RecordBatch]:
         """The block as rows sorted by (lang, term); memory is empty afterwards."""
-        for lang in sorted(self.docs):
-            docs, held = self.docs[lang], defaultdict(list)
-            for source in sorted(s for of, s in self.counts if of == lang):
-                for t, n in self.counts.pop((lang, source)).items():
-                    held[t].append((source, n))
-            order = sorted(docs)
-            for s in range(0, len(order), 20_000):
-                part = order[s:s + 20_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(part), pa.string()), pa.array(part, pa.binary()), pa.array([docs[t] for t in part], pa.int64()),
-                     pa.array([[source for source, _ in held[t]] for t in part], pa.list_(pa.string())),
-                     pa.array([[n for _, n in held[t]] for t in part], pa.list_(pa.int64()))], names=["lang", "term", "docs", "sources", "counts"])
-        self.__init__()
+        for lang in sorted({of for of, _ in self.groups}):
+            parts = []
+            for of, source in sorted(k for k in self.groups if k[0] == lang):
+                counts, docs = self.groups.pop((of, source))
+                parts.append(pa.table([pa.array(counts.keys(), pa.binary()), pa.array([source] * len(counts), pa.string()), pa.array(counts.values(), pa.int64()),
+                                       pa.array(map(docs.__getitem__, counts), pa.int64())], names=["term", "source", "n", "docs"]))
+            rows = pa.concat_tables(parts)
+            rows = rows.take(pc.sort_indices(rows, [("term", "ascending"), ("source", "ascending")]))
+            yield from rows.add_column(0, "lang", pa.repeat(lang, rows.num_rows)).to_batches(max_chunksize=50_000)
 
 
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,35 +98,6 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from block.run()
 
 
-def _frequencies(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Rows in order of (lang, term) -> one row for each term in ``least`` documents or more."""
-    key, docs, counts, out = None, 0, Counter(), []
-
-    def made() -> pa.RecordBatch:
-        cols = list(zip(*out)) or [[]] * 5
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.binary(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64())))],
-                                          names=["lang", "term", "docs", "sources", "counts"])
-
-    def close() -> None:
-        if key is not None and docs >= least:
-            sources = sorted(counts)
-            out.append((*key, docs, sources, [counts[s] for s in sources]))
-
-    for batch in batches:
-        for lang, term, n, sources, ns in zip(*(batch.column(c).to_pylist() for c in ("lang", "term", "docs", "sources", "counts"))):
-            if (lang, term) != key:
-                close()
-                key, docs, counts = (lang, term), 0, Counter()
-                if len(out) >= 10_000:
-                    yield made()
-                    out.clear()
-            docs += n
-            for s, k in zip(sources, ns):
-                counts[s] += k
-    close()
-    yield made()
-
-
 def share(count: int, total: int, kept: int) -> int:
     """Share of a term with ``count`` of ``total`` occurrences among ``kept`` terms, in parts of SCALE."""
     return 1 + SCALE * (count + SMOOTH) // (total + SMOOTH * kept)
@@ -224,10 +194,13 @@ def source_divergence(docs: DataFrame, least: int = MIN_DOCS, top: int = TOP) ->
     python_batches(docs)
     spark = docs.sparkSession
     docs = docs.select(*(F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source")), "text")
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    runs = docs.mapInArrow(_index, RUN)
-    kept = materialise(runs.repartition(shards, "lang", "term").sortWithinPartitions("lang", "term")
-                       .mapInArrow(lambda x: _frequencies(x, least), RUN), "frequencies")
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    runs = docs.mapInArrow(_index, RUN).repartition(partitions, "lang", "term")
+    # a shard is in the order of (lang, term): what follows needs no further exchange
+    known = runs.withColumn("all_docs", F.sum("docs").over(Window.partitionBy("lang", "term"))).where(F.col("all_docs") >= least)
+    kept = materialise(known.groupBy("lang", "term", "source").agg(F.sum("n").alias("n")).groupBy("lang", "term")
+                       .agg(F.array_sort(F.collect_list(F.struct("source", "n"))).alias("x"))  # as many as there are sources
+                       .select("lang", "term", F.col("x.source").alias("sources"), F.col("x.n").alias("counts")), "frequencies")
 
     totals = (kept.select("lang", F.explode(F.arrays_zip("sources", "counts")).alias("x"))
               .groupBy("lang", F.col("x.sources").alias("source")).agg(F.sum("x.counts").alias("total")))
@@ -236,11 +209,13 @@ def source_divergence(docs: DataFrame, least: int = MIN_DOCS, top: int = TOP) ->
                          .select("lang", "source", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("kept", F.lit(0)).alias("kept")), "groups")
 
     # each shard sees the groups of all languages in front of its terms
+    postings = kept.agg(F.sum(F.size("sources"))).first()[0] or 0
+    shards = -(-postings // SHARD) or 1
     shard = F.pmod(F.xxhash64("lang", "term"), F.lit(shards)).cast("int")
     heads = groups.select("lang", F.lit(None).cast("binary").alias("term"), F.array("source").alias("sources"), F.array("total").alias("counts"), "kept",
                           F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
     rows = heads.unionByName(kept.select("lang", "term", "sources", "counts", F.lit(None).cast("bigint").alias("kept"), shard.alias("shard")))
-    parts = materialise(rows.repartition(shards, "shard").sortWithinPartitions("shard", "lang", "term")
+    parts = materialise(rows.repartition(partitions, "shard").sortWithinPartitions("shard", "lang", "term")
                         .mapInArrow(_corrections, "lang string, part string, source string, item binary, value bigint"), "parts")
 
     # a pair's corrections come from both groups, each as twice its share

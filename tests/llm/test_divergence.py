@@ -70,9 +70,11 @@ def test_blocks_and_shards_add_up(monkeypatch):
         assert run is cut or keys == sorted(keys)
 
     def merged(run):
-        rows = sorted(run.to_pylist(), key=lambda r: (r["lang"], r["term"]))
-        batches = pa.Table.from_pylist(rows, run.schema).to_batches(max_chunksize=7)
-        return pa.Table.from_batches(D._frequencies(iter(batches), 3)).to_pylist()
+        docs, counts = Counter(), defaultdict(Counter)
+        for r in run.to_pylist():
+            docs[r["lang"], r["term"]] += r["docs"]
+            counts[r["lang"], r["term"]][r["source"]] += r["n"]
+        return [{"lang": k[0], "term": k[1], "sources": sorted(c), "counts": [c[s] for s in sorted(c)]} for k, c in sorted(counts.items()) if docs[k] >= 3]
     assert merged(cut) == merged(whole)
 
     # three shards, each after the heads of its groups, in windows of a few terms
