@@ -38,6 +38,7 @@ BULLISH_THRESHOLD = 0.55
 BEARISH_THRESHOLD = 0.45
 TRANSACTION_COST_BPS = 5.0
 MIN_SPLIT_ROWS = 100
+LOGISTIC_C = 0.1
 CORRELATION_TOP_N = 20
 IMPORTANCE_TOP_N = 15
 PERMUTATION_REPEATS = 10
@@ -60,3 +61,6 @@ SNAPSHOT_FILE_PATTERN = r"([A-Za-z.\-]+)_data\.csv$"
 # Parameters of the deterministic score used to exercise metrics and the
 # signal study without a fitted model (build plan step 7).
 SCORE_SLOPE = 10.0
+
+#: Rows of a series that one task works through at a time (scans and frames).
+SLICE_ROWS = 4096

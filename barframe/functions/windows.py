@@ -1,8 +1,8 @@
 """Window building blocks over the long bar table.
 
 Every positional operation is an explicit window ordered by ``date`` inside a
-``symbol`` partition. A symbol holds at most one row per session, so a
-partition is bounded by the calendar length, not by the raw data volume.
+partition: a series, or where series are long a slice of one with the rows its
+frames reach (``segments.with_halo``).
 """
 
 from __future__ import annotations
@@ -13,6 +13,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from .. import config as C
+from ..session import cut_lineage
+from .segments import POS, SLICE, positioned, summed, with_before
+
 SYMBOL = "symbol"
 DATE = "date"
 
@@ -152,22 +156,9 @@ class EmaSpec:
         return -math.log1p(-self.alpha)
 
 
-# Rows of a block decay by about exp(-40); the exponent is kept below 600 so the
-# rebased prefix sum never overflows a double.
-BLOCK_DECAY = 40.0
-BLOCK_DECAY_MAX = 600.0
-MIN_BLOCK = 64
-
-
-def _block_groups(specs: list[EmaSpec]) -> list[tuple[int, list[EmaSpec]]]:
-    groups: list[tuple[int, list[EmaSpec]]] = []
-    for spec in sorted(specs, key=lambda s: s.decay):
-        need = max(MIN_BLOCK, math.ceil(BLOCK_DECAY / spec.decay))
-        if groups and groups[-1][0] * spec.decay <= BLOCK_DECAY_MAX:
-            groups[-1][1].append(spec)
-        else:
-            groups.append((need, [spec]))
-    return groups
+#: The decay of a smoother over a slice is at most exp(-600), so that the rebased
+#: prefix sum never overflows a double.
+DECAY_MAX = 600.0
 
 
 def with_ema(df: DataFrame, specs: list[EmaSpec], part: str = SYMBOL,
@@ -177,59 +168,57 @@ def with_ema(df: DataFrame, specs: list[EmaSpec], part: str = SYMBOL,
     ``y_t = a_t * y_{t-1} + b_t * x_t`` where, for an observation that follows
     ``g`` rows after the previous one, ``a = beta^g / (beta^g + alpha)`` and
     ``b = alpha / (beta^g + alpha)``; the first observation seeds ``y`` and a
-    null row carries it. Rows are cut into blocks of L rows; inside a block
-    ``y = P_t * (carry + sum(b x / P))`` with ``P`` the running product of
-    ``a`` (a bounded, rebased prefix sum), and ``carry`` is the value at the
-    end of the previous block, folded over the ends of all blocks before it: a
-    long run of nulls does not decay, so no block may be left out. A symbol has
-    its sessions over L such ends, at most a few dozen. Everything stays in JVM window operators and is
-    parallel across symbols and blocks.
+    null row carries it. A slice of rows folds to the map ``y -> l + P y``: inside,
+    ``y = P_t * (carry + sum(b x / P))`` with ``P`` the running product of ``a`` (a
+    bounded, rebased prefix sum), and the carry is the maps of all slices before it,
+    composed: a long run of nulls does not decay, so none may be left out. No task
+    holds more than a slice, and a series is met only as one row per slice.
     """
-    w = win(part, order)
-    wrun = running(part, order)
-    wprev = w.rowsBetween(Window.unboundedPreceding, -1)
-    rn = "__rn"
-    groups = _block_groups(specs)
     for spec in specs:
         if not 0.0 < spec.alpha < 0.999:
             raise ValueError(f"alpha must be in (0, 0.999): {spec}")
-    # five projections in all (each DataFrame call re-analyses the plan)
-    row = F.row_number().over(w) - F.lit(1)
-    blocks = []
-    for gi, (L, _) in enumerate(groups):
-        blocks += [F.floor(row / F.lit(L)).alias(f"__blk{gi}"),
-                   (row - F.floor(row / F.lit(L)) * F.lit(L)).alias(f"__pos{gi}")]
-    df = df.select("*", row.alias(rn), *blocks)
-    stage1, stage2, stage3, outs = [], [], [], []
-    for gi, (L, group) in enumerate(groups):
-        blk, pos = f"__blk{gi}", f"__pos{gi}"
-        wb = Window.partitionBy(part, blk).orderBy(rn).rowsBetween(Window.unboundedPreceding, 0)
-        for s in group:
-            x = F.col(s.src)
-            beta = 1.0 - s.alpha
-            last_obs = F.last(F.when(x.isNotNull(), F.col(rn)), ignorenulls=True).over(wprev)
-            bg = F.pow(F.lit(beta), (F.col(rn) - last_obs).cast("double"))
-            a = F.when(x.isNull() | last_obs.isNull(), F.lit(1.0)).otherwise(bg / (bg + F.lit(s.alpha)))
-            b = (F.when(x.isNull(), F.lit(0.0)).when(last_obs.isNull(), F.lit(1.0))
-                 .otherwise(F.lit(s.alpha) / (bg + F.lit(s.alpha))))
-            # stage 1: recurrence coefficients and the observation count
-            stage1 += [a.alias(f"__a_{s.out}"), b.alias(f"__b_{s.out}"),
-                       F.count(x).over(wrun).alias(f"__n_{s.out}")]
-            # stage 2: running product of a inside the block
-            stage2.append(F.product(f"__a_{s.out}").over(wb).alias(f"__p_{s.out}"))
-            # stage 3: rebased running sum inside the block
-            stage3.append((F.col(f"__p_{s.out}") * F.sum(F.coalesce(
-                F.col(f"__b_{s.out}") * F.col(s.src) / F.col(f"__p_{s.out}"), F.lit(0.0))).over(wb))
-                .alias(f"__l_{s.out}"))
-            # stage 4: fold the ends of all earlier blocks (their product and
-            # local sum) into the value they hand on
-            end = F.collect_list(F.when(F.col(pos) == F.lit(L - 1), F.struct(
-                F.col(f"__p_{s.out}").alias("p"), F.col(f"__l_{s.out}").alias("l")))).over(wprev)
-            carry = F.aggregate(end, F.lit(0.0), lambda acc, e: e["l"] + e["p"] * acc)
-            y = F.col(f"__l_{s.out}") + F.col(f"__p_{s.out}") * carry
-            outs.append(F.when(F.col(f"__n_{s.out}") >= F.lit(s.min_periods), y).alias(s.out))
-            if keep_raw:
-                outs.append(F.when(F.col(f"__n_{s.out}") >= F.lit(1), y).alias(s.out + "_raw"))
-    keep = [c for c in df.columns if not c.startswith("__")]
-    df = df.select("*", *stage1).select("*", *stage2).select("*", *stage3)
+    own = POS in df.columns
+    df = cut_lineage(df, "smoothed") if own else positioned(df, part, order)
+    keep = [c for c in df.columns if own or c not in (POS, SLICE)]
+    rows = min(C.SLICE_ROWS, int(DECAY_MAX / max(s.decay for s in specs)))
+    df = df.withColumn("__s", F.floor(F.col(POS) / F.lit(rows)))
+    at = Window.partitionBy(part, "__s").orderBy(POS)
+    run, prev = at.rowsBetween(Window.unboundedPreceding, 0), at.rowsBetween(Window.unboundedPreceding, -1)
+    sources = {src: f"__{i}" for i, src in enumerate(dict.fromkeys(s.src for s in specs))}
+    # what came before the slice: the place of the last observation and their number
+    totals = {}
+    for src, n in sources.items():
+        totals[f"{n}_last"] = (F.max(F.when(F.col(src).isNotNull(), F.col(POS))), lambda name, w: F.max(name).over(w))
+        totals[f"{n}_count"] = summed(F.col(src).isNotNull().cast("bigint"))
+    df = with_before(df, part, totals, "__s")
+    seen = []
+    for src, n in sources.items():
+        x = F.col(src)
+        last = F.coalesce(F.max(F.when(x.isNotNull(), F.col(POS))).over(prev), F.col(f"{n}_last"))
+        seen += [(F.col(POS) - last).cast("double").alias(f"{n}_gap"), (F.col(f"{n}_count") + F.count(x).over(run)).alias(f"{n}_seen")]
+    coefficients = []
+    for s in specs:
+        x, gap = F.col(s.src), F.col(f"{sources[s.src]}_gap")
+        bg = F.pow(F.lit(1.0 - s.alpha), gap)
+        a = F.when(x.isNull() | gap.isNull(), F.lit(1.0)).otherwise(bg / (bg + F.lit(s.alpha)))
+        b = F.when(x.isNull(), F.lit(0.0)).when(gap.isNull(), F.lit(1.0)).otherwise(F.lit(s.alpha) / (bg + F.lit(s.alpha)))
+        coefficients += [a.alias(f"__a_{s.out}"), b.alias(f"__b_{s.out}")]
+    products = [F.product(f"__a_{s.out}").over(run).alias(f"__p_{s.out}") for s in specs]
+    local = [(F.col(f"__p_{s.out}") * F.sum(F.coalesce(F.col(f"__b_{s.out}") * F.col(s.src) / F.col(f"__p_{s.out}"), F.lit(0.0))).over(run)).alias(f"__l_{s.out}")
+             for s in specs]
+    df = df.select("*", *seen).select("*", *coefficients).select("*", *products).select("*", *local)
+    df = cut_lineage(df.select(*keep, *([] if own else [POS]), "__s", *[f"{n}_seen" for n in sources.values()],
+                               *[f"__{k}_{s.out}" for s in specs for k in ("p", "l")]), "slices")
+
+    def fold(name, w):
+        return F.aggregate(F.collect_list(name).over(w), F.lit(0.0), lambda y, e: e["l"] + e["p"] * y)
+    maps = {f"__c_{s.out}": (F.max_by(F.struct(F.col(f"__p_{s.out}").alias("p"), F.col(f"__l_{s.out}").alias("l")), F.col(POS)), fold) for s in specs}
+    df = with_before(df, part, maps, "__s")
+    outs = []
+    for s in specs:
+        y = F.col(f"__l_{s.out}") + F.col(f"__p_{s.out}") * F.col(f"__c_{s.out}")
+        seen_ = F.col(f"{sources[s.src]}_seen")
+        outs.append(F.when(seen_ >= F.lit(s.min_periods), y).alias(s.out))
+        if keep_raw:
+            outs.append(F.when(seen_ >= F.lit(1), y).alias(s.out + "_raw"))
     return df.select(*keep, *outs)

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..functions.segments import POS, SLICE, largest, multiplied, positioned, with_before, with_halo, within, without_halo
+from ..session import cut_lineage
 
 
 def check_thresholds(bull: float, bear: float) -> None:
@@ -46,19 +48,21 @@ def study_rows(df: DataFrame, group: list[str], p: str = "p_up", fwd: str = "fwd
                bull: float = C.BULLISH_THRESHOLD, bps: float = C.TRANSACTION_COST_BPS) -> DataFrame:
     """Per-session position, turnover, cost and net return, plus both equity
     curves and their drawdowns (G1 rows, G3)."""
-    a = _aligned(df, group, p, fwd)
-    w = Window.partitionBy(*group).orderBy("date")
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    a = with_halo(positioned(_aligned(df, group, p, fwd), group), group, 1)
     pos = (F.col("p_up") > F.lit(bull)).cast("double")
     a = a.withColumn("position", pos)
-    prev = F.lag("position").over(w)
+    prev = F.lag("position").over(Window.partitionBy(*group, SLICE).orderBy(POS))
     a = a.withColumn("turnover", F.coalesce(F.abs(F.col("position") - prev), F.col("position")))
     a = a.withColumn("cost", F.col("turnover") * F.lit(bps / 10_000.0))
-    a = a.withColumn("net_return", F.col("position") * F.col("fwd_return") - F.col("cost"))
-    a = a.withColumn("strategy_equity", F.product(F.lit(1.0) + F.coalesce("net_return", F.lit(0.0))).over(run))
-    a = a.withColumn("buy_hold_equity", F.product(F.lit(1.0) + F.coalesce("fwd_return", F.lit(0.0))).over(run))
-    return a.withColumn("strategy_drawdown", F.col("strategy_equity") / F.max("strategy_equity").over(run) - 1) \
-            .withColumn("buy_hold_drawdown", F.col("buy_hold_equity") / F.max("buy_hold_equity").over(run) - 1)
+    a = cut_lineage(without_halo(a.withColumn("net_return", F.col("position") * F.col("fwd_return") - F.col("cost"))), "study")
+    grown = {k: F.lit(1.0) + F.coalesce(r, F.lit(0.0)) for k, r in (("strategy", F.col("net_return")), ("buy_hold", F.col("fwd_return")))}
+    run = within(group)
+    a = with_before(a, group, {f"_{k}": multiplied(x) for k, x in grown.items()})
+    a = cut_lineage(a.select("*", *[(F.col(f"_{k}") * F.product(x).over(run)).alias(f"{k}_equity") for k, x in grown.items()]), "equity")
+    a = with_before(a, group, {f"_{k}_peak": largest(F.col(f"{k}_equity")) for k in grown})
+    peak = {k: F.greatest(F.col(f"_{k}_peak"), F.max(f"{k}_equity").over(run)) for k in grown}
+    a = a.select("*", *[(F.col(f"{k}_equity") / peak[k] - 1).alias(f"{k}_drawdown") for k in grown])
+    return a.drop(POS, SLICE, *[f"_{k}" for k in grown], *[f"_{k}_peak" for k in grown])
 
 
 def _annualised(r: str) -> tuple[Column, Column]:

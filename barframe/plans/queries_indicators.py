@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..operators.features import by_symbol
-from ..operators.indicators import bollinger_columns, rsi_flag, with_smoothed
+from ..functions.segments import positioned, with_halo, without_halo
+from ..operators.indicators import FRAME, bollinger_columns, rsi_flag, with_smoothed
 from ..sources.ticks import daily_bars
 from . import oracle as O
 from .catalog import _bars_ctes, bars_once, register, round_half_up, round_sig
@@ -20,7 +20,7 @@ MACD_DECIMALS = 3
 
 
 def _indicators(spark, sf):
-    return with_smoothed(by_symbol(daily_bars(spark, sf)))
+    return with_smoothed(daily_bars(spark, sf))
 
 
 def _sql(select: str) -> str:
@@ -89,14 +89,14 @@ def _gap_sql(select: str) -> str:
 @register("ema_gaps", _gap_sql(", ".join(O.rnd_sig(f"e{n}", f"ema{n}", LEVEL_DIGITS) for n in EMA_NS)))
 def q_ema_gaps(spark, sf):
     """W5 over a long run of nulls: the value is carried through it."""
-    df = with_smoothed(by_symbol(gapped_bars(spark, sf)))
+    df = with_smoothed(gapped_bars(spark, sf))
     return df.select("symbol", "date", *[round_sig(f"ema{n}", LEVEL_DIGITS).alias(f"ema{n}") for n in EMA_NS])
 
 
 @register("rsi_gaps", _gap_sql(O.rnd("rsi14", "rsi_14")))
 def q_rsi_gaps(spark, sf):
     """W6 + W7 over a long run of nulls."""
-    df = with_smoothed(by_symbol(gapped_bars(spark, sf)))
+    df = with_smoothed(gapped_bars(spark, sf))
     return df.select("symbol", "date", round_half_up("rsi14").alias("rsi_14"))
 
 
@@ -113,7 +113,8 @@ _SD = O.full("close", C.BOLLINGER_WINDOW, "stddev_pop")
        {O.rnd_sig(f'{_MID} - {C.BOLLINGER_STD} * {_SD}', 'bb_lower', LEVEL_DIGITS)} FROM bars"""))
 def q_bollinger(spark, sf):
     """Middle, upper and lower bands (20 rows, population std, 2 sigma)."""
-    b = bollinger_columns()
-    return daily_bars(spark, sf).select(
-        "symbol", "date", round_sig(b["bb_middle"], MIDDLE_DIGITS).alias("bb_middle"),
-        *[round_sig(b[c], LEVEL_DIGITS).alias(c) for c in ("bb_upper", "bb_lower")])
+    b = bollinger_columns(part=FRAME)
+    bars = with_halo(positioned(daily_bars(spark, sf)), "symbol", C.BOLLINGER_WINDOW - 1)
+    return without_halo(bars.select("symbol", "date", "_own", *[e.alias(k) for k, e in b.items()])).select(
+        "symbol", "date", round_sig("bb_middle", MIDDLE_DIGITS).alias("bb_middle"),
+        *[round_sig(c, LEVEL_DIGITS).alias(c) for c in ("bb_upper", "bb_lower")])
