@@ -21,6 +21,15 @@ def comparison_table(models: DataFrame, baselines: DataFrame) -> DataFrame:
     return m.unionByName(b).withColumn("is_baseline", F.col("model_key").startswith("baseline_"))
 
 
+def full_comparison(models: DataFrame, baselines: DataFrame) -> DataFrame:
+    """O5 / E9 with every column: model rows (``sweep.model_rows``) and baselines, whose fit columns are null."""
+    name = F.concat(F.lit("Baseline: "), F.translate(F.regexp_replace("model_key", "^baseline_", ""), "_", " "))
+    base = baselines.select("model_key", name.alias("model"), F.col("support").alias("observations"),
+                            *[F.col(c).alias(f"test_{c}") for c in ("accuracy", "precision", "recall", "f1")])
+    both = models.drop("grp").unionByName(base, allowMissingColumns=True)
+    return both.withColumn("is_baseline", F.col("model_key").startswith("baseline_"))
+
+
 def ordered(table: DataFrame) -> DataFrame:
     return table.orderBy(F.col("test_roc_auc").desc_nulls_last())
 

@@ -12,7 +12,6 @@ from ..operators import features as FE
 from ..operators import metrics as M
 from ..operators import models as ML
 from ..operators import splits as SP
-from ..operators.report import comparison_table
 from . import oracle as O
 from ..session import cut_lineage
 from .catalog import bars_once, market_for, register, rounded
@@ -49,26 +48,6 @@ for _k, _q in (("logistic_regression", "train_logistic"), ("random_forest", "tra
     register(_q, None)(_train_query(_k))
 
 
-def panel_scores(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """Test scores of every panel model and of the baselines; a model that can't be fitted is an error, not left out."""
-    ds, feats = panel_split(spark, sf)
-    trained, outcomes = ML.run_panel_experiment(ds, feats)
-    missing = [f"{o.model_key} {o.status}: {o.detail}" for o in outcomes if o.status != "trained"]
-    if missing:
-        raise RuntimeError("; ".join(missing))
-    models = None
-    for tm in trained.values():
-        models = tm.test_metrics if models is None else models.unionByName(tm.test_metrics)
-    base = ds.withColumn("panel", F.lit("panel")).withColumn("y", F.col(C.TARGET_COLUMN))
-    return models, M.scorecard(M.baseline_predictions(base, ["panel"]), ["model_key"], proba=None)
-
-
-@register("panel_comparison", None)
-def q_panel_comparison(spark, sf):
-    """M9 + O5 + E8 with all panel models and both baselines."""
-    return rounded(comparison_table(*panel_scores(spark, sf)))
-
-
 @register("per_symbol_experiment", None)
 def q_per_symbol_experiment(spark, sf):
     """A linear model per symbol (row split), test scores per symbol,
@@ -211,17 +190,3 @@ def q_feature_correlation(spark, sf):
     bars = bars_once(spark, sf)
     fm = cut_lineage(FE.feature_matrix(bars, market_for(bars)))
     return rounded(X.feature_correlation(fm, FEATURES))
-
-
-@register("cv_scores", None)
-def q_cv_scores(spark, sf):
-    """L4: expanding-window CV of the linear model on the panel's training sessions."""
-    ds, feats = panel_split(spark, sf)
-    return rounded(ML.cv_scores(ML.SPECS["logistic_regression"], ds.filter("split = 'train'"), feats))
-
-
-@register("verdict", None)
-def q_verdict(spark, sf):
-    """Best of the panel models against the strongest baseline."""
-    from ..operators.report import verdict
-    return rounded(verdict(*panel_scores(spark, sf)))

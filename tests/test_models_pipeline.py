@@ -104,25 +104,31 @@ def test_report_and_model_sinks(spark, panel):
     assert meta.model_key == "logistic_regression" and meta.tickers == ["A"]
 
 
-@pytest.mark.parametrize("broken", [None, "random_forest"])
+@pytest.mark.parametrize("broken", [None, "one class only in the fit rows"])
 def test_panel_queries_compare_all_panel_models(spark, monkeypatch, broken):
-    """The fits are stubs; every panel model is a candidate, and the tree with the best scores wins."""
+    """The fits are stubs; every panel model is a candidate, and the one with the best scores wins."""
     from types import SimpleNamespace
 
-    from barframe.plans import queries_models as Q
-
-    SF_SMALL = "/root/testdata/sf0.001"
-
-    def attempt(key, ds, feats, overrides=None):
-        if key == broken:
-            return ML.Outcome(key, "failed", "stub"), None
-        score = 0.9 if key == "gradient_boosting" else 0.5
-        row = spark.createDataFrame([(key, score, score, score, score, score)], "model_key string, accuracy double, precision double, recall double, f1 double, roc_auc double")
-        return ML.Outcome(key, "trained"), SimpleNamespace(test_metrics=row)
-    monkeypatch.setattr(ML, "attempt", attempt)
+    from barframe.operators import sweep as S
+    from barframe.plans import queries_sweep as Q
+
+    days = spark.range(40).select(F.lit("s").alias("symbol"), F.expr("date_add(date'2020-01-01', cast(id as int))").alias("date"), F.lit("panel").alias("panel"),
+                                  F.when(F.col("id") < 30, "train").otherwise("test").alias("split"), (F.col("id") % 2).cast("int").alias("target_up_next_day"), F.lit(0.1).alias("daily_return"))
+    found = SimpleNamespace(failures=spark.createDataFrame([("panel", broken)] if broken else [], "grp string, failure string"))
+    score = {k: 0.9 if k == "gradient_boosting" else 0.5 for k in S.PANEL_MODELS}
+    cards = spark.createDataFrame([("panel", k, S.NAMES[k], 10, *[v] * 7, v, 0.1, 5, 1.0) for k, v in score.items()],
+                                  "grp string, model_key string, model string, observations bigint, val_accuracy double, val_roc_auc double, test_accuracy double, test_precision double, test_recall double, "
+                                  "test_f1 double, test_roc_auc double, cv_roc_auc_mean double, cv_roc_auc_std double, n_scored bigint, fit_seconds double")
+    monkeypatch.setattr(Q, "panel_sweep", lambda spark, sf: (found, days, []))
+    monkeypatch.setattr(Q.S, "model_rows", lambda found: cards)
+    monkeypatch.setattr(Q, "_DONE", {})
     if broken:
         with pytest.raises(RuntimeError, match=broken):
-            Q.q_verdict(spark, SF_SMALL)
+            Q.q_verdict(spark, "x")
         return
-    assert {r.model_key for r in Q.q_panel_comparison(spark, SF_SMALL).collect() if not r.is_baseline} == set(ML.PANEL_MODELS)
-    assert Q.q_verdict(spark, SF_SMALL).first().best_model_key == "gradient_boosting"
+    rows = {r.model_key: r for r in Q.q_panel_comparison(spark, "x").collect()}
+    assert set(rows) == set(S.PANEL_MODELS) | {"baseline_majority_class", "baseline_momentum_persistence"}
+    assert rows["baseline_majority_class"].model == "Baseline: majority class" and rows["baseline_majority_class"].val_accuracy is None
+    assert rows["gradient_boosting"].cv_roc_auc_mean == 0.9 and not rows["gradient_boosting"].is_baseline
+    verdict = Q.q_verdict(spark, "x").first()
+    assert verdict.best_model_key == "gradient_boosting" and verdict.beats_baselines
