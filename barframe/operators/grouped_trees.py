@@ -9,6 +9,10 @@ forest takes one pass a level. Boosting adds a tree per round, for all groups, f
 models at once; the margins of all rows are written every ``KEEP`` rounds, and in between
 a pass adds the few trees since then.
 
+A (group, fit) of one block (``grouped.BLOCK_ROWS`` rows at most, about) has all its rows in
+one place already: the same steps run there without an exchange, so the passes above are
+only for groups of several blocks. Both ways give the same trees.
+
 A split's worth is A_l**2 / (B_l + l2) + A_r**2 / (B_r + l2) - A**2 / (B + l2): with class
 weights as B this is the Gini gain of a forest, with counts the gain in squared error of
 gradient boosting, with second derivatives that of regularised boosting.
@@ -26,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..functions.segments import dealt
 from ..session import cut_lineage, discard
 from .grouped import HELD, SCORE, floats, longs, scored_rows
 
@@ -131,7 +136,7 @@ def binned(blocks: DataFrame, edges: DataFrame) -> DataFrame:
                                                      pa.schema([("grp", pa.string()), ("fit", pa.int32()), ("block", pa.int64()), ("n", pa.int32()), *((c, pa.binary()) for c in ("codes", "y", "inside", "scored", "key")),
                                                                 ("symbols", pa.list_(pa.string())), ("dates", pa.list_(pa.int64()))]))
     models = edges.groupBy("grp").agg(F.collect_list(F.struct("fit", "edges")).alias("models"))
-    return cut_lineage(blocks.join(models, "grp").mapInArrow(run, BINNED), "binned")
+    return cut_lineage(dealt(blocks.join(models, "grp").mapInArrow(run, BINNED), "grp", "fit", "block"), "binned")
 
 
 # ---------------------------------------------------------------------------
@@ -233,43 +238,58 @@ def leaf(spec: Trees, s: np.ndarray) -> float:
     return float(spec.rate * s[0] / under) if under > 0 else 0.0
 
 
+def split_of(spec: Trees, d: int, key: tuple, hist: np.ndarray) -> tuple:
+    """The ``SPLIT`` row of a node, key (grp, fit, model, tree, node), from its histogram; feature -1 without a split."""
+    f, b, gain = best_split(spec, hist)
+    total = hist[0].sum(0)
+    if f < 0:
+        return (*key, -1, 0, 0.0, leaf(spec, total), None, None)
+    low = hist[f, :b + 1].sum(0)
+    feature = int(drawn_features(spec, key[3], np.array([key[4]]), d)[0, f])
+    return (*key, feature, b, gain, leaf(spec, total), leaf(spec, low), leaf(spec, total - low))
+
+
+SPLIT_NAMES = ["grp", "fit", "model", "tree", "node", "feature", "bin", "gain", "value", "left", "right"]
+
+
+def split_batch(rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows)) if rows else [[]] * 11
+    types = [pa.string()] + [pa.int32()] * 6 + [pa.float64()] * 4
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=SPLIT_NAMES)
+
+
+def grown(spec: Trees, grp: str, fit: int, tree: int, codes: np.ndarray, stats: np.ndarray, rows: np.ndarray) -> list[dict]:
+    """``SPLIT`` rows of a tree whose rows are all here; ``rows`` masks those of its sample."""
+    out: list[dict] = []
+    for level in range(spec.depth):
+        node = np.where(rows, Tree(out, spec.depth).nodes(codes, level), 0)
+        nodes, hist = node_hists(spec, tree, level, codes, node, stats)
+        if not len(nodes):
+            break
+        out += [dict(zip(SPLIT_NAMES, split_of(spec, codes.shape[1], (grp, fit, spec.number, tree, n), h))) for n, h in zip(nodes.tolist(), hist)]
+    return out
+
+
 def _splits(specs: dict[int, Trees], d: int):
     """Histogram rows in order of their keys -> the split of each node."""
-    def made(key: tuple, hist: np.ndarray) -> tuple:
-        grp, fit, model, tree, node = key
-        spec = specs[model]
-        f, b, gain = best_split(spec, hist)
-        total = hist[0].sum(0)
-        if f < 0:
-            return (*key, -1, 0, 0.0, leaf(spec, total), None, None)
-        low = hist[f, :b + 1].sum(0)
-        feature = int(drawn_features(spec, tree, np.array([node]), d)[0, f])
-        return (*key, feature, b, gain, leaf(spec, total), leaf(spec, low), leaf(spec, total - low))
-
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        cols = list(zip(*rows)) if rows else [[]] * 11
-        types = [pa.string()] + [pa.int32()] * 6 + [pa.float64()] * 4
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                          names=["grp", "fit", "model", "tree", "node", "feature", "bin", "gain", "value", "left", "right"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, hist, out = None, None, []
         for batch in batches:
-            keys = zip(*(batch.column(c).to_pylist() for c in ("grp", "fit", "model", "tree", "node")))
+            keys = zip(*(batch.column(c).to_pylist() for c in KEYS))
             for k, raw in zip(keys, batch.column("hist")):
                 h = np.frombuffer(raw.as_buffer(), np.float64).reshape(-1, BINS, 3)
                 if k == key:
                     hist = hist + h
                     continue
                 if key is not None:
-                    out.append(made(key, hist))
+                    out.append(split_of(specs[key[2]], d, key, hist))
                 key, hist = k, h
             if len(out) > 5000:
-                yield batch_of(out)
+                yield split_batch(out)
                 out = []
         if key is not None:
-            out.append(made(key, hist))
-        yield batch_of(out)
+            out.append(split_of(specs[key[2]], d, key, hist))
+        yield split_batch(out)
     return run
 
 
@@ -336,23 +356,58 @@ def _sample_shares(spec: Trees):
     return run
 
 
+def _in_place_forest(spec: Trees):
+    """Blocks that are a whole (group, fit), with the ``lot`` of trees to grow -> ``SPLIT`` rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in batch.to_pylist():
+                inside = np.frombuffer(b["inside"], np.uint8) == 1
+                codes, y, key = np.frombuffer(b["codes"], np.uint8).reshape(b["n"], -1)[inside], np.frombuffer(b["y"], np.int8)[inside].astype(float), longs(b["key"])[inside]
+                out = []
+                for t in range(b["lot"], spec.trees, b["lots"]):
+                    counts = poisson(uniform(key, spec.number, t, 3))
+                    if counts.any():
+                        out += grown(spec, b["grp"], b["fit"], t, codes, forest_stats(y, counts, (counts * y).sum() / counts.sum()), np.ones(len(y), bool))
+                yield split_batch([tuple(r[n] for n in SPLIT_NAMES) for r in out])
+    return run
+
+
+def one_block(codes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """codes of the (group, fit)s of one block, and of those of several."""
+    single = cut_lineage(codes.groupBy("grp", "fit").agg(F.count(F.lit(1)).alias("k")).where("k = 1").select("grp", "fit"), "single")
+    return codes.join(single, ["grp", "fit"], "left_semi"), codes.join(single, ["grp", "fit"], "left_anti")
+
+
+#: Lots that a forest's trees are dealt into where they grow in place.
+LOTS = 8
+
+
 def fit_forest(codes: DataFrame, d: int, spec: Trees = FOREST) -> DataFrame:
-    """``SPLIT`` rows of the forest of every (group, fit): depth passes for each lot of trees."""
+    """``SPLIT`` rows of the forest of every (group, fit): depth passes for each lot of trees, or in place."""
+    single, several = one_block(codes.select("grp", "fit", "block", "n", "codes", "y", "inside", "key"))
+    lots = single.select("*", F.explode(F.sequence(F.lit(0), F.lit(LOTS - 1))).alias("lot"), F.lit(LOTS).alias("lots"))
+    whole = cut_lineage(dealt(lots, "grp", "fit", "lot").mapInArrow(_in_place_forest(spec), SPLIT), "splits")
+    if several.isEmpty():
+        return whole
+    return whole.unionByName(_fit_forest_by_passes(several, d, spec))
+
+
+def _fit_forest_by_passes(codes: DataFrame, d: int, spec: Trees) -> DataFrame:
     spark = codes.sparkSession
-    small = codes.select("grp", "fit", "n", "y", "inside", "key")
-    counts = small.mapInArrow(_sample_shares(spec), "grp string, fit int, tree int, n double, up double").groupBy("grp", "fit", "tree").agg(F.sum("n").alias("n"), F.sum("up").alias("up"))
+    counts = codes.select("grp", "fit", "n", "y", "inside", "key").mapInArrow(_sample_shares(spec), "grp string, fit int, tree int, n double, up double")
+    counts = counts.groupBy("grp", "fit", "tree").agg(F.sum("n").alias("n"), F.sum("up").alias("up"))
     shares = cut_lineage(counts.groupBy("grp", "fit").agg(F.collect_list("tree").alias("trees"), F.collect_list(F.coalesce(F.try_divide("up", "n"), F.lit(0.0))).alias("up")), "shares")
-    rows = codes.select("grp", "fit", "n", "codes", "y", "inside", "key").join(shares, ["grp", "fit"])
-    grown = []
+    rows = codes.join(shares, ["grp", "fit"])
+    made = []
     for first in range(0, spec.trees, TREES_AT_ONCE):
         lot: list[DataFrame] = []
         for level in range(spec.depth):
             known = _known(reduce(DataFrame.unionByName, lot).where("feature >= 0") if lot else None, spark)
             hists = rows.join(known, ["grp", "fit"], "left").mapInArrow(_forest_hists(spec, level, first, min(first + TREES_AT_ONCE, spec.trees)), HIST)
             lot.append(cut_lineage(split_table(hists, [spec], d), "splits"))
-        grown += lot
+        made += lot
     discard(shares)
-    return reduce(DataFrame.unionByName, grown)
+    return reduce(DataFrame.unionByName, made)
 
 
 def score_forest(codes: DataFrame, splits: DataFrame, spec: Trees = FOREST) -> DataFrame:
@@ -450,26 +505,61 @@ def fit_boosted(codes: DataFrame, d: int, specs: list[Trees]) -> tuple[DataFrame
     shares = (codes.select("grp", "fit", "y", "inside").mapInArrow(count, "grp string, fit int, n bigint, up bigint").groupBy("grp", "fit")
               .agg((F.sum("up") / F.sum("n")).alias("share")))
     margins = cut_lineage(codes.select("grp", "fit", "block", "n").join(shares, ["grp", "fit"]).mapInArrow(zero, MARGIN), "margins")
-    rows = codes.select("grp", "fit", "block", "n", "codes", "y", "inside", "key")
+    single, several = one_block(codes.select("grp", "fit", "block", "n", "codes", "y", "inside", "key"))
+    here = dealt(single.join(margins, ["grp", "fit", "block"]), "grp", "fit", "model", "block")
+    done = cut_lineage(here.mapInArrow(_in_place_boosted(by_number), SPLIT + ", block bigint, margin binary"), "boosted")
+    splits, ends = done.where("tree IS NOT NULL").drop("block", "margin"), done.where("tree IS NULL").select("grp", "fit", "model", "block", "margin")
+    if several.isEmpty():
+        return splits, ends
+    more, late = _fit_boosted_by_passes(several, d, by_number, margins.join(several.select("grp", "fit").distinct(), ["grp", "fit"], "left_semi"))
+    return splits.unionByName(more), ends.unionByName(late)
+
+
+def _in_place_boosted(specs: dict[int, Trees]):
+    """Blocks that are a whole (group, fit), with a model's prior margins -> ``SPLIT`` rows, and a last row with the margins at the end."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in batch.to_pylist():
+                spec, inside = specs[b["model"]], np.frombuffer(b["inside"], np.uint8) == 1
+                every = np.frombuffer(b["codes"], np.uint8).reshape(b["n"], -1)
+                codes, y, key = every[inside], np.frombuffer(b["y"], np.int8)[inside].astype(float), longs(b["key"])[inside]
+                margin, out = np.frombuffer(b["margin"], np.float64).copy(), []
+                for now in range(spec.trees):
+                    sample = (uniform(key, spec.number, now, 5) < spec.rows).astype(float)
+                    rows = grown(spec, b["grp"], b["fit"], now, codes, boosted_stats(spec, y, margin[inside], sample), sample > 0)
+                    tree = Tree(rows, spec.depth)
+                    margin += tree.value[tree.nodes(every, spec.depth)]
+                    out += [tuple(r[n] for n in SPLIT_NAMES) for r in rows]
+                found = split_batch(out)
+                found = found.append_column("block", pa.nulls(found.num_rows, pa.int64())).append_column("margin", pa.nulls(found.num_rows, pa.binary()))
+                yield found
+                last = split_batch([(b["grp"], b["fit"], b["model"], *[None] * 8)])
+                yield last.append_column("block", pa.array([b["block"]], pa.int64())).append_column("margin", pa.array([margin.tobytes()], pa.binary()))
+    return run
+
+
+def _fit_boosted_by_passes(rows: DataFrame, d: int, specs: dict[int, Trees], margins: DataFrame) -> tuple[DataFrame, DataFrame]:
+    spark, rounds = rows.sparkSession, max(s.trees for s in specs.values())
+    margins = cut_lineage(margins, "margins")
     written: list[DataFrame] = []
     since: list[DataFrame] = []
-    for now in range(max(s.trees for s in specs)):
-        active = {n: s for n, s in by_number.items() if now < s.trees}
+    for now in range(rounds):
+        active = {n: s for n, s in specs.items() if now < s.trees}
         done = _known(reduce(DataFrame.unionByName, since) if since else None, spark).withColumnRenamed("splits", "done")
         at = rows.join(margins.where(F.col("model").isin(list(active))), ["grp", "fit", "block"]).join(done, ["grp", "fit"], "left")
-        growing = None
+        levels: list[DataFrame] = []
         for level in range(max(s.depth for s in active.values())):
-            known = _known(growing, spark).withColumnRenamed("splits", "growing")
-            found = split_table(at.join(known, ["grp", "fit"], "left").mapInArrow(_boosted_hists(active, level, now), HIST), list(active.values()), d)
-            growing = found if growing is None else growing.unionByName(found)
-        since.append(cut_lineage(growing, "round"))
-        if len(since) == KEEP or now + 1 == max(s.trees for s in specs):
+            known = _known(reduce(DataFrame.unionByName, levels) if levels else None, spark).withColumnRenamed("splits", "growing")
+            hists = at.join(known, ["grp", "fit"], "left").mapInArrow(_boosted_hists(active, level, now), HIST)
+            levels.append(cut_lineage(split_table(hists, list(active.values()), d), "level"))
+        since += levels
+        if (now + 1) % KEEP == 0 or now + 1 == rounds:
             trees = cut_lineage(reduce(DataFrame.unionByName, since).coalesce(1), "trees")
             for t in since:
                 discard(t)
             written.append(trees)
             done = _known(trees, spark).withColumnRenamed("splits", "done")
-            old, margins = margins, cut_lineage(rows.join(margins, ["grp", "fit", "block"]).join(done, ["grp", "fit"], "left").mapInArrow(_written_margins(by_number), MARGIN), "margins")
+            old, margins = margins, cut_lineage(rows.join(margins, ["grp", "fit", "block"]).join(done, ["grp", "fit"], "left").mapInArrow(_written_margins(specs), MARGIN), "margins")
             discard(old)
             since = []
     return reduce(DataFrame.unionByName, written), margins

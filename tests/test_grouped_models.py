@@ -70,6 +70,7 @@ def test_histogram_trees_equal_brute_force(spec):
             stats = T.forest_stats(y, counts, (counts * y).sum() / counts.sum())
         rows = []
         split = T._splits({spec.number: spec}, x.shape[1])
+        in_place = T.grown(spec, "s", 0, tree, codes, stats, np.ones(len(y), bool))
         for level in range(spec.depth):
             node = T.Tree(rows, spec.depth).nodes(codes, level)
             nodes, hist = T.node_hists(spec, tree, level, codes, node, stats)
@@ -80,11 +81,12 @@ def test_histogram_trees_equal_brute_force(spec):
             rows += [r for b in split(iter(sorted(held.out(), key=str))) for r in b.to_pylist()]
         want, leaves = brute_tree(spec, tree, codes, stats)
         assert {r["node"]: (r["feature"], r["bin"]) for r in rows if r["feature"] >= 0} == want
-        grown = T.Tree(rows, spec.depth)
-        end = grown.nodes(codes, spec.depth)
-        for n, v in leaves.items():
-            assert grown.value[n] == pytest.approx(v, abs=1e-9)
-        assert set(end.tolist()) <= set(leaves)
+        for tree_rows in (rows, in_place):
+            made = T.Tree(tree_rows, spec.depth)
+            assert {r["node"]: (r["feature"], r["bin"]) for r in tree_rows if r["feature"] >= 0} == want
+            for n, v in leaves.items():
+                assert made.value[n] == pytest.approx(v, abs=1e-9)
+            assert set(made.nodes(codes, spec.depth).tolist()) <= set(leaves)
 
 
 def test_draws_are_fair():
@@ -139,11 +141,11 @@ def split_rows(spark, symbols, n=260):
     return spark.createDataFrame(out, "symbol string, date date, split string, target_up_next_day int, " + ", ".join(f"{f} double" for f in FEATS))
 
 
-@pytest.fixture(scope="module")
-def swept(spark):
+@pytest.fixture(scope="module", params=[70, 16384], ids=["several blocks", "one block"])
+def swept(spark, request):
     from barframe.operators import sweep as S
     rows = split_rows(spark, ["A", "B", "C", "FLAT"])
-    old, G.BLOCK_ROWS, T.KEEP, T.TREES_AT_ONCE = (G.BLOCK_ROWS, T.KEEP, T.TREES_AT_ONCE), 70, 2, 4
+    old, G.BLOCK_ROWS, T.KEEP, T.TREES_AT_ONCE = (G.BLOCK_ROWS, T.KEEP, T.TREES_AT_ONCE), request.param, 2, 4
     try:
         yield rows, S.sweep(rows, FEATS, n_splits=2, **SMALL)
     finally:
@@ -188,7 +190,7 @@ def test_ensembles_equal_brute_force(swept):
     rows, found = swept
     masked = G.with_masks(rows.where("symbol IN ('A', 'B')"), "symbol", 2)
     blocks = G.feature_blocks(masked, FEATS, "symbol")
-    assert blocks.count() > 4
+    assert (blocks.count() > 4) == (G.BLOCK_ROWS < 100)
     codes = T.binned(blocks, T.bin_edges(masked, FEATS, "symbol", [G.FINAL])).collect()
     keys = {s.number: s.key for s in (SMALL["forest"], *SMALL["boosted"])}
     got = {(r.grp, r.model_key, r.symbol, str(r.date)): r.p_up for r in found.predictions.where(F.col("fit") == G.FINAL).collect()}
