@@ -4,18 +4,21 @@ Items are sets of 64-bit hashes with a minwise sketch. Candidate generators put
 items into nodes (groups that may hold similar items); here nodes are worked
 off without emitting all pairs of a group:
 
-1. Star: every item of a node is paired with the node's leader (the member of
-   least hashed id, so nodes with the same members agree on it). Pairs that the
-   sketches don't rule out are verified on the full sets; links are merged into
-   components.
+1. Star: every item of a node is held against the node's leader (the member of
+   least hashed id, so nodes with the same members agree on it) by their codes, four bits
+   of each minwise value. Of the leaders that its code allows, an item is verified
+   against the one that agrees best, on the full sets; links are merged into components.
 2. A node whose items all lie in one component is done. In a small node the
    pairs of items from different components are compared. A large one is
-   branched further by the generator, and the same steps follow.
-
-A sketch rules a pair out only if its agreement lies ``SIGMAS`` standard
-deviations below the least similarity, which a linked pair reaches with a
-chance of at most 3e-6. Two items already in one component need no further link,
-so the components are those of all links found.
+   branched further, and the same steps follow: its items go to the children named by
+   one place of the sketch and its value there, and with a chance of a half to
+   those of a second place. So a node never ends without children, items of a similarity
+   below 2 / 3 thin out, and at 0.75 a pair keeps 1.125 common children on average.
+
+A code rules a pair out only if its agreement lies ``SIGMAS`` standard deviations
+below that of the least similarity, which a linked pair reaches with a chance of
+about 3e-6. Two items already in one component need no further link, so the
+components are those of all links found.
 """
 
 from __future__ import annotations
@@ -28,24 +31,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barframe.llm.common import chunks, materialise
+from barframe.session import discard
 
 #: Minwise values of a sketch, 32 bits each.
 SKETCH = 128
 SIGMAS = 4.5
-#: Places of the sketch that a tree's root branches on, on average.
-BRANCHES = 4 / 3
-#: Places that every node below the root branches on. With s = 0.75 a shared node
-#: loses a pair at any depth with a chance q = (1 - s + s * q) ** 3, about 0.018.
-PLACES = 3
+#: Chance that a node below the root branches on a second place.
+SECOND = 1 / 2
 #: Largest node whose pairs are compared one by one.
 SMALL_NODE = 256
 #: Bytes of text handled at a time.
 CHUNK = 1 << 20
-#: Odd multipliers and offsets of the minwise hash functions, from a rule.
-MULT = (np.arange(1, SKETCH + 1, dtype=np.uint32) * np.uint32(0x9E3779B1)) | np.uint32(1)
-SHIFT = np.arange(1, SKETCH + 1, dtype=np.uint32) * np.uint32(0x85EBCA77)
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """Scrambles 64-bit values (a bijection)."""
     with np.errstate(over="ignore"):
@@ -54,6 +50,9 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+#: What tells the minwise hash functions apart, from a rule.
+SEEDS = (mix(np.arange(1, SKETCH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(16)).astype(np.uint32)
+
 _RADIX = np.uint64(0x5851F42D4C957F2D)
 _RADIX_INV = np.uint64(pow(0x5851F42D4C957F2D, -1, 1 << 64))
 _GAP = np.zeros(256, bool)
@@ -102,13 +101,52 @@ def shingle_sets(raws: list[bytes | None], k: int = 5) -> list[np.ndarray]:
     return out
 
 
+def halves(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two 32-bit halves of hashes, which the minwise functions take in turn."""
+    return s.astype(np.uint32), (s >> np.uint64(32)).astype(np.uint32)
+
+
+def minwise(parts: tuple[np.ndarray, np.ndarray], j: int) -> np.ndarray:
+    """The j-th hash function of hashes in halves: each scrambles its own seeded copy, so the functions don't depend on one another."""
+    x = parts[j & 1] ^ SEEDS[j]
+    with np.errstate(over="ignore"):
+        x ^= x >> np.uint32(16)
+        x *= np.uint32(0x85EBCA6B)
+        x ^= x >> np.uint32(13)
+        x *= np.uint32(0xC2B2AE35)
+    x ^= x >> np.uint32(16)
+    return x
+
+
 def sketch(s: np.ndarray) -> np.ndarray:
     """Minwise values of a non-empty set."""
-    out, low = np.empty(SKETCH, np.uint32), s.astype(np.uint32)
-    with np.errstate(over="ignore"):
-        for j in range(SKETCH):
-            out[j] = (low * MULT[j] + SHIFT[j]).min()
-    return out
+    parts = halves(s)
+    return np.array([minwise(parts, j).min() for j in range(SKETCH)], np.uint32)
+
+
+def code(sketches: np.ndarray) -> np.ndarray:
+    """Four bits of each minwise value, (n, SKETCH) -> (n, SKETCH / 2) bytes."""
+    low = (sketches & np.uint32(15)).astype(np.uint8)
+    return low[:, ::2] | low[:, 1::2] << 4
+
+
+#: Number of equal halves of two bytes, by their xor.
+EQUAL = np.array([(b & 15 == 0) + (b >> 4 == 0) for b in range(256)], np.uint8)
+
+
+def alike(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Share of places at which codes agree, row by row."""
+    return EQUAL[x ^ y].sum(1, dtype=np.int64) / SKETCH
+
+
+def paths(sketches: np.ndarray, trees: int, depth: int) -> np.ndarray:
+    """(n, trees) nodes: each tree starts with a path of ``depth`` places of its own."""
+    order = np.argsort(mix(np.arange(SKETCH, dtype=np.uint64) + np.uint64(99)))
+    places = order[:trees * depth].reshape(trees, depth)
+    node = np.tile(mix(np.arange(1, trees + 1, dtype=np.uint64)), (len(sketches), 1))
+    for i in range(depth):
+        node = mix(node ^ mix(sketches[:, places[:, i]].astype(np.uint64) + np.uint64(i + 1 << 32)))
+    return node
 
 
 def fingerprint(s: np.ndarray) -> bytes:
@@ -118,11 +156,16 @@ def fingerprint(s: np.ndarray) -> bytes:
 
 
 def chosen(node: np.ndarray, level: int) -> np.ndarray:
-    """Mask (nodes x places) of the ``PLACES`` places that a node branches on; the same for all items of the node."""
+    """Mask (nodes x places) of the places that a node branches on, one or two; the same for all items of the node."""
     with np.errstate(over="ignore"):
-        draw = mix(node[:, None] ^ (np.arange(SKETCH, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(level + 1)))
-    out = np.zeros(draw.shape, bool)
-    np.put_along_axis(out, np.argpartition(draw, PLACES, axis=1)[:, :PLACES], True, axis=1)
+        draw = mix(node ^ mix(np.full(1, level + 1, np.uint64)))
+    again = mix(draw ^ np.uint64(0x2545F4914F6CDD1D))
+    out = np.zeros((len(node), SKETCH), bool)
+    first = (draw % np.uint64(SKETCH)).astype(np.int64)
+    out[np.arange(len(node)), first] = True
+    two = np.flatnonzero(again < np.uint64(int(SECOND * 2 ** 64)))
+    step = 1 + ((again[two] >> np.uint64(8)) % np.uint64(SKETCH - 1)).astype(np.int64)
+    out[two, (first[two] + step) % SKETCH] = True
     return out
 
 
@@ -143,34 +186,33 @@ def branched(rows: DataFrame, level: int) -> DataFrame:
 
 
 def least_agreement(similarity: float) -> float:
-    """Share of equal minwise values below which a pair is ruled out."""
-    return similarity - SIGMAS * (similarity * (1 - similarity) / SKETCH) ** 0.5
+    """Share of agreeing places of two codes below which a pair is ruled out."""
+    p = similarity + (1 - similarity) / 16
+    return p - SIGMAS * (p * (1 - p) / SKETCH) ** 0.5
 
 
 def agreement(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
-    """(a, b, sa, sb) -> the pairs (a, b) that their sketches don't rule out."""
+    """(item, leader, x, y) -> (item, leader, agree) of the pairs that their codes don't rule out."""
     for batch in batches:
-        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, SKETCH) for c in ("sa", "sb"))
-        keep = (a == b).mean(1) >= least
-        yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep))], names=["a", "b"])
+        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SKETCH // 2) for c in ("x", "y"))
+        agree = alike(x, y)
+        keep = pa.array(agree >= least)
+        yield pa.RecordBatch.from_arrays([batch.column("item").filter(keep), batch.column("leader").filter(keep), pa.array(agree).filter(keep)], names=["item", "leader", "agree"])
 
 
-def star_pairs(nodes: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
-    """Distinct (a, b): items and the leaders of their nodes, if their sketches allow a link. nodes: (node, item, leader)."""
-    pairs = (nodes.where(F.col("item") != F.col("leader"))
-             .select(F.least("item", "leader").alias("a"), F.greatest("item", "leader").alias("b")).distinct())
-    return ruled(pairs, sketches, similarity)
-
-
-def ruled(pairs: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
+def star_pairs(nodes: DataFrame, codes: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): of each item b the leader a that agrees best, if its code allows a link. nodes: (node, item, leader)."""
     least = least_agreement(similarity)
-    both = (pairs.join(sketches.select(F.col("item").alias("a"), F.col("sketch").alias("sa")), "a")
-            .join(sketches.select(F.col("item").alias("b"), F.col("sketch").alias("sb")), "b"))
-    return both.select("a", "b", "sa", "sb").mapInArrow(lambda x: agreement(x, least), "a bigint, b bigint")
+    pairs = nodes.where(F.col("item") != F.col("leader")).select("item", "leader").distinct()
+    both = (pairs.join(codes.select("item", F.col("code").alias("x")), "item")
+            .join(codes.select(F.col("item").alias("leader"), F.col("code").alias("y")), "leader"))
+    agreeing = both.select("item", "leader", "x", "y").mapInArrow(lambda x: agreement(x, least), "item bigint, leader bigint, agree double")
+    best = agreeing.groupBy("item").agg(F.min(F.struct((-F.col("agree")).alias("apart"), "leader")).alias("best"))
+    return best.select(F.col("best.leader").alias("a"), F.col("item").alias("b"))
 
 
-def small_node_pairs(nodes: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
-    """Distinct (a, b) of different components within small nodes, if their sketches allow a link.
+def small_node_pairs(nodes: DataFrame, codes: DataFrame, similarity: float) -> DataFrame:
+    """Distinct (a, b) of different components within small nodes, if their codes allow a link.
 
     nodes: (node, item, comp), of about ``SMALL_NODE`` items each. Nodes lie side by
     side in sorted partitions; rows are compared with those 1, 2, ... places on."""
@@ -183,7 +225,7 @@ def small_node_pairs(nodes: DataFrame, sketches: DataFrame, similarity: float) -
             if not same.any():
                 break
             i = np.flatnonzero(same & (comp[:-d] != comp[d:]))
-            i = i[(s[i] == s[i + d]).mean(1) >= least]
+            i = i[alike(s[i], s[i + d]) >= least]
             out.append(np.stack((item[i], item[i + d])))
         x, y = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
@@ -194,7 +236,7 @@ def small_node_pairs(nodes: DataFrame, sketches: DataFrame, similarity: float) -
             if not batch.num_rows:
                 continue
             new = [*(batch.column(c).to_numpy() for c in ("node", "item", "comp")),
-                   np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint32).reshape(-1, SKETCH)]
+                   np.frombuffer(b"".join(batch.column("code").to_pylist()), np.uint8).reshape(-1, SKETCH // 2)]
             held = new if held is None else [np.concatenate(x) for x in zip(held, new)]
             cut = np.searchsorted(held[0], held[0][-1])  # the last node may go on
             if cut:
@@ -203,32 +245,48 @@ def small_node_pairs(nodes: DataFrame, sketches: DataFrame, similarity: float) -
         if held is not None:
             yield compare(*held)
 
-    rows = nodes.select("node", "item", "comp").join(sketches.select("item", "sketch"), "item")
+    rows = nodes.select("node", "item", "comp").join(codes.select("item", "code"), "item")
     return rows.repartition("node").sortWithinPartitions("node").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def _similar(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows in order of (a, part), the text of a (b is null) before those of its partners -> the linked (a, b)."""
+    key, head = None, None
     for whole in batches:
-        for batch in chunks(iter([whole]), "ta", CHUNK):
-            keep = []
-            xs, ys = (shingle_sets([t.encode("utf-8", "surrogatepass") for t in batch.column(c).to_pylist()]) for c in ("ta", "tb"))
-            for x, y in zip(xs, ys):
-                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)) or not len(x):
-                    keep.append(False)
+        for batch in chunks(iter([whole]), "text", CHUNK):
+            left, right = [], []
+            sets = shingle_sets([t.encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()])
+            for a, part, b, x in zip(batch.column("a").to_pylist(), batch.column("part").to_pylist(), batch.column("b").to_pylist(), sets):
+                if b is None:
+                    key, head = (a, part), x
+                    continue
+                if (a, part) != key or not len(x) or 100 * min(len(x), len(head)) < percent * max(len(x), len(head)):
                     continue
-                common = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            keep = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
+                common = int((x[np.minimum(np.searchsorted(x, head), len(x) - 1)] == head).sum())
+                if 100 * common >= percent * (len(x) + len(head) - common):
+                    left.append(a)
+                    right.append(b)
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+
+
+#: Partners that a text meets in one place.
+PARTNERS = 1000
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full shingle sets have 100 * |common| >= percent * |union|.
 
-    texts: (item, text). Texts travel, not sets: they are smaller and compress."""
-    both = (pairs.join(texts.select(F.col("item").alias("a"), F.col("text").alias("ta")), "a")
-            .join(texts.select(F.col("item").alias("b"), F.col("text").alias("tb")), "b"))
-    return both.select("a", "b", "ta", "tb").mapInArrow(lambda x: _similar(x, percent), "a bigint, b bigint").distinct()
+    pairs: (a, b), written; texts: (item, text). Texts travel, not sets: they are smaller and
+    compress. The text of a travels once for up to ``PARTNERS`` of its partners, so an item
+    with many is dealt to several places."""
+    n = F.col("n")
+    counts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(PARTNERS)).alias("n"))
+    place = F.when(n > 1, F.pmod(F.xxhash64("b"), n)).otherwise(F.lit(0)).cast("int").alias("part")
+    heads = (counts.select("a", F.explode(F.sequence(F.lit(0), n.cast("int") - 1)).alias("part"))
+             .join(texts.select(F.col("item").alias("a"), "text"), "a").select("a", "part", F.lit(None).cast("bigint").alias("b"), "text"))
+    partners = (pairs.join(counts, "a").select("a", place, "b").join(texts.select(F.col("item").alias("b"), "text"), "b").select("a", "part", "b", "text"))
+    together = heads.unionByName(partners).repartition("a", "part").sortWithinPartitions("a", "part", "b")
+    return together.mapInArrow(lambda x: _similar(x, percent), "a bigint, b bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -247,7 +305,9 @@ def components(edges: DataFrame) -> DataFrame:
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         low = down.groupBy("a").agg(F.min("b").alias("m"))
         stars = down.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x"))
-        e = materialise(stars.select("x.a", "x.b").where("a <> b").distinct(), "edges")
+        old, e = e, materialise(stars.select("x.a", "x.b").where("a <> b").distinct(), "edges")
+        discard(old)
+        discard(least)
         # done when every item hangs on one root and no root hangs on another
         many = e.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a")
         hung = e.join(e.select(F.col("a").alias("b")), "b", "left_semi").select("a")
@@ -258,9 +318,12 @@ def components(edges: DataFrame) -> DataFrame:
 
 def merged(comps: DataFrame | None, edges: DataFrame) -> DataFrame:
     """Components after more edges: (item, comp) for every item on any edge so far."""
-    if comps is not None:
-        edges = edges.unionByName(comps.where("item <> comp").select(F.col("item").alias("a"), F.col("comp").alias("b")))
-    return materialise(components(edges), "comps")
+    if comps is None:
+        return materialise(components(edges), "comps")
+    edges = edges.unionByName(comps.where("item <> comp").select(F.col("item").alias("a"), F.col("comp").alias("b")))
+    found = materialise(components(edges), "comps")
+    discard(comps)
+    return found
 
 
 def coloured(nodes: DataFrame, comps: DataFrame | None) -> DataFrame:
@@ -283,36 +346,38 @@ def coloured(nodes: DataFrame, comps: DataFrame | None) -> DataFrame:
 def link(items: DataFrame, nodes: DataFrame, branch, texts_of, percent: int, levels: int) -> DataFrame | None:
     """Components, (item, comp), of the items on a link; None if no two items share a node.
 
-    items: (item, sketch), written. nodes: (node, item) of the first level.
+    items: (item, sketch, code), written. nodes: (node, item) of the first level.
     branch(node rows with sketch, level): (node, item) of their children.
-    texts_of(ids): (item, text) of the wanted items."""
+    texts_of(ids): (item, text) of the wanted items. Tables are deleted when their
+    successors are written."""
     similarity = percent / 100
     nodes = materialise(coloured(nodes, None), "nodes")
     if nodes.isEmpty():
         return None
-    own = materialise(items.join(nodes.select("item").distinct(), "item", "left_semi"), "sketches")
-    pairs = star_pairs(nodes, own, similarity)
-    comps = texts = None
+    codes = materialise(items.join(nodes.select("item").distinct(), "item", "left_semi").select("item", "code"), "codes")
+    pairs = star_pairs(nodes, codes, similarity)
+    comps = None
     for level in range(1, levels + 2):
         pairs = materialise(pairs, "pairs")
         if not pairs.isEmpty():
-            ids = pairs.select(F.explode(F.array("a", "b")).alias("item")).distinct()
-            if texts is not None:
-                ids = ids.join(texts.select("item"), "item", "left_anti")
-            fresh = materialise(texts_of(materialise(ids, "wanted")), "texts")
-            texts = fresh if texts is None else texts.unionByName(fresh)
+            ids = materialise(pairs.select(F.explode(F.array("a", "b")).alias("item")).distinct(), "wanted")
+            texts = materialise(texts_of(ids), "texts")
             comps = merged(comps, verified(pairs, texts, percent))
+            discard(texts)
+            discard(ids)
+        discard(pairs)
         if nodes is None:
             return comps
         mixed = materialise(coloured(nodes.select("node", "item"), comps), "mixed")
+        discard(nodes)
         few, large = mixed.where(F.col("n_items") <= SMALL_NODE), mixed.where(F.col("n_items") > SMALL_NODE)
         if level == levels:  # still large and mixed: compare them in slices
             few, large = few.select("node", "item", "comp").unionByName(slices(large)), None
-        pairs, nodes = small_node_pairs(few, own, similarity), None
+        pairs, nodes = small_node_pairs(few, codes, similarity), None
         if large is not None and not large.isEmpty():
-            children = branch(large.select("node", "item").join(own, "item"), level)
+            children = branch(large.select("node", "item").join(items.select("item", "sketch"), "item"), level)
             nodes = materialise(coloured(children.distinct(), comps), "nodes")
-            pairs = pairs.unionByName(star_pairs(nodes, own, similarity)).distinct()
+            pairs = pairs.unionByName(star_pairs(nodes, codes, similarity)).distinct()
     return comps
 
 

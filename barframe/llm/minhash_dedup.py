@@ -2,20 +2,19 @@
 
 Each document is the set of its distinct 5-word shingles. Equal sets fall into
 one class by fingerprint and go on as one item, the smallest id. The items are
-branched in ``TREES`` independent trees: at a node, seeded places of the minwise
-sketch are chosen (``BRANCHES`` on average at a root, ``PLACES`` at each later node),
-and an item goes to the child named by the place and its value there. Two sets of
-similarity s share each chosen value with chance s, so a pair at the limit of 0.75
-stays apart with a chance of about 1e-8 at the first level of ``TREES`` *
-``BRANCHES`` values, and at any depth (places taken as independent); dissimilar
-items part.
+branched in ``TREES`` independent trees, each with places of the minwise sketch of its
+own: a path starts ``DEPTH`` chosen tokens deep. Two sets of similarity s share a
+path with a chance of s ** DEPTH, so a pair at the limit of 0.75 has no common path
+with a chance of 4e-10, and dissimilar items part at once.
 
 Nodes of one item or one component are dropped, small nodes are compared
-exhaustively, larger ones branch on (see ``linking``). Each candidate pair is
-confirmed on the full sets. Branching ends when no large mixed node is left; a
-node that stays large and mixed below ``LEVELS`` levels (many items that are
-similar but not enough) is cut into rows of items by a second hash and each of
-them is compared with all of the node, so no candidate of that node is dropped.
+exhaustively, larger ones branch on (see ``linking``); if all nodes of a pair at the
+limit stay large, it is lost with a chance of 2e-4 after seven branchings (measured), and
+less before. Each candidate pair is confirmed on the full sets. Branching ends when no
+large mixed node is left; a node that stays large and mixed below ``LEVELS`` levels
+(many items that are similar but not enough) is cut into rows of items by a second hash
+and each of them is compared with all of the node, so no candidate of that node is
+dropped.
 
 Defined cases: documents without words have an empty set and link with nothing;
 fewer than five words are one shingle; each row is judged by its own text, also
@@ -36,32 +35,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barframe.llm.common import chunks, materialise, python_batches, read, small
-from barframe.llm.linking import BRANCHES, CHUNK, SKETCH, branched, fingerprint, link, mix, shingle_sets, sketch
+from barframe.llm.common import chunks, materialise, python_batches, read
+from barframe.llm.linking import CHUNK, SKETCH, branched, code, fingerprint, link, paths, shingle_sets, sketch
 
 SHINGLE, PERCENT = 5, 75
-TREES = 10
+TREES, DEPTH = 40, 3
 LEVELS = 8
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in chunks(batches, "text", CHUNK):
         sets = shingle_sets([t.encode("utf-8", "surrogatepass") if t else None for t in batch.column("text").to_pylist()], SHINGLE)
+        made = np.stack([sketch(s) if len(s) else np.zeros(SKETCH, np.uint32) for s in sets]) if sets else np.zeros((0, SKETCH), np.uint32)
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("mark"), pa.array([len(s) for s in sets], pa.int64()), pa.array([fingerprint(s) for s in sets], pa.binary()),
-             pa.array([sketch(s).tobytes() if len(s) else None for s in sets], pa.binary())], names=["doc_id", "mark", "n_shingles", "print", "sketch"])
+             pa.array([x.tobytes() if len(s) else None for s, x in zip(sets, made)], pa.binary()),
+             pa.array([x.tobytes() if len(s) else None for s, x in zip(sets, code(made))], pa.binary())], names=["doc_id", "mark", "n_shingles", "print", "sketch", "code"])
 
 
 def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(item, sketch) -> first-level nodes of every tree. The places of a tree's root are distinct by tree."""
-    order = np.argsort(mix(np.arange(SKETCH, dtype=np.uint64) + np.uint64(99)))
-    places = order[:int(np.ceil(TREES * BRANCHES))]
+    """(item, sketch) -> the first nodes of every tree."""
     for batch in batches:
-        s = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint32).reshape(-1, SKETCH)[:, places]
-        with np.errstate(over="ignore"):
-            child = mix(s.astype(np.uint64) ^ mix((places.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD1342543DE82EF95)))
-        item = batch.column("item").to_numpy()
-        yield pa.RecordBatch.from_arrays([pa.array(child.ravel().view(np.int64)), pa.array(np.repeat(item, len(places)))], names=["node", "item"])
+        nodes = paths(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint32).reshape(-1, SKETCH), TREES, DEPTH)
+        yield pa.RecordBatch.from_arrays([pa.array(nodes.ravel().view(np.int64)), pa.array(np.repeat(batch.column("item").to_numpy(), TREES))], names=["node", "item"])
 
 
 def marked(docs: DataFrame) -> DataFrame:
@@ -77,10 +73,10 @@ def _grouped(docs: DataFrame, percent: int) -> DataFrame:
     smallest item of a group, component_id its smallest id."""
     python_batches(docs)
     docs = marked(docs.select("doc_id", "text"))
-    rows = materialise(docs.mapInArrow(_sketches, "doc_id bigint, mark binary, n_shingles bigint, print binary, sketch binary"), "prints")
+    rows = materialise(docs.mapInArrow(_sketches, "doc_id bigint, mark binary, n_shingles bigint, print binary, sketch binary, code binary"), "prints")
     real = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = materialise(real.groupBy("print").agg(F.min(F.struct("doc_id", "mark")).alias("at"), F.first("sketch").alias("sketch"))
-                          .select("print", F.col("at.doc_id").alias("least"), F.col("at.mark").alias("mark"), F.col("least").alias("item"), "sketch"), "classes")
+    classes = materialise(real.groupBy("print").agg(F.min(F.struct("doc_id", "mark")).alias("at"), F.first("sketch").alias("sketch"), F.first("code").alias("code"))
+                          .select("print", F.col("at.doc_id").alias("least"), F.col("at.mark").alias("mark"), F.col("least").alias("item"), "sketch", "code"), "classes")
     shared = materialise(classes.groupBy("least").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("least", F.lit(True).alias("several")), "shared")
     several = not shared.isEmpty()
     if several:
@@ -88,11 +84,11 @@ def _grouped(docs: DataFrame, percent: int) -> DataFrame:
         classes = materialise(classes, "classes")
 
     def texts_of(ids: DataFrame) -> DataFrame:
-        wanted = small(ids).join(classes.select("item", F.col("least").alias("doc_id"), "mark"), "item")
-        return docs.join(small(materialise(wanted, "wanted")), ["doc_id", "mark"]).select("item", "text").dropDuplicates(["item"])
+        wanted = ids.join(classes.select("item", F.col("least").alias("doc_id"), "mark"), "item")
+        return docs.join(materialise(wanted, "wanted"), ["doc_id", "mark"]).select("item", "text").dropDuplicates(["item"])
 
-    items = classes.select("item", "sketch")
-    comps = link(items, items.mapInArrow(_roots, "node bigint, item bigint"), branched, texts_of, percent, LEVELS)
+    items = classes.select("item", "sketch", "code")
+    comps = link(items, items.select("item", "sketch").mapInArrow(_roots, "node bigint, item bigint"), branched, texts_of, percent, LEVELS)
     ends = classes.select("print", "item", "least")
     if comps is not None:
         ends = ends.join(comps, "item", "left").select("print", "least", F.coalesce("comp", "item").alias("comp"))
@@ -103,7 +99,7 @@ def _grouped(docs: DataFrame, percent: int) -> DataFrame:
         ends = ends.join(ends.groupBy("comp").agg(F.min("least").alias("component_id")), "comp").drop("least")
     else:
         ends = ends.select("print", "comp", F.col("comp").alias("component_id"))
-    found = rows.drop("sketch").join(ends, "print", "left")
+    found = rows.drop("sketch", "code").join(ends, "print", "left")
     return found.select("doc_id", "mark", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("comp")).alias("comp"),
                         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 

@@ -110,20 +110,68 @@ def test_sketch_agreement_estimates_similarity():
 
 
 def test_no_node_is_left_without_children():
-    nodes = linking.mix(np.arange(5000, dtype=np.uint64))
+    nodes = linking.mix(np.arange(20000, dtype=np.uint64))
     for level in range(1, 8):
-        assert (linking.chosen(nodes, level).sum(axis=1) == linking.PLACES).all()
-
-
-@pytest.mark.parametrize("shared, roots, most", [(0.75, 14, 1e-6), (0.75 ** 2, 9, 0.001)])
-def test_branching_keeps_the_recall_at_every_depth(shared, roots, most):
-    """Chance that a pair of similarity 0.75 is in no common node after seven branchings by the places that nodes draw."""
-    n_places = np.bincount(linking.chosen(linking.mix(np.arange(20000, dtype=np.uint64)), 1).sum(axis=1))
-    share = n_places / n_places.sum()
-    lost = 0.0
-    for _ in range(7):
-        lost = sum(p * (0.25 + 0.75 * lost) ** n for n, p in enumerate(share))
-    assert (1 - shared + shared * lost) ** roots <= most
+        n = linking.chosen(nodes, level).sum(axis=1)
+        assert set(n.tolist()) == {1, 2} and n.mean() == pytest.approx(3 / 2, abs=0.02)
+
+
+def planted(n, size=120, seed=0):
+    """Sketches of n pairs of random sets whose similarity is exactly 0.75."""
+    rng = np.random.default_rng(seed)
+    common = size * 6 // 7  # 6 of 8 parts shared
+    rest = size - common
+    for _ in range(n):
+        h = rng.integers(0, 1 << 63, size * 2, dtype=np.int64).view(np.uint64)
+        shared, x, y = h[:6 * rest], h[6 * rest:7 * rest], h[7 * rest:8 * rest]
+        yield linking.sketch(np.concatenate((shared, x))), linking.sketch(np.concatenate((shared, y)))
+
+
+@pytest.fixture(scope="module")
+def pairs_at_the_limit():
+    left, right = zip(*planted(5000))
+    return np.stack(left), np.stack(right)
+
+
+def test_minwise_functions_are_independent(pairs_at_the_limit):
+    """Agreement spreads like independent draws, and codes rule no linked pair out."""
+    x, y = pairs_at_the_limit
+    agree = (x == y).mean(1)
+    binomial = (0.75 * 0.25 / linking.SKETCH) ** 0.5
+    assert agree.mean() == pytest.approx(0.75, abs=0.003) and agree.std() == pytest.approx(binomial, rel=0.04)
+    assert (linking.alike(linking.code(x), linking.code(y)) >= linking.least_agreement(0.75)).all()
+
+
+def test_pairs_at_the_limit_share_a_path(pairs_at_the_limit):
+    x, y = (linking.paths(s, minhash_dedup.TREES, minhash_dedup.DEPTH) for s in pairs_at_the_limit)
+    assert (x == y).any(1).all()
+
+
+def test_recall_after_seven_branchings(pairs_at_the_limit):
+    """Were all common nodes large at every level, 0.999 of the pairs at the limit would still have one."""
+    x, y = pairs_at_the_limit
+    first, second = (linking.paths(s, minhash_dedup.TREES, minhash_dedup.DEPTH) for s in (x, y))
+    alive = [set(np.intersect1d(a, b).tolist()) for a, b in zip(first, second)]
+    for level in range(1, 8):
+        rows = [(i, n) for i, nodes in enumerate(alive) for n in nodes]
+        pair, node = np.array([i for i, _ in rows]), np.array([n for _, n in rows], np.uint64)
+        at, place = np.nonzero(linking.chosen(node, level))
+        same = x[pair[at], place] == y[pair[at], place]
+        alive = [set() for _ in alive]
+        with np.errstate(over="ignore"):
+            child = linking.mix(linking.mix(node[at] + (place.astype(np.uint64) + np.uint64(1)) * np.uint64(0xA0761D6478BD642F)) ^ x[pair[at], place].astype(np.uint64))
+        for i, c in zip(pair[at][same].tolist(), child[same].tolist()):
+            alive[i].add(c)
+    assert np.mean([bool(a) for a in alive]) >= 0.999
+
+
+def test_an_item_with_many_partners_is_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(linking, "PARTNERS", 7)
+    base = sentence(70, 60)
+    texts = {i: changed(base, 1, i) if i % 3 else sentence(1000 + i, 60) for i in range(1, 60)} | {0: base}
+    pairs = spark.createDataFrame([(0, i) for i in range(1, 60)], "a bigint, b bigint")
+    got = {(r["a"], r["b"]) for r in linking.verified(pairs, spark.createDataFrame(list(texts.items()), "item bigint, text string"), 75).collect()}
+    assert got == {(0, i) for i in range(1, 60) if i % 3}
 
 
 def test_stage_keeps_null_ids_and_separate_texts_of_one_id(spark, documents):
