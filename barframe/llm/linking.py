@@ -106,9 +106,8 @@ def halves(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return s.astype(np.uint32), (s >> np.uint64(32)).astype(np.uint32)
 
 
-def minwise(parts: tuple[np.ndarray, np.ndarray], j: int) -> np.ndarray:
-    """The j-th hash function of hashes in halves: each scrambles its own seeded copy, so the functions don't depend on one another."""
-    x = parts[j & 1] ^ SEEDS[j]
+def scrambled(x: np.ndarray) -> np.ndarray:
+    """32-bit values scrambled in place (a bijection)."""
     with np.errstate(over="ignore"):
         x ^= x >> np.uint32(16)
         x *= np.uint32(0x85EBCA6B)
@@ -118,10 +117,23 @@ def minwise(parts: tuple[np.ndarray, np.ndarray], j: int) -> np.ndarray:
     return x
 
 
+def minwise(parts: tuple[np.ndarray, np.ndarray], j: int) -> np.ndarray:
+    """The j-th hash function of hashes in halves: each scrambles its own seeded copy, so the functions don't depend on one another."""
+    return scrambled(parts[j & 1] ^ SEEDS[j])
+
+
+#: Hashes that go through all functions at a time.
+AT_ONCE = 2048
+
+
 def sketch(s: np.ndarray) -> np.ndarray:
     """Minwise values of a non-empty set."""
-    parts = halves(s)
-    return np.array([minwise(parts, j).min() for j in range(SKETCH)], np.uint32)
+    out = np.full(SKETCH, np.iinfo(np.uint32).max, np.uint32)
+    for a in range(0, len(s), AT_ONCE):
+        for k, part in enumerate(halves(s[a:a + AT_ONCE])):
+            least = scrambled(part[None, :] ^ SEEDS[k::2, None]).min(1)
+            np.minimum(out[k::2], least, out=out[k::2])
+    return out
 
 
 def code(sketches: np.ndarray) -> np.ndarray:

@@ -113,12 +113,12 @@ def _order(doc_id: Column, epoch: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(SEED)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit(""))))
 
 
-def select_tokens(docs: DataFrame, **options) -> DataFrame:
-    """(doc_id, domain, lang, source, n_tokens, epochs, tokens_taken) of every row of (doc_id, text, lang, source).
+def select_tokens(docs: DataFrame, carried: tuple[str, ...] = (), **options) -> DataFrame:
+    """(doc_id, domain, lang, source, n_tokens, epochs, tokens_taken) of every row of (doc_id, text, lang, source), with the carried columns.
 
     ``epochs`` counts whole passes; ``tokens_taken`` includes the prefix of the last."""
     slim = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"),
-                       token_count(F.col("text")).alias("n_tokens"))
+                       token_count(F.col("text")).alias("n_tokens"), *carried)
     slim = materialise(slim.withColumn("domain", domain_of(F.col("source"))), "mix_docs")
     leaves = slim.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
     plan = materialise(allocate(leaves, **options), "mix_plan")
@@ -130,10 +130,10 @@ def select_tokens(docs: DataFrame, **options) -> DataFrame:
     parts = dealt.groupBy(*LEVELS, "part").agg(F.sum("n_tokens").alias("in_part"))
     up_to = Window.partitionBy(*LEVELS).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("before_part", F.coalesce(F.sum("in_part").over(up_to), F.lit(0))).drop("in_part")
-    within = Window.partitionBy(*LEVELS, "part").orderBy("ord", "doc_id", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(*LEVELS, "part").orderBy("ord", "doc_id", "n_tokens", *carried).rowsBetween(Window.unboundedPreceding, -1)
     placed = dealt.withColumn("before", F.coalesce(F.sum("n_tokens").over(within), F.lit(0))).join(parts, [*LEVELS, "part"])
     last = F.least(F.greatest(F.col("rest") - F.col("before_part") - F.col("before"), F.lit(0)), F.col("n_tokens"))
-    return placed.select("doc_id", *LEVELS, "n_tokens", "epochs", (F.col("epochs") * F.col("n_tokens") + last).alias("tokens_taken"))
+    return placed.select("doc_id", *LEVELS, "n_tokens", "epochs", (F.col("epochs") * F.col("n_tokens") + last).alias("tokens_taken"), *carried)
 
 
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,10 +144,23 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Last pipeline stage: the documents that the mix takes from, with how much it takes.
 
-    ``epochs`` whole passes and the prefix of one more make ``tokens_taken``. The ids
-    are distinct, as near-duplicate removal keeps one row of each."""
-    taken = materialise(select_tokens(docs).where(F.col("tokens_taken") > 0).select("doc_id", "domain", "n_tokens", "epochs", "tokens_taken"), "mix_taken")
-    return docs.select("doc_id", "text", "lang", "source", "n_chars").join(taken, "doc_id")
+    ``epochs`` whole passes and the prefix of one more make ``tokens_taken``. Every row
+    keeps its own figures: rows are known by id, text (its MD5), language and source, and rows
+    that repeat all of these share out their figures, a row each."""
+    docs = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    mark = F.md5(F.concat_ws("|", *[F.coalesce(F.md5(F.col(c).cast("string")), F.lit("-")) for c in ("doc_id", "text", "lang", "source")]))
+    docs = docs.withColumn("mark", F.unhex(mark))
+    taken = select_tokens(docs, ("mark",)).where(F.col("tokens_taken") > 0).select("mark", "domain", "n_tokens", "epochs", "tokens_taken")
+    # of equal rows the first ones get what is taken; one row's figures differ by the edge of a prefix only
+    nth = Window.partitionBy("mark")
+    taken = materialise(taken.withColumn("nth", F.row_number().over(nth.orderBy(F.col("tokens_taken").desc()))), "mix_taken")
+    repeated = materialise(docs.groupBy("mark").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("mark", F.lit(True).alias("repeated")), "mix_repeated")
+    if repeated.isEmpty():
+        return docs.join(taken.drop("nth"), "mark").drop("mark")
+    numbered = docs.join(repeated, "mark", "left").withColumn("again", F.coalesce("repeated", F.lit(False))).drop("repeated")
+    several = numbered.where("again").withColumn("nth", F.row_number().over(nth.orderBy("n_chars")))
+    single = numbered.where("NOT again").withColumn("nth", F.lit(1))
+    return single.unionByName(several).join(taken, ["mark", "nth"]).drop("mark", "nth", "again")
 
 
 def _case(column: str, weights: dict[str, int]) -> str:
