@@ -118,18 +118,17 @@ def feature_correlation(matrix: DataFrame, features: list[str], top_n: int = C.C
     """Pearson correlation matrix (long form) of the ``top_n``
     highest-variance features, each pair over the rows that have both values.
 
-    The pairs are made within the task and combined there before the shuffle,
-    which moves one partial row per pair and task. The list of the top features
-    is a few names."""
+    The upper triangle of pairs is one row of mergeable correlation buffers (counts,
+    means and co-moments of each pair), updated by a row of the matrix as it is:
+    nothing is copied per pair, and a task hands on one row. The result, a number per
+    pair of the top features, is laid out as rows here."""
     top = [r.feature for r in feature_std(matrix, features).orderBy(F.col("std").desc(), "feature")
            .limit(top_n).collect()] if len(features) > top_n else list(features)
-    pairs = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                               F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b"))
-                      for a in top for b in top])
-    long = matrix.select(F.explode(pairs).alias("p")).select("p.*").where("a IS NOT NULL AND b IS NOT NULL")
-    found = long.groupBy("feature_a", "feature_b").agg(F.corr("a", "b").alias("corr"))
-    names = matrix.sparkSession.createDataFrame([(a, b) for a in top for b in top], "feature_a string, feature_b string")
-    return names.join(found, ["feature_a", "feature_b"], "left")
+    pairs = [(a, b) for i, a in enumerate(top) for b in top[i:]]
+    row = matrix.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")) for a, b in pairs]).first() if pairs else ()
+    corr = dict(zip(pairs, row))
+    return matrix.sparkSession.createDataFrame([(a, b, corr.get((a, b), corr.get((b, a)))) for a in top for b in top],
+                                               "feature_a string, feature_b string, corr double")
 
 
 def sampled_shapley(score, rows: DataFrame, features: list[str], samples: int = 16, seed: int = C.RANDOM_STATE,

@@ -85,3 +85,16 @@ def snapshot_metadata(snapshot: DataFrame, market_symbol: str = C.MARKET_SYMBOL)
         F.sum("rows").alias("rows"), F.min("first").alias("start_date"), F.max("last").alias("end_date"),
         F.min(n).alias("sessions_min"), F.median(n).alias("sessions_median"), F.max(n).alias("sessions_max"),
         F.count(n).alias("n_equities")).withColumn("market_index_symbol", F.lit(market_symbol))
+
+
+def provenance(bars: DataFrame, snapshot: DataFrame, source_name: str, source_url: str = "", built_at=None, min_coverage: float = 0.99,
+               require_span: bool = True, adjustment_note: str = "") -> DataFrame:
+    """S11 whole: ``snapshot_metadata`` with the source, the time of the build, the number of
+    index constituents and of symbols that the source has."""
+    members = full_history_constituents(bars, min_coverage, require_span).where("base_close > 0").count()
+    available = bars.select("symbol").distinct().count()
+    stamp = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'") if built_at is None else F.lit(built_at)
+    return snapshot_metadata(snapshot).select(
+        F.lit(source_name).alias("source_name"), F.lit(source_url).alias("source_url"), stamp.alias("built_at_utc"), "*",
+        F.lit(members).cast("bigint").alias("market_index_constituents"), F.lit(available).cast("bigint").alias("source_tickers_available"),
+        F.lit(adjustment_note).alias("adjustment_note"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..session import cut_lineage
 
 #: Score ranges of a group in the prefix sums of the ROC table.
 SCORE_RANGES = 256
@@ -81,7 +82,7 @@ def _score_table(df: DataFrame, group: list[str], y: str, proba: str,
     agg = agg.select("*", F.coalesce(F.sum("neg").over(wi), F.lit(0)).alias("_neg_in"),
                      F.coalesce(F.sum("pos").over(wi), F.lit(0)).alias("_pos_in"))
     agg = agg.join(totals, group + ["_bucket"])
-    return agg.select(*group, proba, "pos", "neg",
+    return agg.select(*group, proba, "_bucket", "pos", "neg",
                       (F.col("_neg_before") + F.col("_neg_in")).alias("neg_below"),
                       (F.col("_pos_before") + F.col("_pos_in")).alias("pos_below"))
 
@@ -96,11 +97,20 @@ def roc_auc(df: DataFrame, group: list[str], y: str = "y", proba: str = "p_up")
                                      F.col("_num") / (F.col("_p") * F.col("_n"))).alias("roc_auc"))
 
 
-def roc_points(df: DataFrame, group: list[str], y: str = "y", proba: str = "p_up") -> DataFrame:
-    """One (fpr, tpr) point per distinct threshold ``score >= p`` plus (0, 0)."""
+def roc_points(df: DataFrame, group: list[str], y: str = "y", proba: str = "p_up", drop_collinear: bool = False) -> DataFrame:
+    """One (fpr, tpr) point per distinct threshold ``score >= p`` plus (0, 0).
+
+    ``drop_collinear`` leaves out the points that lie on the line between their
+    neighbours, as usual for a curve that is drawn: where the step to a point, in positives
+    and negatives, equals the step from it. Exact counts decide; the ends stay."""
     t = _score_table(df, group, y, proba)
+    if drop_collinear:
+        t = cut_lineage(t, "scores")
     tot = t.groupBy(*group).agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
-    t = t.join(tot, group)
+    t = (_with_lower(t, group, proba) if drop_collinear else t).join(tot, group)
+    if drop_collinear:
+        top = (F.col("pos") + F.col("pos_below") == F.col("_P")) & (F.col("neg") + F.col("neg_below") == F.col("_N"))
+        t = t.where(top | F.col("_lower").isNull() | (F.col("_lower.pos") != F.col("pos")) | (F.col("_lower.neg") != F.col("neg")))
     pts = t.select(*group, F.col(proba).alias("threshold"),
                    F.try_divide(F.col("_N") - F.col("neg_below"), F.col("_N")).alias("fpr"),
                    F.try_divide(F.col("_P") - F.col("pos_below"), F.col("_P")).alias("tpr"))
@@ -109,6 +119,18 @@ def roc_points(df: DataFrame, group: list[str], y: str = "y", proba: str = "p_up
     return pts.unionByName(origin)
 
 
+def _with_lower(t: DataFrame, group: list[str], proba: str) -> DataFrame:
+    """Adds ``_lower``, the counts (pos, neg) at the next lower score of a written score table, null at the lowest.
+
+    Neighbours are found within the range that the table was built by; the first
+    row of a range gets the last one of the ranges below, a row per range."""
+    inside = Window.partitionBy(*group, "_bucket").orderBy(proba)
+    last = t.groupBy(*group, "_bucket").agg(F.max_by(F.struct("pos", "neg"), proba).alias("_below"))
+    last = last.select(*group, "_bucket", F.lag("_below").over(Window.partitionBy(*group).orderBy("_bucket")).alias("_below"))
+    found = t.join(last, [*group, "_bucket"])
+    return found.withColumn("_lower", F.coalesce(F.lag(F.struct("pos", "neg")).over(inside), F.col("_below"))).drop("_below")
+
+
 def confusion(df: DataFrame, group: list[str], y: str = "y", pred: str = "pred") -> DataFrame:
     """2x2 counts in long form (actual, predicted, count), zero-filled."""
     yy, pp = F.col(y).cast("int"), F.col(pred).cast("int")

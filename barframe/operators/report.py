@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.selection import medians
+from ..session import cut_lineage
 from . import metrics as M
 
 
@@ -68,23 +70,22 @@ def best_per_symbol(rows: DataFrame) -> DataFrame:
     """W17 + A16: best model per symbol by test AUC (selection-biased) and the
     median of those AUCs."""
     w = Window.partitionBy("symbol").orderBy(F.col("test_roc_auc").desc_nulls_last(), "model_key")
-    best = rows.withColumn("_rk", F.row_number().over(w)).filter("_rk = 1")
-    median = best.agg(F.median("test_roc_auc").alias("m")).first().m
-    return best.select("symbol", "model_key", "test_roc_auc", F.lit(median).cast("double").alias("biased_median_auc"))
+    best = cut_lineage(rows.withColumn("_rk", F.row_number().over(w)).filter("_rk = 1"), "best")
+    median = medians(best.select(F.lit("all").alias("_all"), "test_roc_auc"), ["_all"], ["test_roc_auc"]).first()  # one number
+    return best.select("symbol", "model_key", "test_roc_auc", F.lit(median.test_roc_auc if median else None).cast("double").alias("biased_median_auc"))
 
 
 def model_summary(rows: DataFrame) -> DataFrame:
     """A14 + A15: per-model medians and shares across symbols."""
     auc = F.col("test_roc_auc")
-    return rows.groupBy("model_key").agg(
-        F.count("*").alias("n_symbols"),
-        F.median(auc).alias("median_test_roc_auc"), F.avg(auc).alias("mean_test_roc_auc"),
+    middle = {"test_roc_auc": "median_test_roc_auc", "test_accuracy": "median_test_accuracy", "test_f1": "median_test_f1",
+              "majority_baseline_accuracy": "median_majority_baseline", "momentum_baseline_accuracy": "median_momentum_baseline"}
+    rows = cut_lineage(rows.select("model_key", *middle), "summary")
+    shares = rows.groupBy("model_key").agg(
+        F.count("*").alias("n_symbols"), F.avg(auc).alias("mean_test_roc_auc"),
         F.avg(F.when(auc.isNotNull(), (auc > 0.5).cast("double"))).alias("share_above_half_auc"),
-        F.median("test_accuracy").alias("median_test_accuracy"), F.median("test_f1").alias("median_test_f1"),
-        F.avg((F.col("test_accuracy") > F.col("majority_baseline_accuracy")).cast("double"))
-        .alias("share_beating_majority"),
-        F.median("majority_baseline_accuracy").alias("median_majority_baseline"),
-        F.median("momentum_baseline_accuracy").alias("median_momentum_baseline"))
+        F.avg((F.col("test_accuracy") > F.col("majority_baseline_accuracy")).cast("double")).alias("share_beating_majority"))
+    return shares.join(medians(rows, ["model_key"], list(middle)).withColumnsRenamed(middle), "model_key")
 
 
 def strongest_model(summary: DataFrame) -> DataFrame:

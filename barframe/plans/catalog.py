@@ -177,6 +177,7 @@ def q_feature_matrix_brand(spark, sf):
 # more registered queries (import registers them)
 from . import queries_analytics  # noqa: E402,F401
 from . import queries_models  # noqa: E402,F401
+from . import queries_more  # noqa: E402,F401
 from . import queries_sweep  # noqa: E402,F401
 from . import queries_indicators  # noqa: E402,F401
 

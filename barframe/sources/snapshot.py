@@ -100,16 +100,25 @@ def normalise_vendor_frame(raw: DataFrame) -> DataFrame:
     return df.select("date", *cols).dropna(how="all", subset=cols)
 
 
+def in_read_order(raw: DataFrame, *columns) -> DataFrame:
+    """The columns of a file source with ``_seq``, a row's place in the files: (file, start of its block, place in the block).
+
+    A block is read by one task from its first line on, so the order of the rows is
+    that of the files however they are packed into partitions."""
+    seq = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"))
+    return raw.select(*columns, seq.alias("_seq"))
+
+
 def read_symbol_files(spark: SparkSession, pattern: str) -> DataFrame:
     """A directory of ``<TICKER>_data.csv`` files (header date, open, high,
     low, close, volume, Name). The symbol comes from the file name; rows null
-    in date or close are dropped and duplicate dates keep the last row read."""
+    in date or close are dropped and duplicate dates keep the last row of the
+    files in order of their paths."""
     raw = spark.read.option("header", True).csv(pattern)
-    df = raw.select(
-        F.upper(F.regexp_extract(F.col("_metadata.file_name"), C.SNAPSHOT_FILE_PATTERN, 1)).alias("symbol"),
+    df = in_read_order(
+        raw, F.upper(F.regexp_extract(F.col("_metadata.file_name"), C.SNAPSHOT_FILE_PATTERN, 1)).alias("symbol"),
         F.to_date(F.col("date")).alias("date"),
-        *[F.col(c).try_cast("double").alias(c) for c in ("open", "high", "low", "close", "volume")],
-        F.monotonically_increasing_id().alias("_seq"))
+        *[F.col(c).try_cast("double").alias(c) for c in ("open", "high", "low", "close", "volume")])
     df = df.filter((F.col("symbol") != "") & F.col("date").isNotNull() & F.col("close").isNotNull())
     return dedupe_keep_last(df, ["symbol", "date"], "_seq").drop("_seq")
 
