@@ -212,10 +212,14 @@ def agreement(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([batch.column("item").filter(keep), batch.column("leader").filter(keep), pa.array(agree).filter(keep)], names=["item", "leader", "agree"])
 
 
-def star_pairs(nodes: DataFrame, codes: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): of each item b the leader a that agrees best, if its code allows a link. nodes: (node, item, leader)."""
+def star_pairs(nodes: DataFrame, codes: DataFrame, similarity: float, seen: DataFrame | None = None) -> DataFrame:
+    """(a, b): of each item b the leader a of another component that agrees best, if its code allows a link.
+
+    nodes: (node, item, comp, leader, leader_comp); seen: pairs (a, b) that need no second look."""
     least = least_agreement(similarity)
-    pairs = nodes.where(F.col("item") != F.col("leader")).select("item", "leader").distinct()
+    pairs = nodes.where(F.col("comp") != F.col("leader_comp")).select("item", "leader").distinct()
+    if seen is not None:
+        pairs = pairs.join(seen.select(F.col("a").alias("leader"), F.col("b").alias("item")), ["item", "leader"], "left_anti")
     both = (pairs.join(codes.select("item", F.col("code").alias("x")), "item")
             .join(codes.select(F.col("item").alias("leader"), F.col("code").alias("y")), "leader"))
     agreeing = both.select("item", "leader", "x", "y").mapInArrow(lambda x: agreement(x, least), "item bigint, leader bigint, agree double")
@@ -339,7 +343,7 @@ def merged(comps: DataFrame | None, edges: DataFrame) -> DataFrame:
 
 
 def coloured(nodes: DataFrame, comps: DataFrame | None) -> DataFrame:
-    """(node, item, comp, n_items, leader) of nodes with items of several components.
+    """(node, item, comp, n_items, leader, leader_comp) of nodes with items of several components.
 
     Two groupings of the rows by node; a hot node is combined before its shuffle."""
     if comps is None:
@@ -351,8 +355,8 @@ def coloured(nodes: DataFrame, comps: DataFrame | None) -> DataFrame:
     about = (rows.groupBy("node").agg(F.count(F.lit(1)).alias("n_items"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min("place").alias("least"))
              .where("c0 <> c1").select("node", "n_items", "least"))
     mixed = rows.join(about, "node")
-    leaders = mixed.where("place = least").groupBy("node").agg(F.min("item").alias("leader"))
-    return mixed.join(leaders, "node").select("node", "item", "comp", "n_items", "leader")
+    leaders = mixed.where("place = least").groupBy("node").agg(F.min("item").alias("leader"), F.min("comp").alias("leader_comp"))
+    return mixed.join(leaders, "node").select("node", "item", "comp", "n_items", "leader", "leader_comp")
 
 
 def link(items: DataFrame, nodes: DataFrame, branch, texts_of, percent: int, levels: int) -> DataFrame | None:
@@ -368,7 +372,7 @@ def link(items: DataFrame, nodes: DataFrame, branch, texts_of, percent: int, lev
         return None
     codes = materialise(items.join(nodes.select("item").distinct(), "item", "left_semi").select("item", "code"), "codes")
     pairs = star_pairs(nodes, codes, similarity)
-    comps = None
+    comps = seen = None
     for level in range(1, levels + 2):
         pairs = materialise(pairs, "pairs")
         if not pairs.isEmpty():
@@ -377,7 +381,9 @@ def link(items: DataFrame, nodes: DataFrame, branch, texts_of, percent: int, lev
             comps = merged(comps, verified(pairs, texts, percent))
             discard(texts)
             discard(ids)
-        discard(pairs)
+        # in either order; a pair is verified once
+        both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        seen = both if seen is None else seen.unionByName(both)
         if nodes is None:
             return comps
         mixed = materialise(coloured(nodes.select("node", "item"), comps), "mixed")
@@ -385,11 +391,11 @@ def link(items: DataFrame, nodes: DataFrame, branch, texts_of, percent: int, lev
         few, large = mixed.where(F.col("n_items") <= SMALL_NODE), mixed.where(F.col("n_items") > SMALL_NODE)
         if level == levels:  # still large and mixed: compare them in slices
             few, large = few.select("node", "item", "comp").unionByName(slices(large)), None
-        pairs, nodes = small_node_pairs(few, codes, similarity), None
+        pairs, nodes = small_node_pairs(few, codes, similarity).join(seen, ["a", "b"], "left_anti"), None
         if large is not None and not large.isEmpty():
             children = branch(large.select("node", "item").join(items.select("item", "sketch"), "item"), level)
             nodes = materialise(coloured(children.distinct(), comps), "nodes")
-            pairs = pairs.unionByName(star_pairs(nodes, codes, similarity)).distinct()
+            pairs = pairs.unionByName(star_pairs(nodes, codes, similarity, seen)).distinct()
     return comps
 
 
