@@ -26,7 +26,7 @@ def panel_split(spark, sf) -> tuple[DataFrame, list[str]]:
     windows), and the feature list every symbol shares."""
     bars = bars_once(spark, sf)
     fm = cut_lineage(FE.feature_matrix(bars, market_for(bars)))
-    return SP.split_by_dates(fm), FE.panel_features(fm)
+    return cut_lineage(SP.split_by_dates(fm), "split"), FE.panel_features(fm)
 
 
 def _metrics_of(tm: ML.TrainedModel) -> DataFrame:
