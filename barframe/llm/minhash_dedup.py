@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barframe.llm.common import chunks, materialise, python_batches, read
-from barframe.llm.linking import CHUNK, SKETCH, branched, code, fingerprint, link, paths, shingle_sets, sketch
+from barframe.llm.linking import CHUNK, SKETCH, branched, code, fingerprint, link, parity, paths, shingle_sets, sketch
 
 SHINGLE, PERCENT = 5, 75
 TREES, DEPTH = 40, 3
@@ -50,7 +50,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("mark"), pa.array([len(s) for s in sets], pa.int64()), pa.array([fingerprint(s) for s in sets], pa.binary()),
              pa.array([x.tobytes() if len(s) else None for s, x in zip(sets, made)], pa.binary()),
-             pa.array([x.tobytes() if len(s) else None for s, x in zip(sets, code(made))], pa.binary())], names=["doc_id", "mark", "n_shingles", "print", "sketch", "code"])
+             pa.array([x.tobytes() + parity(s) if len(s) else None for s, x in zip(sets, code(made))], pa.binary())], names=["doc_id", "mark", "n_shingles", "print", "sketch", "code"])
 
 
 def _roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -183,3 +183,36 @@ def test_stage_keeps_null_ids_and_separate_texts_of_one_id(spark, documents):
     real = [(r["doc_id"], r["text"]) for r in kept if r["doc_id"] is not None]
     assert sorted(i for i, _ in real) == [1, 1, 2, 3, 4]
     assert {(1, a), (2, c), (3, d)} <= set(real) and {t for i, t in real if i == 1} - {a} <= {b, texts[1, 2]}
+
+
+def test_parity_rules_out_no_linked_pair():
+    """Sizes and parities keep every pair at the limit or above, of small and large sets."""
+    rng = np.random.default_rng(5)
+    for size in (1, 4, 8, 40, 400, 4000):
+        h = rng.integers(0, 1 << 63, 4 * size, dtype=np.int64).view(np.uint64)
+        for common, left, right in ((6, 1, 1), (3, 1, 0), (7, 0, 1)):
+            a, b, c = (np.arange(size * k) for k in (common, left, right))
+            pool = rng.integers(0, 1 << 63, size * (common + left + right), dtype=np.int64).view(np.uint64)
+            x, y = np.concatenate((pool[a], pool[len(a) + b])), np.concatenate((pool[a], pool[len(a) + len(b) + c]))
+            same = linking.code(np.stack([linking.sketch(h)]))[0].tobytes()  # only the parity decides
+            x, y = (np.frombuffer(same + linking.parity(s), np.uint8)[None] for s in (x, y))
+            assert linking.allowed(x, y, 75)[1].all()
+
+
+def test_pairs_below_the_limit_are_ruled_out_before_their_texts_travel(spark, documents, monkeypatch):
+    """100 texts that share three quarters of their words (similarity 0.6): not all 4,950 pairs are held against one another."""
+    head = sentence(11, 225)
+    texts = {i: f"{head} {' '.join(f'w{i}x{j}' for j in range(75))}" for i in range(100)}
+    seen, verified = [], linking.verified
+    monkeypatch.setattr(linking, "verified", lambda pairs, *x: seen.append(pairs.count()) or verified(pairs, *x))
+    rows = near_duplicates(documents(texts)).collect()
+    assert all(r["component_id"] == r["doc_id"] for r in rows) and sum(seen) < 300
+
+
+def test_items_of_a_node_meet_their_closest_partner_first(spark):
+    """Of a node's n items each names one partner, so at most n pairs go on, not n * n / 2."""
+    s = np.random.default_rng(3).integers(0, 1 << 63, 300, dtype=np.int64).view(np.uint64)
+    codes = spark.createDataFrame([(i, bytearray(linking.code(linking.sketch(s)[None])[0].tobytes())) for i in range(60)], "item bigint, code binary")
+    nodes = spark.createDataFrame([(1, i, i) for i in range(60)], "node bigint, item bigint, comp bigint")
+    assert 30 <= linking.closest_pairs(nodes, codes, 75).count() <= 60
+    assert linking.small_node_pairs(nodes, codes, 75).count() == 60 * 59 // 2
