@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from barframe.llm.common import chunks, materialise, python_batches, read
 from barframe.llm.linking import CHUNK, SKETCH, branched, code, fingerprint, link, parity, paths, shingle_sets, sketch
+from barframe.session import discard
 
 SHINGLE, PERCENT = 5, 75
 TREES, DEPTH = 40, 3
@@ -73,10 +74,12 @@ def _grouped(docs: DataFrame, percent: int) -> DataFrame:
     smallest item of a group, component_id its smallest id."""
     python_batches(docs)
     docs = marked(docs.select("doc_id", "text"))
-    rows = materialise(docs.mapInArrow(_sketches, "doc_id bigint, mark binary, n_shingles bigint, print binary, sketch binary, code binary"), "prints")
-    real = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    prints = materialise(docs.mapInArrow(_sketches, "doc_id bigint, mark binary, n_shingles bigint, print binary, sketch binary, code binary"), "prints")
+    real = prints.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = materialise(real.groupBy("print").agg(F.min(F.struct("doc_id", "mark")).alias("at"), F.first("sketch").alias("sketch"), F.first("code").alias("code"))
                           .select("print", F.col("at.doc_id").alias("least"), F.col("at.mark").alias("mark"), F.col("least").alias("item"), "sketch", "code"), "classes")
+    rows = materialise(prints.drop("sketch", "code"), "rows")
+    discard(prints)
     shared = materialise(classes.groupBy("least").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("least", F.lit(True).alias("several")), "shared")
     several = not shared.isEmpty()
     if several:
@@ -84,8 +87,9 @@ def _grouped(docs: DataFrame, percent: int) -> DataFrame:
         classes = materialise(classes, "classes")
 
     def texts_of(ids: DataFrame) -> DataFrame:
-        wanted = ids.join(classes.select("item", F.col("least").alias("doc_id"), "mark"), "item")
-        return docs.join(materialise(wanted, "wanted"), ["doc_id", "mark"]).select("item", "text").dropDuplicates(["item"])
+        wanted = materialise(ids.join(classes.select("item", F.col("least").alias("doc_id"), "mark"), "item"), "wanted")
+        # a class's (doc_id, mark) names one text; rows that repeat it meet where the join has dealt them
+        return materialise(docs.join(wanted, ["doc_id", "mark"]).dropDuplicates(["doc_id", "mark"]).select("item", "text"), "texts")
 
     items = classes.select("item", "sketch", "code")
     comps = link(items, items.select("item", "sketch").mapInArrow(_roots, "node bigint, item bigint"), branched, texts_of, percent, LEVELS)
@@ -99,7 +103,7 @@ def _grouped(docs: DataFrame, percent: int) -> DataFrame:
         ends = ends.join(ends.groupBy("comp").agg(F.min("least").alias("component_id")), "comp").drop("least")
     else:
         ends = ends.select("print", "comp", F.col("comp").alias("component_id"))
-    found = rows.drop("sketch", "code").join(ends, "print", "left")
+    found = rows.join(ends, "print", "left")
     return found.select("doc_id", "mark", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("comp")).alias("comp"),
                         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 

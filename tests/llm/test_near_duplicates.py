@@ -216,3 +216,15 @@ def test_items_of_a_node_meet_their_closest_partner_first(spark):
     nodes = spark.createDataFrame([(1, i, i) for i in range(60)], "node bigint, item bigint, comp bigint")
     assert 30 <= linking.closest_pairs(nodes, codes, 75).count() <= 60
     assert linking.small_node_pairs(nodes, codes, 75).count() == 60 * 59 // 2
+
+
+def test_texts_are_fetched_once_for_all_rounds(spark, documents, monkeypatch):
+    """The texts of items that may meet are joined with the documents once, however many rounds verify pairs."""
+    asked, rounds, link, verified = [], [], minhash_dedup.link, linking.verified
+    monkeypatch.setattr(minhash_dedup, "link", lambda items, nodes, branch, texts_of, *x: link(items, nodes, branch, lambda ids: asked.append(ids.count()) or texts_of(ids), *x))
+    monkeypatch.setattr(linking, "verified", lambda pairs, *x: rounds.append(pairs.count()) or verified(pairs, *x))
+    bases = [sentence(800 + i, 60) for i in range(3)]
+    texts = {20 * k + i: changed(b, min(i, 1), i) for k, b in enumerate(bases) for i in range(20)} | {100 + i: sentence(900 + i, 60) for i in range(10)}
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(documents(texts)).collect()}
+    assert got == {i: c for i, (_, c) in brute(texts).items()}
+    assert len(rounds) > 1 and len(asked) == 1 and asked[0] < len(texts)
