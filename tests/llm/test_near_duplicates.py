@@ -228,3 +228,38 @@ def test_texts_are_fetched_once_for_all_rounds(spark, documents, monkeypatch):
     got = {r["doc_id"]: r["component_id"] for r in near_duplicates(documents(texts)).collect()}
     assert got == {i: c for i, (_, c) in brute(texts).items()}
     assert len(rounds) > 1 and len(asked) == 1 and asked[0] < len(texts)
+
+
+def test_components_of_few_edges_take_one_round(spark, monkeypatch):
+    """Edges that lie in few tasks shrink to stars there, so no round of shuffles follows, however long their paths."""
+    written, materialise = [], linking.materialise
+    monkeypatch.setattr(linking, "materialise", lambda df, name: written.append(name) or materialise(df, name))
+    edges = [(i, i + 1) for i in range(300)] + [(1000 + 7 * i % 100, 1000 + 7 * (i + 1) % 100) for i in range(100)]
+    got = {r["item"]: r["comp"] for r in linking.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert got == {i: 0 for i in range(301)} | {1000 + i: 1000 for i in range(100)}
+    assert written == ["edges", "around"]
+
+
+def test_components_of_edges_in_many_blocks(spark, monkeypatch):
+    """The same components where a block holds a few edges only."""
+    import pyarrow as pa
+    edges = [(i, i + 1) for i in range(50)] + [(200, 100 + i) for i in range(50)]
+    monkeypatch.setattr(linking, "EDGES", 4)
+    batches = [pa.RecordBatch.from_pydict({"a": [a], "b": [b]}) for a, b in edges]
+    found = [x for b in linking._hung(iter(batches)) for x in zip(b.column("a").to_pylist(), b.column("b").to_pylist())]
+    assert len(found) == len(edges) and all(b < a for a, b in found)
+    got = {r["item"]: r["comp"] for r in linking.components(spark.createDataFrame(found, "a bigint, b bigint")).collect()}
+    assert got == {i: 0 for i in range(51)} | {i: 100 for i in [200, *range(100, 150)]}
+
+
+def test_a_level_verifies_its_pairs_once(spark, documents, monkeypatch):
+    """Leaders', closest and remaining pairs of different levels are verified together: one round a level and two for the last nodes."""
+    monkeypatch.setattr(linking, "SMALL_NODE", 8)
+    monkeypatch.setattr(minhash_dedup, "LEVELS", 2)
+    rounds, verified = [], linking.verified
+    monkeypatch.setattr(linking, "verified", lambda pairs, *x: rounds.append(pairs.count()) or verified(pairs, *x))
+    head = sentence(21, 230)
+    texts = {i: f"{head} {' '.join(f'w{i % 20}x{j}' for j in range(70))} {' '.join(f'v{i}x{j}' for j in range(5))}" for i in range(60)}
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(documents(texts)).collect()}
+    assert got == {i: c for i, (_, c) in brute(texts).items()}
+    assert len(rounds) <= 4
