@@ -263,3 +263,18 @@ def test_a_level_verifies_its_pairs_once(spark, documents, monkeypatch):
     got = {r["doc_id"]: r["component_id"] for r in near_duplicates(documents(texts)).collect()}
     assert got == {i: c for i, (_, c) in brute(texts).items()}
     assert len(rounds) <= 4
+
+
+def test_few_edges_from_many_tasks_are_brought_together(spark, monkeypatch):
+    """Edges of a long path that lie in as many tasks as there are partitions take no round of shuffles for each step either."""
+    written, materialise = [], linking.materialise
+    monkeypatch.setattr(linking, "materialise", lambda df, name: written.append(name) or materialise(df, name))
+    edges = [(i, i + 1) for i in range(300)] + [(1000 + 7 * i % 100, 1000 + 7 * (i + 1) % 100) for i in range(100)]
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        got = {r["item"]: r["comp"] for r in linking.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    finally:
+        spark.conf.set(key, "true")
+    assert got == {i: 0 for i in range(301)} | {1000 + i: 1000 for i in range(100)}
+    assert written == ["edges", "edges", "around"]
